@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from taxaspark.llm.langid import op10_language_id
+from taxaspark.llm.toxicity import op1_toxicity
 
 
 def queries() -> dict:
-    return {"op10_language_id": op10_language_id}
+    return {"op1_toxicity": op1_toxicity, "op10_language_id": op10_language_id}
 
 
 def oracle_sql() -> dict[str, str]:
