@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from taxaspark.llm.langid import op10_language_id
+from taxaspark.llm import topk
+from taxaspark.llm.topk import op7_topk_search
 from taxaspark.llm.toxicity import op1_toxicity
 
 
 def queries() -> dict:
-    return {"op1_toxicity": op1_toxicity, "op10_language_id": op10_language_id}
+    return {"op1_toxicity": op1_toxicity, "op7_topk_search": op7_topk_search, "op10_language_id": op10_language_id}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_topk_search": topk.ORACLE}
