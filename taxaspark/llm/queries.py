@@ -6,13 +6,14 @@ from taxaspark.llm.chat import op2_chat_format
 from taxaspark.llm.langid import op10_language_id
 from taxaspark.llm import chat, mixing, topk
 from taxaspark.llm.mixing import op3_source_mix
+from taxaspark.llm.quality import op9_quality
 from taxaspark.llm.tokens import op6_token_counts
 from taxaspark.llm.topk import op7_topk_search
 from taxaspark.llm.toxicity import op1_toxicity
 
 
 def queries() -> dict:
-    return {"op1_toxicity": op1_toxicity, "op2_chat_format": op2_chat_format, "op3_source_mix": op3_source_mix, "op6_token_counts": op6_token_counts, "op7_topk_search": op7_topk_search, "op10_language_id": op10_language_id}
+    return {"op1_toxicity": op1_toxicity, "op2_chat_format": op2_chat_format, "op3_source_mix": op3_source_mix, "op6_token_counts": op6_token_counts, "op7_topk_search": op7_topk_search, "op9_quality": op9_quality, "op10_language_id": op10_language_id}
 
 
 def oracle_sql() -> dict[str, str]:
