@@ -8,13 +8,14 @@ from taxaspark.llm import chat, mixing, topk
 from taxaspark.llm.mixing import op3_source_mix
 from taxaspark.llm.quality import op9_quality
 from taxaspark.llm.simhash import op5_simhash
+from taxaspark.llm.suffix import op4_suffix_dedup
 from taxaspark.llm.tokens import op6_token_counts
 from taxaspark.llm.topk import op7_topk_search
 from taxaspark.llm.toxicity import op1_toxicity
 
 
 def queries() -> dict:
-    return {"op1_toxicity": op1_toxicity, "op2_chat_format": op2_chat_format, "op3_source_mix": op3_source_mix, "op5_simhash": op5_simhash, "op6_token_counts": op6_token_counts, "op7_topk_search": op7_topk_search, "op9_quality": op9_quality, "op10_language_id": op10_language_id}
+    return {"op1_toxicity": op1_toxicity, "op2_chat_format": op2_chat_format, "op3_source_mix": op3_source_mix, "op4_suffix_dedup": op4_suffix_dedup, "op5_simhash": op5_simhash, "op6_token_counts": op6_token_counts, "op7_topk_search": op7_topk_search, "op9_quality": op9_quality, "op10_language_id": op10_language_id}
 
 
 def oracle_sql() -> dict[str, str]:
