@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from taxaspark.llm.chat import op2_chat_format
+from taxaspark.llm.decontam import op8_decontamination
 from taxaspark.llm.langid import op10_language_id
 from taxaspark.llm import chat, mixing, topk
 from taxaspark.llm.mixing import op3_source_mix
@@ -15,7 +16,7 @@ from taxaspark.llm.toxicity import op1_toxicity
 
 
 def queries() -> dict:
-    return {"op1_toxicity": op1_toxicity, "op2_chat_format": op2_chat_format, "op3_source_mix": op3_source_mix, "op4_suffix_dedup": op4_suffix_dedup, "op5_simhash": op5_simhash, "op6_token_counts": op6_token_counts, "op7_topk_search": op7_topk_search, "op9_quality": op9_quality, "op10_language_id": op10_language_id}
+    return {"op1_toxicity": op1_toxicity, "op2_chat_format": op2_chat_format, "op3_source_mix": op3_source_mix, "op4_suffix_dedup": op4_suffix_dedup, "op5_simhash": op5_simhash, "op6_token_counts": op6_token_counts, "op7_topk_search": op7_topk_search, "op8_decontamination": op8_decontamination, "op9_quality": op9_quality, "op10_language_id": op10_language_id}
 
 
 def oracle_sql() -> dict[str, str]:
