@@ -28,7 +28,7 @@ from taxaspark.llm.common import materialize, table
 MAX_PATTERNS = 50_000
 WORD = r"[^\x20\x09-\x0D]+"
 #: Hex digits of the hash that number the parts of its range.
-PART_DIGITS = 4
+PART_DIGITS = 3
 
 
 def word_count(text: Column) -> Column:
@@ -128,18 +128,19 @@ def _components(patterns: dict[tuple, int]) -> list[list[tuple]]:
     return list(parts.values())
 
 
-def mix(docs: DataFrame, size: str, sources: str, key: str = "doc_id", weight: Callable[[int], float] = lambda i: (3, 1, 2)[i % 3], share: float = 1.5, repeats: int = 2, seed: str = "mix-1") -> DataFrame:
+def mix(docs: DataFrame, size: str, sources: str, key: str = "doc_id", weight: Callable[[int], float] = lambda i: (3, 1, 2)[i % 3], share: float = 1.5, repeats: int = 2, seed: str = "mix-1", measured: DataFrame | None = None) -> DataFrame:
     """``docs`` with source_size, target, repeats and taken (size times repeats).
 
     ``sources``: a column of one source, or of an array of them; with several, source_size and target are sums over them.
-    The frame is read twice; pass one that is cheap to read again.
+    ``measured``: the same rows (key, size and sources at least) where they are cheap to read, as they are read four times.
     """
+    measured = docs if measured is None else measured
     is_array = isinstance(docs.schema[sources].dataType, T.ArrayType)
     pattern = F.array_sort(F.array_distinct(F.coalesce(F.col(sources), F.array().cast("array<string>")))) if is_array else F.array(F.col(sources).cast("string"))
     hashed = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))))
     # a text form of the pattern joins with plain equality; null differs from every string
     code = F.array_join(F.transform(pattern, lambda s: F.coalesce(F.concat(F.lit("s"), F.hex(s)), F.lit("n"))), ",")
-    rows = docs.select(F.col(size).cast("long").alias("size"), code.alias("code"), pattern.alias("pattern"), hashed.alias("hash"))
+    rows = measured.select(F.col(size).cast("long").alias("size"), code.alias("code"), pattern.alias("pattern"), hashed.alias("hash"))
 
     got = rows.groupBy("code").agg(F.sum("size").alias("size"), F.first("pattern").alias("pattern")).limit(MAX_PATTERNS + 1).collect()
     if len(got) > MAX_PATTERNS:
@@ -181,7 +182,8 @@ def mix(docs: DataFrame, size: str, sources: str, key: str = "doc_id", weight: C
 
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"))
-    return mix(materialize(docs, "sizes"), "size", "source").select("doc_id", "size", "source_size", "target", "taken")
+    docs = materialize(docs, "sizes")
+    return mix(docs, "size", "source").select("doc_id", "size", "source_size", "target", "taken")
 
 
 ORACLE = r"""
