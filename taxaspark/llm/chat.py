@@ -102,18 +102,14 @@ def format_chats(rows: DataFrame, tokenizer: str = TOKENIZER, trained: frozenset
         data = turns.sparkSession.sparkContext.broadcast(f.read())  # a file of fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-
-        tok = Tokenizer.from_str(data.value)
-        tok.no_truncation()
-        tok.no_padding()
-        tok.encode_special_tokens = True
+        tok = _tokenizer(data.value)
         for batch in batches:
             for at in range(0, len(batch), 64):
                 part = batch.slice(at, 64)
-                made = [render([(t["role"], t["text"]) for t in turns], trained) for turns in part.column(1).to_pylist()]
                 chats = []
-                for (whole, start, end), code in zip(made, tok.encode_batch([m[0] for m in made], add_special_tokens=False), strict=True):
+                for turns in part.column(1).to_pylist():
+                    whole, start, end = render([(t["role"], t["text"]) for t in turns], trained)
+                    code = tok.encode(whole, add_special_tokens=False)
                     ends = np.maximum.accumulate(np.array([b for _, b in code.offsets], np.int64)) if code.offsets else np.zeros(0, np.int64)
                     if len(ends):
                         ends[-1] = len(whole)
@@ -125,6 +121,22 @@ def format_chats(rows: DataFrame, tokenizer: str = TOKENIZER, trained: frozenset
     return turns.mapInArrow(run, T.StructType([turns.schema["conv_id"], T.StructField("chat", FIELDS)]))
 
 
+_TOKENIZERS: dict[str, object] = {}
+
+
+def _tokenizer(data: str):
+    """One for each Python worker: a tokenizer takes long to build, and several would add up."""
+    if data not in _TOKENIZERS:
+        from tokenizers import Tokenizer
+
+        _TOKENIZERS.clear()
+        tok = _TOKENIZERS[data] = Tokenizer.from_str(data)
+        tok.no_truncation()
+        tok.no_padding()
+        tok.encode_special_tokens = True
+    return _TOKENIZERS[data]
+
+
 def masked_texts(text: str, start: list[int], end: list[int]) -> str:
     """Unescaped text of the masked pieces; pieces that touch are one, so that an escape cut by tokens is whole again."""
     out, a, b = [], None, None
@@ -148,16 +160,17 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for conv, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                turns = parse(c["text"])
+            for i in range(len(batch)):
+                conv, text, start, end = (column[i].as_py() for column in batch.columns)
+                turns = parse(text)
                 whole = "".join(f"{r}\n{t}\n" for r, t in turns)
-                loss = masked_texts(c["text"], c["loss_start"], c["loss_end"])
-                out.append((conv, len(turns), hashlib.sha256(whole.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(c["text"])))
+                loss = masked_texts(text, start, end)
+                out.append((conv, len(turns), hashlib.sha256(whole.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(text)))
             yield pa.RecordBatch.from_pylist([dict(zip(names, x, strict=True)) for x in out], schema=shape)
 
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
     shape = pa.schema([(n, pa.string() if "sha" in n else pa.int64()) for n in names])
-    return chats.select("conv_id", "chat").mapInArrow(digest, ", ".join(f"{n} {'string' if 'sha' in n else 'long'}" for n in names))
+    return chats.select("conv_id", "chat.text", "chat.loss_start", "chat.loss_end").mapInArrow(digest, ", ".join(f"{n} {'string' if 'sha' in n else 'long'}" for n in names))
 
 
 ORACLE = r"""
