@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,6 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from taxaspark.storage import materialize, remove, shared_dir
+
+__all__ = ["materialize", "remove", "shared_dir"]
+
 #: Characters that one numpy pass takes at once; a longer text is a pass of its own.
 CHUNK_CHARS = 1 << 19
 
@@ -20,33 +22,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; where it is unset (tests), a new local one."""
-    where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not where:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="taxaspark-"))
-        where = spark.sparkContext.getCheckpointDir()
-    return where
-
-
-def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: later jobs start from files that survive a lost executor."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/taxaspark-{uuid.uuid4().hex}/{tag}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def remove(df: DataFrame) -> None:
-    """Delete the files behind a table of :func:`materialize` that no later job reads."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        if "/taxaspark-" in folder:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path.getParent(), True)
-
-
 def held_out(doc_id: Column) -> Column:
     """True for the fold that no model learns labels from: crc32 of the id as text, modulo 4, is 2 (a null id: false)."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
