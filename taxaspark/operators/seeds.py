@@ -25,28 +25,33 @@ def reverse_complement(seq: Column) -> Column:
     return F.reverse(F.translate(seq, "ACGTUacgtu", "TGCAAtgcaa"))
 
 
+def upper(seq: Column) -> Column:
+    """ASCII letters in upper case; a sequence keeps its length, whatever else it holds."""
+    return F.translate(seq, "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+
+
 def _positions(length: Column, size: int, step: int) -> Column:
     """0-based starts of windows of ``size``, every ``step``; none in shorter sequences."""
     last = length - F.lit(size)
     return F.when(last >= 0, F.sequence(F.lit(0).cast("bigint"), last.cast("bigint"), F.lit(step).cast("bigint"))).otherwise(F.array().cast("array<bigint>"))
 
 
-def build_index(contigs: DataFrame, size: int = SEED_SIZE, block: int = 4096) -> DataFrame:
-    """seed, seqid, taxid, pos (0-based): every window of the references' sequences; those with an N aren't seeds.
+def build_index(contigs: DataFrame, size: int = SEED_SIZE, block: int = 4096, unknown: str | None = "N") -> DataFrame:
+    """seed, seqid, taxid, pos (0-based): every window of the references' sequences; those with the ``unknown`` letter aren't seeds.
 
     A sequence is first cut into overlapping blocks, which are dealt out, so that a chromosome isn't one task.
     """
     starts = F.sequence(F.lit(0).cast("bigint"), F.greatest(F.length("seq") - F.lit(size), F.lit(0)).cast("bigint"), F.lit(block).cast("bigint"))
-    cut = contigs.select("seqid", "taxid", F.upper("seq").alias("seq")).withColumn("from", F.explode(starts))
+    cut = contigs.select("seqid", "taxid", upper(F.col("seq")).alias("seq")).withColumn("from", F.explode(starts))
     parts = cut.select("seqid", "taxid", "from", F.substring(F.col("seq"), (F.col("from") + 1).cast("int"), F.lit(block + size - 1)).alias("part")).repartition("seqid", "from")
     rows = parts.withColumn("k", F.explode(_positions(F.length("part"), size, 1)))
     rows = rows.select(F.substring(F.col("part"), (F.col("k") + 1).cast("int"), F.lit(size)).alias("seed"), "seqid", "taxid", (F.col("from") + F.col("k")).alias("pos"))
-    return rows.where(~F.contains("seed", F.lit("N")))
+    return rows if unknown is None else rows.where(~F.contains("seed", F.lit(unknown)))
 
 
 def read_seeds(reads: DataFrame, size: int = SEED_SIZE, interval: int = SEED_INTERVAL) -> DataFrame:
     """read_id, strand (+ or -), offset, seed, n_seeds, read_length."""
-    both = reads.select("read_id", F.upper("seq").alias("seq")).select("read_id", F.explode(F.array(F.struct(F.lit("+").alias("strand"), F.col("seq")), F.struct(F.lit("-").alias("strand"), reverse_complement(F.col("seq")).alias("seq")))).alias("s"))
+    both = reads.select("read_id", upper(F.col("seq")).alias("seq")).select("read_id", F.explode(F.array(F.struct(F.lit("+").alias("strand"), F.col("seq")), F.struct(F.lit("-").alias("strand"), reverse_complement(F.col("seq")).alias("seq")))).alias("s"))
     rows = both.select("read_id", "s.strand", "s.seq", _positions(F.length("s.seq"), size, interval).alias("at"))
     rows = rows.select("read_id", "strand", F.length("seq").alias("read_length"), F.size("at").alias("n_seeds"), F.explode("at").alias("offset"), "seq")
     return rows.select("read_id", "strand", "read_length", "n_seeds", "offset", F.substring(F.col("seq"), (F.col("offset") + 1).cast("int"), F.lit(size)).alias("seed"))
@@ -82,11 +87,11 @@ def semi_global(read: str, window: str) -> tuple[int, int]:
 
     Starts are carried along; of equal edits the first end, and on it the last start.
     """
-    q, m = np.frombuffer(read.encode(), np.uint8), len(read)
+    q, m = np.frombuffer(read.encode("utf-32-le"), np.uint32), len(read)
     cost, begin = np.arange(m + 1), np.zeros(m + 1, np.int64)
     steps = np.arange(m + 1)
     best, at = int(cost[m]), 0
-    for j, c in enumerate(window.encode(), 1):
+    for j, c in enumerate(np.frombuffer(window.encode("utf-32-le"), np.uint32), 1):
         diagonal, left = cost[:-1] + (q != c), cost[1:] + 1
         take = diagonal <= left
         new = np.r_[0, np.where(take, diagonal, left)]
@@ -106,7 +111,7 @@ def verify(cands: DataFrame, reads: DataFrame, contigs: DataFrame, edit_rate: fl
 
     Windows of the references are cut out before they travel; alignment runs on Arrow batches.
     """
-    rows = cands.join(reads.select("read_id", F.upper("seq").alias("read")), "read_id").join(contigs.select("seqid", F.upper("seq").alias("ref")), "seqid")
+    rows = cands.join(reads.select("read_id", upper(F.col("seq")).alias("read")), "read_id").join(contigs.select("seqid", upper(F.col("seq")).alias("ref")), "seqid")
     slack = F.floor(F.length("read") * edit_rate)
     first = F.greatest(F.col("low") - slack, F.lit(0))
     size = F.col("high") + F.length("read") + slack - first
