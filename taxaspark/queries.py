@@ -506,12 +506,13 @@ def _references(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT substr(translate(text, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ'), CAST(k AS BIGINT) + 1, 18) AS seed, count(*) AS places
-FROM (SELECT text, unnest(range(0, length(text) - 17)) AS k FROM documents) GROUP BY seed HAVING count(*) > 1
+WITH u AS (SELECT item_id, translate(text, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') AS t FROM benchmark),
+k AS (SELECT item_id, t, unnest(range(0, length(t) - 17)) AS pos FROM u)
+SELECT CAST(item_id AS VARCHAR) AS seqid, pos, substr(t, pos + 1, 18) AS seed FROM k
 """)
 def index_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    index = seeds.build_index(_references(spark, sf_dir), unknown=None)
-    return index.groupBy("seed").agg(F.count("*").alias("places")).where("places > 1")
+    refs = _table(spark, sf_dir, "benchmark").select(F.col("item_id").cast("string").alias("seqid"), F.col("item_id").alias("taxid"), F.col("text").alias("seq"))
+    return seeds.build_index(refs, unknown=None).select("seqid", "pos", "seed")
 
 
 @query()

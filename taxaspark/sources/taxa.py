@@ -22,9 +22,9 @@ def read_taxonomy(spark: SparkSession, names: str, merged: str | None = None) ->
     Rows have fields between ``\\t|\\t`` and end in ``\\t|``.
     """
     fields = lambda path: read_lines(spark, path).select(F.split(F.regexp_replace("value", r"\t\|$", ""), r"\t\|\t").alias("f"))
-    own = fields(names).where("f[3] = 'scientific name'").select(F.col("f")[0].try_cast("bigint").alias("taxid"), F.col("f")[1].alias("name"))
+    own = fields(names).where("get(f, 3) = 'scientific name'").select(F.get("f", F.lit(0)).try_cast("bigint").alias("taxid"), F.get("f", F.lit(1)).alias("name"))
     own = own.where("taxid > 0")
     if merged:
-        became = fields(merged).select(F.col("f")[0].try_cast("bigint").alias("old"), F.col("f")[1].try_cast("bigint").alias("taxid"))
+        became = fields(merged).select(F.get("f", F.lit(0)).try_cast("bigint").alias("old"), F.get("f", F.lit(1)).try_cast("bigint").alias("taxid"))
         own = own.unionByName(became.join(own, "taxid").select(F.col("old").alias("taxid"), "name"))
     return own.groupBy("taxid").agg(F.min("name").alias("name"))
