@@ -161,12 +161,13 @@ def mix(docs: DataFrame, size: str, sources: str, key: str = "doc_id", weight: C
 
     spark = docs.sparkSession
     kind = "code string, passes long, rest long, source_size long, target double"
-    wanted = spark.createDataFrame([p for p in plan if p[2]], kind).select("code", "rest")
+    # a row for each pattern, at most MAX_PATTERNS: no shuffle moves a document, and a hot source is nobody's key
+    wanted = F.broadcast(spark.createDataFrame([p for p in plan if p[2]], kind).select("code", "rest"))
     part = F.substring("hash", 1, PART_DIGITS)
     sums = rows.groupBy("code", part.alias("part")).agg(F.sum("size").alias("n"))
     upto = F.sum("n").over(Window.partitionBy("code").orderBy("part"))
     ends = sums.withColumn("upto", upto).join(wanted, "code").where((F.col("upto") >= F.col("rest")) & (F.col("upto") - F.col("n") < F.col("rest"))).select("code", "part", (F.col("rest") - F.col("upto") + F.col("n")).alias("left"))
-    edge = rows.withColumn("part", part).join(ends, ["code", "part"])
+    edge = rows.withColumn("part", part).join(F.broadcast(ends), ["code", "part"])  # one row for each pattern
     edge = edge.groupBy("code", "part", "hash", "left").agg(F.sum("size").alias("n")).withColumn("upto", F.sum("n").over(Window.partitionBy("code").orderBy("hash")))
     before = F.col("upto") - F.col("n")
     chosen = (F.col("upto") <= F.col("left")) | (F.col("upto") - F.col("left") < F.col("left") - before)
@@ -176,7 +177,7 @@ def mix(docs: DataFrame, size: str, sources: str, key: str = "doc_id", weight: C
     new = ["source_size", "target", "repeats", "taken"]
     kept = docs.select([F.col(f"`{c}`") for c in docs.columns if c.lower() not in new]).withColumns({"__code": code, "__hash": hashed})
     times = F.when(F.col(size) > 0, F.col("__passes") + (F.col("__hash") <= F.coalesce("__cut", F.lit(""))).cast("long")).otherwise(F.lit(0))
-    joined = kept.join(found, "__code").withColumn("repeats", times)
+    joined = kept.join(F.broadcast(found), "__code").withColumn("repeats", times)
     return joined.withColumn("taken", F.col("repeats") * F.col(size)).select(*kept.columns[:-2], *new)
 
 
