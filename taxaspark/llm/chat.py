@@ -6,8 +6,8 @@ A token's span runs from the end of the token before it, so that characters whic
 tokens belong to one token each. The mask gives each token the characters of it under assistant texts: where a token also
 covers the template's characters, only the part inside counts, so that the mask yields each assistant text exactly.
 
-Escaping is reversible: in texts and roles every backslash is doubled, and a backslash goes before each ``#`` of ``###`` at its
-start and before each ``</turn>``. What remains of a control string in a text is never equal to one of the template's.
+Escaping is reversible: a backslash goes before each backslash, ``#`` and ``</turn>`` of texts and roles, and before each colon of
+roles. So ``###`` stands in the template alone, and a ``</turn>`` of a text always follows an odd number of backslashes.
 
 Cases: null text or role: empty. Null turn numbers come first; equal turns are ordered by role and text. Repeated rows are turns
 of their own. A null conv_id is one conversation. No rows: no conversation. Very long conversations: one row holds the whole.
@@ -29,10 +29,10 @@ from taxaspark.llm.common import table
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 HEAD, MID, TAIL = "### ", ": ", " </turn>\n"
-_CONTROL = re.compile(r"\\|###|</turn>")
-_ESCAPED = re.compile(r"\\(\\|###|</turn>)")
+_CONTROL = re.compile(r"\\|#|</turn>")
+_ESCAPED = re.compile(r"\\(\\|#|</turn>)")
 #: A turn as rendered: no control string stands in it without its backslash. Roles also escape the colon.
-_TURN = re.compile(r"### ((?:\\(?:\\|###|</turn>|:)|[^\\:])*): ((?:\\(?:\\|###|</turn>)|[^\\<#]|<(?!/turn>)|#(?!##))*) </turn>\n")
+_TURN = re.compile(r"### ((?:\\(?:\\|#|</turn>|:)|[^\\:#])*): ((?:\\(?:\\|#|</turn>)|[^\\<#]|<(?!/turn>))*) </turn>\n")
 FIELDS = T.StructType(
     [T.StructField("text", T.StringType()), T.StructField("token_ids", T.ArrayType(T.IntegerType())), T.StructField("token_ends", T.ArrayType(T.LongType())), T.StructField("mask", T.ArrayType(T.BooleanType()))]
     + [T.StructField(n, T.ArrayType(T.LongType())) for n in ("loss_start", "loss_end")]
@@ -52,7 +52,7 @@ def escape_role(role: str) -> str:
 
 
 def unescape_role(role: str) -> str:
-    return re.sub(r"\\(\\|###|</turn>|:)", lambda m: m[1], role)
+    return re.sub(r"\\(\\|#|</turn>|:)", lambda m: m[1], role)
 
 
 def render(turns: list[tuple[str, str]], trained: frozenset[str]) -> tuple[str, np.ndarray, np.ndarray]:
@@ -82,7 +82,7 @@ def parse(text: str) -> list[tuple[str, str]]:
 
 def align(token_end: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Mask of tokens, and the masked pieces' starts and ends: sorted spans against sorted token ends, by binary search."""
-    token_start = np.r_[0, token_end[:-1]]
+    token_start = np.r_[0, token_end][:-1]
     first = np.searchsorted(token_end, start, side="right")
     last = np.searchsorted(token_start, end, side="left")  # past the last token that starts before the span's end
     count = np.maximum(last - first, 0)
@@ -181,7 +181,7 @@ WITH c AS (
   SELECT conv_id, count(*) AS n_turns,
          string_agg(concat(role, chr(10), text, chr(10)), '' ORDER BY turn NULLS FIRST, role, text) AS whole,
          coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '') AS loss,
-         sum(length(concat('### ', regexp_replace(role, '(\\|###|</turn>|:)', '\\\1', 'g'), ': ', regexp_replace(text, '(\\|###|</turn>)', '\\\1', 'g'), ' </turn>', chr(10)))) AS formatted_chars
+         sum(length(concat('### ', regexp_replace(role, '(\\|#|</turn>|:)', '\\\1', 'g'), ': ', regexp_replace(text, '(\\|#|</turn>)', '\\\1', 'g'), ' </turn>', chr(10)))) AS formatted_chars
   FROM c GROUP BY conv_id
 )
 SELECT conv_id, n_turns, sha256(whole) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256,

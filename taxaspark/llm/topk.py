@@ -6,7 +6,8 @@ weight times maximum and weight times minimum: no vector of the block scores mor
 and scored whole until the next bound is below the query's k-th score so far. Queries go in blocks, too; each meets each shard
 once, and a shard hands on k results a query at most, which one window ranks.
 
-Arithmetic is exact: on floating-point matrices where every sum stays below 2^53, else on Python's integers.
+Arithmetic is exact: on floating-point matrices where every sum stays below 2^53, else on Python's integers, and a
+score beyond 64 bits is the nearest of 64 bits.
 
 Cases: null vectors and those with a null or non-finite component take no part, as queries or candidates; empty vectors score
 0. Of vectors of different lengths the shorter counts as followed by zeros. Fewer than k candidates: all. Equal scores: the
@@ -28,6 +29,7 @@ from pyspark.sql.window import Window
 from taxaspark.llm.common import table
 
 EXACT = float(1 << 53)
+LEAST, MOST = np.iinfo(np.int64).min, np.iinfo(np.int64).max
 
 
 def quantize(vector: Column, scale: int = 256) -> Column:
@@ -53,7 +55,7 @@ class Block:
         most = np.abs(queries.astype(np.float64)).max(initial=0) * np.abs(self.vectors.astype(np.float64)).max(initial=0)
         if most * max(1, queries.shape[1]) < EXACT:
             return (queries.astype(np.float64) @ self.vectors.T.astype(np.float64)).astype(np.int64)
-        return queries.astype(object) @ self.vectors.T.astype(object)
+        return np.clip(queries.astype(object) @ self.vectors.T.astype(object), LEAST, MOST).astype(np.int64)
 
 
 def search(blocks: list[Block], query_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[int, int, int]]:
@@ -64,7 +66,7 @@ def search(blocks: list[Block], query_ids: np.ndarray, queries: np.ndarray, k: i
     bounds += 1 + 1e-9 * np.abs(bounds)  # rounding never hides a block
     order = np.argsort(-bounds, axis=1, kind="stable")
     best: list[tuple[list[int], list[int]]] = [([], []) for _ in queries]
-    kth = np.full(len(queries), -np.inf)
+    kth = np.full(len(queries), LEAST)
     live = np.arange(len(queries))
     for step in range(len(blocks)):
         at = order[live, step]
@@ -80,7 +82,7 @@ def search(blocks: list[Block], query_ids: np.ndarray, queries: np.ndarray, k: i
                 top = _top([*best[i][0], *scores[row][hit].tolist()], [*best[i][1], *block.ids[hit].tolist()], k)
                 best[i] = ([x[0] for x in top], [x[1] for x in top])
                 if len(top) == k:
-                    kth[i] = float(top[-1][0])
+                    kth[i] = top[-1][0]
     for i, (scores, ids) in enumerate(best):
         for s, c in zip(scores, ids, strict=True):
             yield int(query_ids[i]), int(c), int(s)
