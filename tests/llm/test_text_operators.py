@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from taxaspark.llm import chat, decontam, suffix, tokens
 
 SMALL = "/root/testdata/sf0.001"
@@ -271,3 +272,40 @@ def test_removal_from_nothing(spark):
     assert suffix.remove_repeats(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
     with pytest.raises(ValueError):
         suffix.remove_repeats(spark.createDataFrame([], "doc_id bigint, text string"), length=5)
+
+
+def test_passages_of_short_words(spark):
+    """Over 50 words or 200 bytes that a smaller document has go; 50 short words stay. Against every window of each kind."""
+    rng = random.Random(12)
+    short = lambda n: " ".join(rng.choice(["a", "of", "17", "é", "\n"]) + rng.choice("abcdefgh") for _ in range(n))
+    passages = [short(51), short(50), short(70), "na " * 90, " ".join(f"longer{k}" for k in range(30)), short(60)]
+    rows = [(i, f"{short(5)} {a} {short(30)}{rng.choice([' ', ''])}{b} {short(5)}") for i, (a, b) in enumerate((rng.choice(passages), rng.choice(passages)) for _ in range(24))]
+    rows += [(None, passages[0]), (None, passages[2]), (50, None), (51, ""), (3, passages[5]), (60, passages[1]), (61, passages[1])]
+
+    def windows(b):
+        words = [m.span() for m in re.finditer(rb"[^ \t\n\r\v\f]+", b)]
+        return [(p, p + 200) for p in range(len(b) - 199)] + [(words[i][0], words[i + 50][1]) for i in range(len(words) - 50)]
+
+    least = {}
+    key = lambda b, x, y: (y - x >= 200, b[x : x + 200] if y - x >= 200 else b[x:y])
+    order = lambda i: float("inf") if i is None else i
+    for i, t in rows:
+        b = (t or "").encode()
+        for x, y in windows(b):
+            least[key(b, x, y)] = min(order(i), least.get(key(b, x, y), float("inf")))
+    want, n_gone = [], 0
+    for i, t in rows:
+        b = (t or "").encode()
+        gone = {k for x, y in windows(b) if y - x <= 200 and least[key(b, x, y)] < order(i) for k in range(x, y)}
+        n_gone += len(gone)
+        want.append((i, bytes(c for k, c in enumerate(b) if k not in gone)))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumns({"lang": F.lit("en"), "source": F.lit("s"), "n_chars": F.lit(1).cast("long")}).repartition(3)
+    got = suffix.remove_repeats(df, length=corpus_pipeline.PASSAGE_BYTES, words=corpus_pipeline.PASSAGE_WORDS).collect()
+    assert sorted(map(repr, ((r.doc_id, bytes(r.kept)) for r in got))) == sorted(map(repr, want)) and n_gone > 1000
+
+
+def test_stage_removes_a_passage_of_51_short_words(spark):
+    passage = " ".join(f"{k % 7}{chr(97 + k % 26)}" for k in range(51))
+    assert len(passage) < corpus_pipeline.PASSAGE_BYTES
+    df = spark.createDataFrame([(1, f"x {passage} y", "en", "s", 1), (2, f"z {passage} w", "en", "s", 1)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    assert {r.doc_id: r.text for r in corpus_pipeline.repeated_passages(spark, df, SMALL).collect()} == {1: f"x {passage} y", 2: "z  w"}
