@@ -7,8 +7,9 @@ equal fingerprints) are one node. Nodes are dealt to shards so that each pair so
   fingerprints agree on one whole block, so that a shard is all fingerprints with one value of one block. This loses nothing.
 * With a similarity, links are pairs of that Jaccard similarity of their shingle sets, or more. Shards are the nodes that share
   the least shingle under one of five seeded orders: a pair of similarity s meets with chance 1 - (1 - s)^5, 0.9997 at 0.8. A
-  shard's tree is searched within ``radius`` bits, and the pairs found are verified on the shingle sets (on samples of about
-  2,048 hashes for texts with more distinct shingles; equal thresholds make samples comparable).
+  shard's tree is searched within ``radius`` bits first, which joins most of what belongs together; pairs that are still apart
+  then have their common shingles counted from lists of who holds what. The similarity of the sets alone decides (on samples of
+  about 2,048 hashes for texts with more distinct shingles; equal thresholds make samples comparable).
 
 A shard is a Burkhard-Keller tree: a node's children are keyed by their distance from it, and a search within r follows from a
 node at distance d only the edges d - r to d + r. Shards over ``SHARD`` nodes are cut into parts; every part's tree goes to the
@@ -178,6 +179,40 @@ def links_of_groups(group: np.ndarray, side: np.ndarray, node: np.ndarray, print
                         continue
                 union.join(m, n)
                 out.append((m, n))
+    if least is not None:
+        out += far_links(number, side, node, sketches, union, least)
+    return out
+
+
+def far_links(number: np.ndarray, side: np.ndarray, node: np.ndarray, sketches: list[bytes], union: Union, least: float) -> list[tuple[int, int]]:
+    """Links among what ``union`` hasn't joined, whatever their fingerprints: every pair of a group is decided on its sets."""
+    out = []
+    cut = np.flatnonzero(np.r_[True, number[1:] != number[:-1], True]) if len(number) else np.zeros(1, np.int64)
+    for a, b in zip(cut.tolist(), cut[1:].tolist(), strict=False):
+        if len({union.find(m) for m in node[a:b].tolist()}) == 1:
+            continue
+        level = np.fromiter((s[0] for s in sketches[a:b]), np.int64, b - a)
+        sets = [np.frombuffer(s, np.uint32, offset=1) for s in sketches[a:b]]
+        size = np.fromiter(map(len, sets), np.int64, b - a)
+        in_tree = side[a:b] & 1 == 1
+        _, code = np.unique(np.concatenate(sets), return_inverse=True)
+        holder = np.repeat(np.arange(b - a), size)
+        kept = in_tree[holder]
+        by = np.argsort(code[kept], kind="stable")
+        holders, first = holder[kept][by], np.searchsorted(code[kept][by], np.arange(code.max() + 2 if len(code) else 1))
+        start = np.cumsum(size) - size
+        for q in np.flatnonzero(side[a:b] & 2).tolist():
+            mine = code[start[q] : start[q] + size[q]]
+            lo, n = first[mine], first[mine + 1] - first[mine]
+            both = np.bincount(holders[np.arange(n.sum()) + np.repeat(lo - np.cumsum(n) + n, n)], minlength=b - a)
+            near = in_tree & (both >= least * (size[q] + size - both))
+            # of samples of two levels the counts above don't tell
+            for p in np.flatnonzero(in_tree & (near | (level != level[q]))).tolist():
+                m, n_ = int(node[a + q]), int(node[a + p])
+                if m == n_ or union.find(m) == union.find(n_) or (level[p] != level[q] and similarity(sketches[a + q], sketches[a + p]) < least):
+                    continue
+                union.join(m, n_)
+                out.append((m, n_))
     return out
 
 

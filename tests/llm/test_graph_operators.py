@@ -126,6 +126,20 @@ def test_similar_groups(spark, monkeypatch, shard):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want.values())) and kept.columns == df.columns
 
 
+def test_repeated_lines(spark):
+    """Equal sets of shingles are linked, however often a text repeats some of them, and whatever that does to fingerprints."""
+    rng = random.Random(8)
+    texts = []
+    for _ in range(60):
+        line, rest = (" ".join(f"v{rng.randrange(10**6)}" for _ in range(n)) for n in (10, 250))
+        texts += [f"{line} {line} {rest}", f"{line} " * rng.randint(80, 120) + rest]
+    sets = [set(shingles(t, 5)) for t in texts]
+    far = [(plain_print(a, 5) ^ plain_print(b, 5)).bit_count() for a, b in zip(texts[::2], texts[1::2], strict=True)]
+    assert all(a == b for a, b in zip(sets[::2], sets[1::2], strict=True)) and sum(d > 24 for d in far) > 1
+    got = simhash.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"))
+    assert {r.id: r.component_id for r in got.collect()} == {i: i - i % 2 for i in range(len(texts))}
+
+
 def test_sketches_of_long_texts():
     rng = np.random.default_rng(4)
     for share in (0.6, 0.8, 0.95):
