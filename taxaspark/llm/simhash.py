@@ -8,11 +8,12 @@ equal fingerprints) are one node. Nodes are dealt to shards so that each pair so
 * With a similarity, links are pairs of that Jaccard similarity of their shingle sets, or more. Shards are the nodes that share
   the least shingle under one of five seeded orders: a pair of similarity s meets with chance 1 - (1 - s)^5, 0.9997 at 0.8. A
   shard's tree is searched within ``radius`` bits first, which joins most of what belongs together; pairs that are still apart
-  then have their common shingles counted from lists of who holds what. The similarity of the sets alone decides (on samples of
-  about 2,048 hashes for texts with more distinct shingles; equal thresholds make samples comparable).
+  then have their common shingles counted from lists of who holds what. The similarity of the whole sets (40 bits of each
+  shingle's hash) decides for texts of any length. Samples of about 2,048 hashes only spare the trees' search pairs of long texts
+  that look dissimilar; the counts decide on those.
 
 A shard is a Burkhard-Keller tree: a node's children are keyed by their distance from it, and a search within r follows from a
-node at distance d only the edges d - r to d + r. Shards over ``SHARD`` nodes are cut into parts; every part's tree goes to the
+node at distance d only the edges d - r to d + r. Shards over ``SHARD`` nodes or ``SHARD_HASHES`` hashes are cut into parts; every part's tree goes to the
 tasks of all parts from its own on, which search it, so that a task holds two parts at most and no pair is left out. Tasks
 hand on links that span what they found. Components come from :mod:`taxaspark.llm.components`.
 
@@ -34,13 +35,17 @@ from pyspark.sql import functions as F
 from taxaspark.llm.common import materialize, mix, table
 from taxaspark.llm.components import components
 
-#: Nodes of a part of a shard.
+#: Nodes of a part of a shard, and with a similarity the hashes of their sets.
 SHARD = 1024
+SHARD_HASHES = 1 << 21
 ORDERS = 5
 SKETCH = 2048
 SEED = 42
 #: Rows that a task gathers before it builds trees, if the groups are small.
 BATCH_ROWS = 1 << 14
+BATCH_BYTES = 32 << 20
+#: Bytes of a hash in a whole set.
+WIDTH = 5
 
 
 def shingle_hashes(text: str | None, size: int) -> np.ndarray:
@@ -75,7 +80,12 @@ def least_shingles(hashes: np.ndarray) -> list[int]:
 
 def sketch(hashes: np.ndarray) -> bytes:
     """Level, then the sorted distinct 32-bit hashes under 2^(32 - level); all at level 0 of up to SKETCH distinct ones."""
-    low = np.unique((mix(hashes) >> np.uint64(32)).astype(np.uint32))
+    return sampled((mix(hashes) >> np.uint64(32)).astype(np.uint32))
+
+
+def sampled(hashes: np.ndarray) -> bytes:
+    """The sketch of 32-bit hashes."""
+    low = np.unique(hashes)
     level = 0
     while len(low) >> level > SKETCH:
         level += 1
@@ -91,6 +101,26 @@ def similarity(a: bytes, b: bytes) -> float:
     return both / max(1, len(x) + len(y) - both) if len(x) or len(y) else 1.0
 
 
+def whole_set(hashes: np.ndarray) -> bytes:
+    """The first WIDTH bytes of the mixed hashes, sorted and distinct."""
+    kept = np.unique(mix(hashes) >> np.uint64(64 - 8 * WIDTH))
+    return kept.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - WIDTH :].tobytes()
+
+
+def set_hashes(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // WIDTH, 8), np.uint8)
+    out[:, 8 - WIDTH :] = np.frombuffer(data, np.uint8).reshape(-1, WIDTH)
+    return out.view(">u8").ravel().astype(np.uint64)
+
+
+def alike(a: np.ndarray, b: np.ndarray, least: float) -> bool:
+    """Whether two sorted sets have a similarity of ``least``."""
+    if min(len(a), len(b)) < least * max(len(a), len(b)):
+        return False
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both >= least * (len(a) + len(b) - both)
+
+
 class Forest:
     """BK-trees of many groups at once, level by level: ``pivot`` has each tree node's row, ``edge`` parent * 128 + distance."""
 
@@ -158,8 +188,10 @@ class Union:
         return True
 
 
-def links_of_groups(group: np.ndarray, side: np.ndarray, node: np.ndarray, prints: np.ndarray, sketches: list[bytes] | None, radius: int, least: float | None) -> list[tuple[int, int]]:
+def links_of_groups(group: np.ndarray, side: np.ndarray, node: np.ndarray, prints: np.ndarray, sets: list[bytes] | None, radius: int, least: float | None) -> list[tuple[int, int]]:
     """Links that span what whole groups hold. ``side``: bit 1 goes into the tree, bit 2 asks. Rows are sorted by group."""
+    whole = [set_hashes(x) for x in sets] if least is not None else []
+    looks = {i: sampled((x >> np.uint64(8 * WIDTH - 32)).astype(np.uint32)) for i, x in enumerate(whole) if len(x) > SKETCH}
     number = np.cumsum(np.r_[False, group[1:] != group[:-1]])
     n_groups = int(number[-1]) + 1 if len(number) else 0
     in_tree, asks = np.flatnonzero(side & 1), np.flatnonzero(side & 2)
@@ -174,28 +206,26 @@ def links_of_groups(group: np.ndarray, side: np.ndarray, node: np.ndarray, print
                 if union.find(m) == union.find(n):
                     continue
                 if least is not None:
-                    if (m, n) in tried or not _may_be(sketches[x], sketches[y], least) or similarity(sketches[x], sketches[y]) < least:
+                    if (m, n) in tried or (x in looks and y in looks and similarity(looks[x], looks[y]) < least) or not alike(whole[x], whole[y], least):
                         tried.add((m, n))
                         continue
                 union.join(m, n)
                 out.append((m, n))
     if least is not None:
-        out += far_links(number, side, node, sketches, union, least)
+        out += far_links(number, side, node, whole, union, least)
     return out
 
 
-def far_links(number: np.ndarray, side: np.ndarray, node: np.ndarray, sketches: list[bytes], union: Union, least: float) -> list[tuple[int, int]]:
+def far_links(number: np.ndarray, side: np.ndarray, node: np.ndarray, whole: list[np.ndarray], union: Union, least: float) -> list[tuple[int, int]]:
     """Links among what ``union`` hasn't joined, whatever their fingerprints: every pair of a group is decided on its sets."""
     out = []
     cut = np.flatnonzero(np.r_[True, number[1:] != number[:-1], True]) if len(number) else np.zeros(1, np.int64)
     for a, b in zip(cut.tolist(), cut[1:].tolist(), strict=False):
         if len({union.find(m) for m in node[a:b].tolist()}) == 1:
             continue
-        level = np.fromiter((s[0] for s in sketches[a:b]), np.int64, b - a)
-        sets = [np.frombuffer(s, np.uint32, offset=1) for s in sketches[a:b]]
-        size = np.fromiter(map(len, sets), np.int64, b - a)
+        size = np.fromiter(map(len, whole[a:b]), np.int64, b - a)
         in_tree = side[a:b] & 1 == 1
-        _, code = np.unique(np.concatenate(sets), return_inverse=True)
+        _, code = np.unique(np.concatenate(whole[a:b]), return_inverse=True)
         holder = np.repeat(np.arange(b - a), size)
         kept = in_tree[holder]
         by = np.argsort(code[kept], kind="stable")
@@ -205,43 +235,34 @@ def far_links(number: np.ndarray, side: np.ndarray, node: np.ndarray, sketches:
             mine = code[start[q] : start[q] + size[q]]
             lo, n = first[mine], first[mine + 1] - first[mine]
             both = np.bincount(holders[np.arange(n.sum()) + np.repeat(lo - np.cumsum(n) + n, n)], minlength=b - a)
-            near = in_tree & (both >= least * (size[q] + size - both))
-            # of samples of two levels the counts above don't tell
-            for p in np.flatnonzero(in_tree & (near | (level != level[q]))).tolist():
-                m, n_ = int(node[a + q]), int(node[a + p])
-                if m == n_ or union.find(m) == union.find(n_) or (level[p] != level[q] and similarity(sketches[a + q], sketches[a + p]) < least):
-                    continue
-                union.join(m, n_)
-                out.append((m, n_))
+            for p in np.flatnonzero(in_tree & (both >= least * (size[q] + size - both))).tolist():
+                link = int(node[a + q]), int(node[a + p])
+                if union.join(*link):
+                    out.append(link)
     return out
 
 
-def _may_be(a: bytes, b: bytes, least: float) -> bool:
-    """False if their sizes alone rule the similarity out (of whole sets only)."""
-    return bool(a[0] or b[0]) or min(len(a), len(b)) - 1 >= least * (max(len(a), len(b)) - 1)
-
-
 def prints_of(docs: DataFrame, shingle: int, similar: bool, text: str, key: str) -> DataFrame:
-    """id, text_hash, node, print (fingerprint as long); with ``similar`` also keys and sketch."""
+    """id, text_hash, node, print (fingerprint as long); with ``similar`` also keys, shingles (the whole set) and n_shingles."""
     rows = docs.select(F.col(key).alias("id"), F.xxhash64(F.col(text)).alias("text_hash"), F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints, nodes, keys, sketches = [], [], [], []
+            prints, nodes, keys, sets = [], [], [], []
             for t in batch.column(2).to_pylist():
                 h = shingle_hashes(t, shingle)
                 prints.append(fingerprint(h))
                 if similar:
                     nodes.append(xxhash.xxh64_intdigest(b" ".join((t or "").encode("utf-8", "replace").lower().split()), 7))
                     keys.append(least_shingles(h))
-                    sketches.append(sketch(h))
+                    sets.append(whole_set(h))
             p = pa.array(np.array(prints, np.uint64).view(np.int64))
-            more = [pa.array(np.array(nodes, np.uint64).view(np.int64)), p, pa.array(keys, pa.list_(pa.int64())), pa.array(sketches, pa.binary())] if similar else [p, p]
+            more = [pa.array(np.array(nodes, np.uint64).view(np.int64)), p, pa.array(keys, pa.list_(pa.int64())), pa.array(sets, pa.binary()), pa.array([len(x) // WIDTH for x in sets], pa.int64())] if similar else [p, p]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *more], names=names)
 
-    names = ["id", "text_hash", "node", "print", *(["keys", "sketch"] if similar else [])]
+    names = ["id", "text_hash", "node", "print", *(["keys", "shingles", "n_shingles"] if similar else [])]
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, text_hash long, node long, print long" + (", keys array<long>, sketch binary" if similar else ""))
+    return rows.mapInArrow(run, f"id {kind}, text_hash long, node long, print long" + (", keys array<long>, shingles binary, n_shingles long" if similar else ""))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, radius: int = 24, least: float | None = 0.8, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -252,7 +273,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, radius: int = 24, least:
     if least is None and not 0 <= radius < 16:
         raise ValueError("without a similarity the radius is 0 to 15")
     made = materialize(prints_of(docs, shingle, least is not None, text, key), "prints")
-    nodes = made.groupBy("node").agg(F.min("print").alias("print"), F.min("id").alias("rep"), *([F.first("keys").alias("keys")] if least is not None else []))
+    nodes = made.groupBy("node").agg(F.min("print").alias("print"), F.min("id").alias("rep"), *([F.first("keys").alias("keys"), F.first("n_shingles").alias("n")] if least is not None else [F.lit(0).alias("n")]))
     nodes = materialize(nodes, "nodes")
     if least is None:
         # blocks from bit 0 up; the block's number stands above its value
@@ -261,9 +282,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, radius: int = 24, least:
         keys = F.array(*[F.xxhash64(F.lit(i), x) for i, x in enumerate(block)])
     else:
         keys = F.col("keys")
-    exploded = nodes.select("node", "print", "rep", F.explode(keys).alias("key"))
-    size = exploded.groupBy("key").count().where("count > 1").select("key", F.ceil(F.col("count") / SHARD).cast("int").alias("parts"))
-    shared = exploded.join(size, "key")
+    exploded = nodes.select("node", "print", "rep", "n", F.explode(keys).alias("key"))
+    size = exploded.groupBy("key").agg(F.count("*").alias("count"), F.sum("n").alias("n")).where("count > 1")
+    size = size.select("key", F.greatest(F.ceil(F.col("count") / SHARD), F.least("count", F.ceil(F.col("n") / SHARD_HASHES))).cast("int").alias("parts"))
+    shared = exploded.drop("n").join(size, "key")
     part = F.pmod(F.xxhash64("node", F.lit(5)), F.col("parts")).cast("int")
     shared = shared.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     lo, hi = F.least("part", "other"), F.greatest("part", "other")
@@ -273,10 +295,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, radius: int = 24, least:
     if least is None:
         pairs = shared.select(*place, "node", "print")
     else:
-        # the sketch of one row of each node that shares a shard; repeated rows count once
+        # the set of one row of each node that shares a shard; repeated rows count once
         places = shared.groupBy("node", "rep", "print").agg(F.collect_list(F.struct(*place)).alias("places")).withColumnRenamed("node", "n")
-        own = made.select("node", "id", "sketch").join(places, (F.col("node") == F.col("n")) & F.col("id").eqNullSafe(F.col("rep"))).dropDuplicates(["node", "id"])
-        pairs = own.select("node", "print", "sketch", F.explode("places").alias("p")).select("p.group", "p.side", "node", "print", "sketch")
+        own = made.select("node", "id", "shingles").join(places, (F.col("node") == F.col("n")) & F.col("id").eqNullSafe(F.col("rep"))).dropDuplicates(["node", "id"])
+        pairs = own.select("node", "print", "shingles", F.explode("places").alias("p")).select("p.group", "p.side", "node", "print", "shingles")
     dealt = pairs.repartition("group").sortWithinPartitions("group")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,7 +307,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, radius: int = 24, least:
         for batch in batches:
             held.append(batch)
             rows += len(batch)
-            if rows < BATCH_ROWS:
+            if rows < BATCH_ROWS and sum(b.nbytes for b in held) < BATCH_BYTES:
                 continue
             whole = pa.Table.from_batches(held).combine_chunks()
             group = whole.column(0).to_numpy()

@@ -140,6 +140,27 @@ def test_repeated_lines(spark):
     assert {r.id: r.component_id for r in got.collect()} == {i: i - i % 2 for i in range(len(texts))}
 
 
+@pytest.mark.parametrize("hashes", [simhash.SHARD_HASHES, 12_000])
+def test_long_texts_near_the_threshold(spark, monkeypatch, hashes):
+    """Pairs of thousands of shingles with similarities just over and just under 0.8 are decided like short ones."""
+    monkeypatch.setattr(simhash, "SHARD_HASHES", hashes)
+    rng = random.Random(10)
+    n, texts, want = 6000, [], {}
+    for k in range(24):
+        words = [f"u{rng.randrange(10**7)}" for _ in range(n)]
+        far = [f"u{rng.randrange(10**7)}" for _ in range(n)]
+        changed = n // 9 + rng.choice([-12, -6, 6, 12])  # the end of the text, so that shingles change with words
+        a, b = " ".join(words), " ".join(words[: n - changed] + far[:changed])
+        sa, sb = set(shingles(a, 5)), set(shingles(b, 5))
+        near = len(sa & sb) >= 0.8 * len(sa | sb)
+        assert abs(len(sa & sb) / len(sa | sb) - 0.8) < 0.01
+        texts += [a, b]
+        want |= {2 * k: 2 * k, 2 * k + 1: 2 * k + (not near)}
+    assert 5 < sum(i != r for i, r in want.items()) < 19
+    got = simhash.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"))
+    assert {r.id: r.component_id for r in got.collect()} == want
+
+
 def test_sketches_of_long_texts():
     rng = np.random.default_rng(4)
     for share in (0.6, 0.8, 0.95):
