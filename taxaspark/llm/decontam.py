@@ -8,13 +8,17 @@ gives the least edit distance of the whole item to any part of the text there. H
 The items are data of bounded size: ``MAX_BYTES`` of them go to the executors at once, and a larger benchmark is matched part by
 part. Answers for stretches of text seen before are kept in a table of bounded size.
 
-Cases: null or empty text: no match. Null items, and items under ``min_chars`` characters: never match, as any text may hold them.
+Items under ``min_chars`` characters, which longer words may hold by chance, match without edits and as whole words (scripts that
+don't part words with spaces: anywhere).
+
+Cases: null or empty text: no match. Null items, and items of white space: never match.
 Items equal after normalising: each is reported. Several occurrences: the nearest, then the first. Repeated rows: each is
 reported. Empty tables: no match.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import reduce
 
@@ -30,6 +34,8 @@ ERROR_RATE = 0.05
 MIN_CHARS = 20
 MAX_BYTES = 16 << 20
 KEPT_ANSWERS = 20_000
+#: Characters of scripts without spaces between words: Thai, Lao, Burmese, Khmer, Chinese, Japanese.
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\ua4cf\uf900-\ufaff\U00020000-\U0003ffff]")
 
 
 def normalise(text: str | None) -> str:
@@ -73,14 +79,23 @@ def pieces(item: str, errors: int) -> list[tuple[int, str]]:
     return [(a, item[a:b]) for a, b in zip(edges, edges[1:], strict=False)]
 
 
+def divides(text: str, at: int) -> bool:
+    """Whether no word of ``text`` goes on from before ``at`` to after it."""
+    if not 0 < at < len(text):
+        return True
+    a, b = text[at - 1], text[at]
+    return not (a.isalnum() and b.isalnum()) or bool(UNSPACED.match(a) or UNSPACED.match(b))
+
+
 class Matcher:
-    def __init__(self, items: list[str], error_rate: float):
+    def __init__(self, items: list[str], error_rate: float, min_chars: int = 0):
         self.items = items
-        self.errors = [int(error_rate * len(x)) for x in items]
+        self.min_chars = min_chars
+        self.errors = [int(error_rate * len(x)) if len(x) >= min_chars else 0 for x in items]
         self._built = None
 
     def __getstate__(self):
-        return {"items": self.items, "errors": self.errors, "_built": None}
+        return {"items": self.items, "min_chars": self.min_chars, "errors": self.errors, "_built": None}
 
     def _build(self):
         import ahocorasick
@@ -107,6 +122,8 @@ class Matcher:
         hits: dict[int, list[int]] = {}
         for last, (size, places) in automaton.iter(norm):
             for item, offset in places:
+                if len(self.items[item]) < self.min_chars and not (divides(norm, last + 1 - size) and divides(norm, last + 1)):
+                    continue
                 hits.setdefault(item, []).append(last + 1 - size - offset)
         out = []
         for item, starts in hits.items():
@@ -147,16 +164,16 @@ def matchers(benchmark: DataFrame, error_rate: float, min_chars: int, item: str,
     rows = benchmark.where(F.col(text).isNotNull()).select(F.col(item).alias("id"), F.col(text).alias("text"))
     for r in rows.toLocalIterator():
         norm = normalise(r["text"])
-        if len(norm) < min_chars:
+        if not norm:
             continue
         if size + len(norm) > MAX_BYTES and norm not in ids:
-            yield Matcher(list(ids), error_rate), list(ids.values())
+            yield Matcher(list(ids), error_rate, min_chars), list(ids.values())
             ids, size = {}, 0
         if norm not in ids:
             size += len(norm)
         ids.setdefault(norm, []).append(r["id"])
     if ids:
-        yield Matcher(list(ids), error_rate), list(ids.values())
+        yield Matcher(list(ids), error_rate, min_chars), list(ids.values())
 
 
 def find_matches(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE, min_chars: int = MIN_CHARS, text: str = "text", key: str = "doc_id", item: str = "item_id", item_text: str = "text") -> DataFrame:

@@ -199,6 +199,15 @@ def test_decontamination_part_by_part(spark, monkeypatch):
     assert [r.doc_id for r in decontam.decontaminate(docs, bench, 0.0).collect()] == [9]
 
 
+def test_short_items_match_as_whole_words(spark):
+    bench = spark.createDataFrame([(1, "2 + 2 = ?"), (2, "Art"), (3, "\u4f60\u597d\u5417"), (4, " "), (5, None), (6, "C++ or C")], "item_id bigint, text string")
+    texts = ["what is 2 +\n2 = ? then", "12 + 2 = ?", "State of the ART.", "start, artful, Arts", "\u6211\u8bf4\u4f60\u597d\u5417\u4e86", "c++ or c#", "c++ or cobol", "ar t", None, "art"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = sorted((r.doc_id, r.item_id, r.distance) for r in decontam.find_matches(docs, bench, 0.3).collect())
+    assert got == [(0, 1, 0), (2, 2, 0), (4, 3, 0), (5, 6, 0), (9, 2, 0)]
+    assert sorted(r.doc_id for r in decontam.decontaminate(docs, bench, 0.3).collect()) == [1, 3, 6, 7, 8]
+
+
 def test_decontamination_of_nothing(spark):
     docs = spark.createDataFrame([(1, "a")], "doc_id bigint, text string")
     none = spark.createDataFrame([], "item_id bigint, text string")
