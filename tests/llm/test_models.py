@@ -86,6 +86,16 @@ def test_language_odd_cases(spark, language):
     assert langid.identify(odd(spark).limit(0), language).count() == 0
 
 
+def test_rare_languages_are_learned(spark):
+    rows = [(k, f"some plain english words and the number {k}", "en") for k in range(3000)] + [(3000 + k, f"und noch ein deutscher satz {k}", "de") for k in range(40)] + [(5000 + k, f"zzyx qwrt {k} vbnm", "zz") for k in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = langid.fit(docs, langid.Trainer(max_fit_rows=200))
+    assert model.langs == ["de", "en", "zz"]
+    shares = langid.fit_shares({"en": 10**9, "de": 10**6, "zz": 7}, 3000)
+    kept = {x: n * shares[x] / 2**62 for x, n in (("en", 10**9), ("de", 10**6), ("zz", 7))}
+    assert kept["zz"] == 7 and kept["de"] > 490 and 2990 < sum(kept.values()) < 3010
+
+
 def test_language_without_rows(spark):
     none = spark.createDataFrame([], "doc_id bigint, text string, lang string")
     model = langid.fit(none)
