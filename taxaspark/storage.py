@@ -4,32 +4,65 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folders of the tables made inside each open :func:`scratch`.
+_OPEN: list[list[str]] = []
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; where it is unset (tests), a new local one."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
+
+    Where it is unset, a new local one if Spark runs on one machine; on a cluster that is an error, as executors would write to
+    folders that nobody else sees.
+    """
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="taxaspark-"))
         where = spark.sparkContext.getCheckpointDir()
     return where
 
 
+def _write(df: DataFrame, tag: str) -> tuple[str, DataFrame]:
+    spark = df.sparkSession
+    folder = f"{shared_dir(spark)}/taxaspark-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(f"{folder}/{tag}")
+    return folder, spark.read.schema(df.schema).parquet(f"{folder}/{tag}")
+
+
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: later jobs start from files that survive a lost executor."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/taxaspark-{uuid.uuid4().hex}/{tag}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    folder, out = _write(df, tag)
+    if _OPEN:
+        _OPEN[-1].append(folder)
+    return out
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def remove(df: DataFrame) -> None:
     """Delete the files behind a table of :func:`materialize` that no later job reads."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        if "/taxaspark-" in folder:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path.getParent(), True)
+    for folder in {f.rpartition("/")[0].rpartition("/")[0] for f in df.inputFiles()}:
+        if folder.rpartition("/")[2].startswith("taxaspark-"):
+            _delete(df.sparkSession, folder)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Tables that :func:`materialize` makes inside are deleted at the end; what it yields writes one that stays."""
+    folders: list[str] = []
+    _OPEN.append(folders)
+    try:
+        yield lambda df, tag: _write(df, tag)[1]
+    finally:
+        _OPEN.remove(folders)
+        for folder in folders:
+            _delete(spark, folder)
