@@ -27,16 +27,27 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def bounded_sample(df: DataFrame, key: str, bound: int, seed: int) -> DataFrame:
-    """About ``bound`` rows at most (all, if there are no more), chosen by a seeded hash of ``key``.
+def sample_hash(seed: int, by: list[str]) -> Column:
+    """A seeded hash of the columns ``by``, from 0 to 2^63 - 1. Rows that are alike in them have the same."""
+    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in by]), 1)
 
-    One cheap count fixes the share; the choice then needs neither a sort nor a shuffle and is the same on every run.
+
+def hash_cut(wanted: int, n: int) -> int:
+    """Under which hash about ``wanted`` of ``n`` distinct rows lie, with a margin so that there are hardly ever fewer."""
+    return (1 << 63) - 1 if wanted >= n else min((1 << 63) - 1, int((1.5 * wanted + 64) / n * (1 << 63)))
+
+
+def bounded_sample(df: DataFrame, by: list[str], bound: int, seed: int) -> DataFrame:
+    """At most ``bound`` rows, chosen by a seeded hash of the columns ``by``; of rows that are alike in them only one.
+
+    All of the distinct rows, if there are no more. One pass estimates their number, which fixes a cut of the hash; the rows under
+    it lose their repeats, and those of the least hashes stay. The bound is hard however often an id or a text is repeated, a
+    table with a row has a sample with a row, and the choice is the same on every run.
     """
-    n = df.count()
-    if n <= bound:
-        return df
-    cut = int((bound / n) * (1 << 62))
-    return df.where(F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(key)), 2) < F.lit(cut))
+    hashed = df.withColumn("__sample", sample_hash(seed, by))
+    n = hashed.agg(F.approx_count_distinct("__sample", 0.02)).first()[0]
+    few = hashed.where(F.col("__sample") <= hash_cut(bound, int(1.1 * n))).dropDuplicates(["__sample"])
+    return few.orderBy("__sample").limit(bound).drop("__sample")
 
 
 def with_columns_from_text(df: DataFrame, text: str, fields: list[T.StructField], score: Callable[[list[str | None]], list]) -> DataFrame:

@@ -19,8 +19,9 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
-from taxaspark.llm.common import chunks, code_points, held_out, letters, mix, table, with_columns_from_text
+from taxaspark.llm.common import chunks, code_points, hash_cut, held_out, letters, mix, sample_hash, table, with_columns_from_text
 
 FIELDS = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("accepted", T.BooleanType())]
 _FACTORS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], np.uint64)
@@ -172,29 +173,35 @@ class Trainer:
         return model
 
 
-def fit_shares(counts: dict[str, int], bound: int) -> dict[str, int]:
-    """For each language, under which of 2^62 values a row's hash must be for about ``bound`` rows in all."""
+def fit_quotas(counts: dict[str, int], bound: int) -> dict[str, int]:
+    """Rows of each language in the sample: half of ``bound`` dealt evenly, the rest by the languages' shares."""
+    if sum(counts.values()) <= bound:
+        return dict(counts)
     even = max(LEAST_ROWS, bound // (2 * len(counts)))
     first = {x: min(n, even) for x, n in counts.items()}
     left, others = max(0, bound - sum(first.values())), max(1, sum(counts.values()) - sum(first.values()))
-    return {x: 1 << 62 if first[x] == n else int((first[x] + left * (n - first[x]) / others) / n * (1 << 62)) for x, n in counts.items()}
+    return {x: first[x] + int(left * (n - first[x]) / others) for x, n in counts.items()}
 
 
 def fit(rows: DataFrame, trainer: Trainer | None = None, text: str = "text", lang: str = "lang", key: str = "doc_id") -> LanguageModel:
-    """Train on a bounded sample of ``rows``: about ``max_fit_rows`` of those of ``max_fit_chars`` characters at most.
+    """Train on a bounded sample of ``rows``: at most ``max_fit_rows`` of those of ``max_fit_chars`` characters at most.
 
     Half of the sample is dealt evenly to the languages and the rest by their share of the rows, so that each language of
-    ``rows`` is learned however rare it is (by ``LEAST_ROWS`` rows or all it has, even if that takes more than the bound).
+    ``rows`` is learned however rare it is (by ``LEAST_ROWS`` rows or all it has, even if that takes more than the bound). Rows
+    alike in key, text and language count once, and the bounds are hard.
     """
     trainer = trainer or Trainer()
-    usable = rows.where(F.col(text).isNotNull() & F.col(lang).isNotNull() & (F.length(text) <= trainer.max_fit_chars))
-    counts = {r[0]: r[1] for r in usable.groupBy(F.col(lang)).count().collect()}  # a row a language, as the model has
-    part = usable
-    if sum(counts.values()) > trainer.max_fit_rows:
-        shares = fit_shares(counts, trainer.max_fit_rows)
-        share = F.create_map(*[F.lit(x) for pair in sorted(shares.items()) for x in pair])[F.col(lang)]
-        part = usable.where(F.shiftrightunsigned(F.xxhash64(F.lit(trainer.seed), F.col(key)), 2) < share)
-    sample = sorted((r[0], r[1]) for r in part.select(lang, text).collect())
+    by = [key, text, lang]
+    usable = rows.where(F.col(text).isNotNull() & F.col(lang).isNotNull() & (F.length(text) <= trainer.max_fit_chars)).select(*by).withColumn("__sample", sample_hash(trainer.seed, by))
+    # a row a language, as the model has; the margin covers the estimate's error
+    counts = {r[0]: int(1.1 * r[1]) for r in usable.groupBy(F.col(lang)).agg(F.approx_count_distinct("__sample", 0.02)).collect()}
+    if not counts:
+        return trainer.fit([], [])
+    quotas = fit_quotas(counts, trainer.max_fit_rows)
+    of = lambda values: F.create_map(*[F.lit(x) for pair in sorted(values.items()) for x in pair])[F.col(lang)]
+    few = usable.where(F.col("__sample") <= of({x: hash_cut(quotas[x], n) for x, n in counts.items()})).dropDuplicates(["__sample"])
+    place = F.row_number().over(Window.partitionBy(lang).orderBy("__sample"))
+    sample = sorted((r[0], r[1]) for r in few.withColumn("__place", place).where(F.col("__place") <= of(quotas)).select(lang, text).collect())
     return trainer.fit([t for _, t in sample], [x for x, _ in sample])
 
 

@@ -223,7 +223,10 @@ class QualityModel:
 
 
 def fit(docs: DataFrame, trainer: Trainer | None = None, text: str = "text", key: str = "doc_id") -> QualityModel:
-    """Vote patterns are counted over all rows of ``docs``; the scorer learns from a bounded sample."""
+    """Vote patterns are counted over all rows of ``docs``; the scorer learns from a bounded sample.
+
+    The sample has ``max_fit_rows`` rows at most, whatever is repeated: rows alike in key and text count once.
+    """
     trainer = trainer or Trainer()
     names = list(LABELLERS)
     voted = with_columns_from_text(docs.select(F.col(text).alias("text")), "text", [T.StructField("pattern", T.LongType())], lambda texts: [pattern_numbers(votes(texts)).tolist()])
@@ -231,8 +234,8 @@ def fit(docs: DataFrame, trainer: Trainer | None = None, text: str = "text", key
     numbers = np.array([r[0] for r in got], np.int64)
     patterns = (numbers[:, None] // 3 ** np.arange(len(names)) % 3).astype(np.uint8).reshape(-1, len(names))
     labels = expectation_maximisation(patterns, np.array([r[1] for r in got], float))
-    rows = bounded_sample(docs.where(F.col(text).isNotNull() & (F.length(text) <= trainer.max_fit_chars)), key, trainer.max_fit_rows, trainer.seed)
-    texts = sorted(r[0] for r in rows.select(text).collect())
+    usable = docs.where(F.col(text).isNotNull() & (F.length(text) <= trainer.max_fit_chars)).select(*{key: 0, text: 0})
+    texts = sorted(r[0] for r in bounded_sample(usable, list({key: 0, text: 0}), trainer.max_fit_rows, trainer.seed).select(text).collect())
     return QualityModel(labels, trainer.fit(texts, labels.posterior(votes(texts))))
 
 

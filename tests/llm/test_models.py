@@ -40,10 +40,36 @@ def test_runs():
 
 def test_sample_is_bounded_and_repeatable(spark):
     rows = spark.range(20_000).withColumnRenamed("id", "k")
-    first = {r.k for r in bounded_sample(rows, "k", 500, 1).collect()}
-    assert first == {r.k for r in bounded_sample(rows.repartition(3), "k", 500, 1).collect()}
-    assert 350 < len(first) < 650
-    assert bounded_sample(rows, "k", 20_000, 1).count() == 20_000
+    first = {r.k for r in bounded_sample(rows, ["k"], 500, 1).collect()}
+    assert first == {r.k for r in bounded_sample(rows.repartition(3), ["k"], 500, 1).collect()}
+    assert len(first) == 500
+    assert bounded_sample(rows, ["k"], 20_000, 1).count() == 20_000
+    assert bounded_sample(rows.limit(0), ["k"], 5, 1).count() == 0
+
+
+def test_sample_of_repeated_and_null_ids(spark):
+    """50,000 rows of one id, or of none: alike in text they are one row, else the bound holds, and no sample is empty."""
+    for k in (7, None):
+        rows = spark.range(50_000).select(F.lit(k).cast("bigint").alias("k"), F.lit("same").alias("text"), F.col("id").cast("string").alias("other"))
+        assert bounded_sample(rows, ["k", "text"], 20, 1).count() == 1
+        assert [bounded_sample(rows, ["k", "other"], n, 1).count() for n in (20, 1)] == [20, 1]
+
+
+@pytest.mark.parametrize("k", [7, None])
+def test_fits_on_repeated_ids(spark, monkeypatch, k):
+    """Every model learns from at most the bound where all rows have one id or none, and learns as much as it may."""
+    seen = []
+    for module in (langid, toxicity, quality):
+        fit = module.Trainer.fit
+        monkeypatch.setattr(module.Trainer, "fit", lambda self, texts, *rest, fit=fit: seen.append(len(texts)) or fit(self, texts, *rest))
+    text = F.concat(F.when(F.col("id") % 2 == 0, F.lit("some english words ")).otherwise(F.lit("deutsche worte hier ")), F.col("id").cast("string"))
+    rows = spark.range(50_000).select(F.lit(k).cast("bigint").alias("doc_id"), text.alias("text"), F.when(F.col("id") % 2 == 0, "en").otherwise("de").alias("lang"))
+    assert langid.fit(rows, langid.Trainer(max_fit_rows=60, epochs=1)).langs == ["de", "en"]
+    quality.fit(rows, quality.Trainer(max_fit_rows=50, epochs=1))
+    labels = spark.createDataFrame([(7, 1), (8, 0)], "doc_id bigint, toxic int")
+    more = rows.unionAll(rows.withColumn("doc_id", F.lit(8).cast("bigint")))
+    toxicity.fit(more, labels, toxicity.Trainer(max_fit_rows=40, updates=2))
+    assert 58 <= seen[0] <= 60 and seen[1:] == [50, 80 if k else 40]
 
 
 def test_held_out_fold(spark):
@@ -91,9 +117,9 @@ def test_rare_languages_are_learned(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
     model = langid.fit(docs, langid.Trainer(max_fit_rows=200))
     assert model.langs == ["de", "en", "zz"]
-    shares = langid.fit_shares({"en": 10**9, "de": 10**6, "zz": 7}, 3000)
-    kept = {x: n * shares[x] / 2**62 for x, n in (("en", 10**9), ("de", 10**6), ("zz", 7))}
-    assert kept["zz"] == 7 and kept["de"] > 490 and 2990 < sum(kept.values()) < 3010
+    quotas = langid.fit_quotas({"en": 10**9, "de": 10**6, "zz": 7}, 3000)
+    assert quotas["zz"] == 7 and quotas["de"] > 490 and 2990 < sum(quotas.values()) <= 3000
+    assert langid.fit_quotas({"en": 5, "de": 6}, 3000) == {"en": 5, "de": 6}
 
 
 def test_language_without_rows(spark):
@@ -136,6 +162,22 @@ def test_toxicity_on_held_out_documents(toxic):
     assert p.between(0, 1).all()
 
 
+def test_toxicity_thresholds_by_language(toxic):
+    """Each language with texts of both labels has its own, and few of its texts draw it little from the common one."""
+    model = toxic[0]
+    assert set(model.thresholds) == {"de", "en", "es", "fr"}
+    assert all(0.05 <= t <= 0.95 for t in model.thresholds.values())
+    trainer, fake = toxicity.Trainer(), toxicity.ToxicityModel(filters=1, out=np.ones(1))
+    z = np.r_[np.full(40, 3.0), np.full(40, -3.0), 2.0, -2.9, 0.5, -3.1]
+    fake.maxima = lambda rows, begin: rows
+    y = np.r_[np.ones(40), np.zeros(40), 1, 0, 1, 0]
+    langs = ["en"] * 80 + ["fr"] * 2 + [None] * 2
+    trainer._calibrate(fake, [np.array([[v]]) for v in z], y, langs, 0.5)
+    own = toxicity.best_threshold(toxicity.sigmoid(fake.platt[0] * z[80:82] + fake.platt[1]), y[80:82])
+    assert set(fake.thresholds) == {"en", "fr"}
+    assert fake.thresholds["fr"] == pytest.approx(own / 11 + fake.threshold * 10 / 11)
+
+
 def test_toxicity_convolution_against_loops():
     rng = np.random.default_rng(3)
     n, buckets = 4, 50
