@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from taxaspark.llm.common import table, with_columns_from_text
 
@@ -177,7 +178,10 @@ def matchers(benchmark: DataFrame, error_rate: float, min_chars: int, item: str,
 
 
 def find_matches(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE, min_chars: int = MIN_CHARS, text: str = "text", key: str = "doc_id", item: str = "item_id", item_text: str = "text") -> DataFrame:
-    """``key``, item_id, distance and end (in the normalised text, of the nearest part), a row for each text and item it holds."""
+    """``key``, item_id, distance and end (in the normalised text, of the nearest part), a row for each text and item it holds.
+
+    ``item`` may have any type that Arrow has.
+    """
     id_kind, item_kind = docs.schema[key].dataType, benchmark.schema[item].dataType
     shape = T.StructType([T.StructField(key, id_kind), T.StructField("item_id", item_kind), T.StructField("distance", T.IntegerType()), T.StructField("end", T.LongType())])
     rows = docs.select(F.col(key), F.col(text).alias("__text"))
@@ -198,7 +202,7 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERRO
                             end.append(e)
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(place, pa.int64())), pa.array(items, item_arrow), pa.array(distance, pa.int32()), pa.array(end, pa.int64())], names=shape.names)
 
-        item_arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[item_kind.simpleString()]
+        item_arrow = to_arrow_type(item_kind)
         parts.append(rows.mapInArrow(run, shape))
     return reduce(DataFrame.unionAll, parts) if parts else docs.sparkSession.createDataFrame([], shape)
 
