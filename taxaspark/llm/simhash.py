@@ -4,18 +4,24 @@ A text's fingerprint has the bits that more than half of its shingles' XXH64 has
 equal fingerprints) are one node. Nodes are dealt to shards so that each pair sought meets in one at least:
 
 * Without a similarity, links are all pairs of fingerprints within ``radius`` bits. 64 bits fall into radius + 1 blocks; two such
-  fingerprints agree on one whole block, so that a shard is all fingerprints with one value of one block. This loses nothing.
+  fingerprints agree on one whole block, so that a shard is all fingerprints with one value of one block. Shards over ``SHARD``
+  nodes are split again by blocks of the bits that are left, up to ``LEVELS`` times. This loses nothing.
 * With a similarity, links are pairs of that Jaccard similarity of their shingle sets, or more. Shards are the nodes that share
-  the least shingle under one of five seeded orders: a pair of similarity s meets with chance 1 - (1 - s)^5, 0.9997 at 0.8. A
-  shard's tree is searched within ``radius`` bits first, which joins most of what belongs together; pairs that are still apart
-  then have their common shingles counted from lists of who holds what. The similarity of the whole sets (40 bits of each
-  shingle's hash) decides for texts of any length. Samples of about 2,048 hashes only spare the trees' search pairs of long texts
-  that look dissimilar; the counts decide on those.
-
-A shard is a Burkhard-Keller tree: a node's children are keyed by their distance from it, and a search within r follows from a
-node at distance d only the edges d - r to d + r. Shards over ``SHARD`` nodes or ``SHARD_HASHES`` hashes are cut into parts; every part's tree goes to the
-tasks of all parts from its own on, which search it, so that a task holds two parts at most and no pair is left out. Tasks
-hand on links that span what they found. Components come from :mod:`taxaspark.llm.components`.
+  the least shingle under one of ``ORDERS`` seeded orders: a pair of similarity s meets with chance 1 - (1 - s)^ORDERS, 0.99994
+  at 0.8. A shard's tree is searched within ``radius`` bits first (of fingerprints that count each shingle once), which joins most
+  of what belongs together; pairs that are still apart then have their common shingles counted from lists of who holds what. The
+  similarity of the whole sets (40 bits of each shingle's hash) decides for texts of any length. Samples of about 2,048 hashes
+  only spare the trees' search pairs of long texts that look dissimilar; the counts decide on those.
+
+Shards with the same nodes are searched once. A shard is a Burkhard-Keller tree: a node's children are keyed by their distance
+from it, and a search within r follows from a node at distance d only the edges d - r to d + r.
+
+What still has over ``SHARD`` nodes or ``SHARD_HASHES`` hashes is cut into parts, in two rounds. In the first, each part is a tree
+of its own with the shard's pivot node in it. Components of what that finds leave most nodes of a shard in one component; links
+are missing only between different ones, so that in the second round the nodes outside of a shard's largest component are built
+into trees, which are broadcast if their measured size is under ``BROADCAST_BYTES``, and all other nodes search them where they
+are. Beyond that size these nodes go to the tasks of all parts. Tasks hand on links that span what they found. Components come
+from :mod:`taxaspark.llm.components`.
 
 Cases: null or empty text and text of white space: fingerprint 0; such texts are copies of each other, and linked like any
 other. Fewer words than a shingle: the whole sequence. Repeated rows, null ids: each row is marked; a component's id is the
@@ -24,21 +30,26 @@ least id that isn't null. Very long texts: bits are summed in parts. Empty table
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from taxaspark.llm.common import materialize, mix, table
 from taxaspark.llm.components import components
 
 #: Nodes of a part of a shard, and with a similarity the hashes of their sets.
-SHARD = 1024
-SHARD_HASHES = 1 << 21
-ORDERS = 5
+SHARD = 256
+SHARD_HASHES = 1 << 20
+#: How often shards are split by bits.
+LEVELS = 3
+#: Bytes of fingerprints and sets that are broadcast at most.
+BROADCAST_BYTES = 16 << 20
+ORDERS = 6
 SKETCH = 2048
 SEED = 42
 #: Rows that a task gathers before it builds trees, if the groups are small.
@@ -153,6 +164,12 @@ class Forest:
         self.edge = np.concatenate(edges) if edges else np.zeros(0, np.int64)
         self.base = n_groups
 
+    def over(self, prints: np.ndarray) -> Forest:
+        """The same trees where more rows stand behind those that they were built from."""
+        out = object.__new__(Forest)
+        out.prints, out.pivot, out.edge, out.base = prints, self.pivot, self.edge, self.base
+        return out
+
     def within(self, rows: np.ndarray, group: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(row asked for, row found) for all at most ``radius`` bits apart, in pieces."""
         asked, slot = rows, group.astype(np.int64)
@@ -188,14 +205,15 @@ class Union:
         return True
 
 
-def links_of_groups(group: np.ndarray, side: np.ndarray, node: np.ndarray, prints: np.ndarray, sets: list[bytes] | None, radius: int, least: float | None) -> list[tuple[int, int]]:
-    """Links that span what whole groups hold. ``side``: bit 1 goes into the tree, bit 2 asks. Rows are sorted by group."""
+def links_of_groups(number: np.ndarray, side: np.ndarray, node: np.ndarray, prints: np.ndarray, sets: list[bytes] | None, radius: int, least: float | None, forest: Forest | None = None) -> list[tuple[int, int]]:
+    """Links that span what whole groups hold. ``number``: each row's group, 0 upwards. ``side``: bit 1 goes into the tree, bit 2 asks.
+
+    Rows are sorted by group; with ``forest``, trees built before, its rows come first and the others are in any order.
+    """
     whole = [set_hashes(x) for x in sets] if least is not None else []
     looks = {i: sampled((x >> np.uint64(8 * WIDTH - 32)).astype(np.uint32)) for i, x in enumerate(whole) if len(x) > SKETCH}
-    number = np.cumsum(np.r_[False, group[1:] != group[:-1]])
-    n_groups = int(number[-1]) + 1 if len(number) else 0
     in_tree, asks = np.flatnonzero(side & 1), np.flatnonzero(side & 2)
-    forest = Forest(prints, in_tree, number[in_tree], n_groups)
+    forest = forest.over(prints) if forest else Forest(prints, in_tree, number[in_tree], int(number[-1]) + 1 if len(number) else 0)
     union, out, tried = Union(), [], set()
     for a in range(0, len(asks), SHARD):
         part = asks[a : a + SHARD]
@@ -219,6 +237,9 @@ def links_of_groups(group: np.ndarray, side: np.ndarray, node: np.ndarray, print
 def far_links(number: np.ndarray, side: np.ndarray, node: np.ndarray, whole: list[np.ndarray], union: Union, least: float) -> list[tuple[int, int]]:
     """Links among what ``union`` hasn't joined, whatever their fingerprints: every pair of a group is decided on its sets."""
     out = []
+    if len(number) and (np.diff(number) < 0).any():
+        order = np.argsort(number, kind="stable")
+        number, side, node, whole = number[order], side[order], node[order], [whole[i] for i in order.tolist()]
     cut = np.flatnonzero(np.r_[True, number[1:] != number[:-1], True]) if len(number) else np.zeros(1, np.int64)
     for a, b in zip(cut.tolist(), cut[1:].tolist(), strict=False):
         if len({union.find(m) for m in node[a:b].tolist()}) == 1:
@@ -243,7 +264,10 @@ def far_links(number: np.ndarray, side: np.ndarray, node: np.ndarray, whole: lis
 
 
 def prints_of(docs: DataFrame, shingle: int, similar: bool, text: str, key: str) -> DataFrame:
-    """id, text_hash, node, print (fingerprint as long); with ``similar`` also keys, shingles (the whole set) and n_shingles."""
+    """id, text_hash, node, print (fingerprint as long); with ``similar`` also keys, shingles (the whole set) and n_shingles.
+
+    With ``similar`` the fingerprint counts each shingle once, and else as often as it stands in the text.
+    """
     rows = docs.select(F.col(key).alias("id"), F.xxhash64(F.col(text)).alias("text_hash"), F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,6 +275,8 @@ def prints_of(docs: DataFrame, shingle: int, similar: bool, text: str, key: str)
             prints, nodes, keys, sets = [], [], [], []
             for t in batch.column(2).to_pylist():
                 h = shingle_hashes(t, shingle)
+                if similar:
+                    h = np.unique(h)
                 prints.append(fingerprint(h))
                 if similar:
                     nodes.append(xxhash.xxh64_intdigest(b" ".join((t or "").encode("utf-8", "replace").lower().split()), 7))
@@ -265,6 +291,55 @@ def prints_of(docs: DataFrame, shingle: int, similar: bool, text: str, key: str)
     return rows.mapInArrow(run, f"id {kind}, text_hash long, node long, print long" + (", keys array<long>, shingles binary, n_shingles long" if similar else ""))
 
 
+def _bits(column: Column, start: Column, size: Column) -> Column:
+    """``size`` (under 64) bits of a long from ``start`` (under 64) on."""
+    ones = F.call_function("shiftleft", F.lit(1).cast("long"), size) - 1
+    return F.call_function("shiftrightunsigned", column, start).bitwiseAND(ones)
+
+
+def split_by_bits(rows: DataFrame, radius: int) -> DataFrame:
+    """key, rest, width, node, print -> the same, a row for each of radius + 1 blocks of the ``width`` bits ``rest``.
+
+    The key takes up the block's number and value, and ``rest`` loses its bits.
+    """
+    blocks = []
+    for j in range(radius + 1):
+        a, b = (F.floor(F.col("width") * k / (radius + 1)).cast("int") for k in (j, j + 1))
+        above = F.when(b >= 64, F.lit(0).cast("long")).otherwise(F.call_function("shiftleft", F.call_function("shiftrightunsigned", F.col("rest"), b), a))
+        blocks.append(F.struct(F.xxhash64("key", F.lit(j), _bits(F.col("rest"), a, b - a)).alias("key"), above.bitwiseOR(_bits(F.col("rest"), F.lit(0), a)).alias("rest"), (F.col("width") - b + a).alias("width")))
+    return rows.select("node", "print", F.explode(F.array(*blocks)).alias("b")).select("b.key", "b.rest", "b.width", "node", "print")
+
+
+def shards_of(nodes: DataFrame, radius: int, least: float | None) -> DataFrame:
+    """key, parts, node, print: the shards that have two nodes or more, those with the same nodes once."""
+    if least is not None:
+        return _sized(nodes.select("node", "print", "n", F.explode("keys").alias("key")), None)
+    live = nodes.select(F.lit(0).cast("long").alias("key"), F.col("print").alias("rest"), F.lit(64).alias("width"), "node", "print")
+    if radius == 0:
+        return live.limit(0).select("key", F.lit(1).alias("parts"), "node", "print")
+    done = []
+    for level in range(LEVELS):
+        rows = split_by_bits(live, radius).withColumn("n", F.lit(0))
+        if level == LEVELS - 1:
+            return reduce(DataFrame.unionAll, [*done, _sized(rows, None)])
+        sizes = materialize(rows.groupBy("key").agg(F.count("*").alias("count")).where(F.col("count") > SHARD).select("key"), "hot")
+        done.append(_sized(rows, SHARD))
+        if not sizes.limit(1).count():
+            return reduce(DataFrame.unionAll, done)
+        live = materialize(rows.join(sizes, "key").select("key", "rest", "width", "node", "print"), "split")
+
+
+def _sized(rows: DataFrame, most: int | None) -> DataFrame:
+    """key, parts, node, print of the rows whose key has 2 nodes or more (and ``most`` at most), of keys with equal nodes one."""
+    sums = [F.sum(F.shiftright(F.xxhash64(F.lit(k), "node"), 20)).alias(f"sum{k}") for k in (1, 2)]
+    sizes = rows.groupBy("key").agg(F.count("*").alias("count"), F.sum("n").alias("n"), *sums).where("count > 1")
+    if most is not None:
+        sizes = sizes.where(F.col("count") <= most)
+    sizes = sizes.groupBy("count", "n", "sum1", "sum2").agg(F.min("key").alias("key"))
+    parts = F.greatest(F.ceil(F.col("count") / SHARD), F.least("count", F.ceil(F.col("n") / SHARD_HASHES))).cast("int")
+    return rows.join(sizes.select("key", parts.alias("parts")), "key").select("key", "parts", "node", "print")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, radius: int = 24, least: float | None = 0.8, text: str = "text", key: str = "doc_id") -> DataFrame:
     """A row for each of ``docs``: id, text_hash (XXH64 of the text), node, fingerprint (16 hex digits), component_id.
 
@@ -272,64 +347,110 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, radius: int = 24, least:
     """
     if least is None and not 0 <= radius < 16:
         raise ValueError("without a similarity the radius is 0 to 15")
-    made = materialize(prints_of(docs, shingle, least is not None, text, key), "prints")
-    nodes = made.groupBy("node").agg(F.min("print").alias("print"), F.min("id").alias("rep"), *([F.first("keys").alias("keys"), F.first("n_shingles").alias("n")] if least is not None else [F.lit(0).alias("n")]))
-    nodes = materialize(nodes, "nodes")
-    if least is None:
-        # blocks from bit 0 up; the block's number stands above its value
-        edges = [round(i * 64 / (radius + 1)) for i in range(radius + 2)]
-        block = [F.shiftrightunsigned("print", a).bitwiseAND(F.lit((1 << (b - a)) - 1 if b - a < 64 else -1)) for a, b in zip(edges, edges[1:], strict=False)]
-        keys = F.array(*[F.xxhash64(F.lit(i), x) for i, x in enumerate(block)])
-    else:
-        keys = F.col("keys")
-    exploded = nodes.select("node", "print", "rep", "n", F.explode(keys).alias("key"))
-    size = exploded.groupBy("key").agg(F.count("*").alias("count"), F.sum("n").alias("n")).where("count > 1")
-    size = size.select("key", F.greatest(F.ceil(F.col("count") / SHARD), F.least("count", F.ceil(F.col("n") / SHARD_HASHES))).cast("int").alias("parts"))
-    shared = exploded.drop("n").join(size, "key")
+    made = materialize(prints_of(docs, shingle, least is not None, text, key).withColumn("row", F.monotonically_increasing_id()), "prints")
+    more = [F.first("keys").alias("keys"), F.first("n_shingles").alias("n")] if least is not None else []
+    nodes = materialize(made.groupBy("node").agg(F.min("print").alias("print"), F.min("id").alias("rep"), F.min("row").alias("row"), *more), "nodes")
+    shards = materialize(shards_of(nodes, radius, least), "shards")
+
+    def with_sets(rows: DataFrame) -> DataFrame:
+        """With the shingles of one row of each node, where links take a similarity."""
+        if least is None:
+            return rows
+        return rows.join(nodes.select("node", "row"), "node").join(made.select("row", "shingles"), "row").drop("row")
+
+    def search(rows: DataFrame) -> DataFrame:
+        """a, b: links that span what each group of ``rows`` (group, side, node, print) holds."""
+        columns = ["group", "side", "node", "print", *(["shingles"] if least is not None else [])]
+        return with_sets(rows).select(columns).repartition("group").sortWithinPartitions("group").mapInArrow(_group_by_group(radius, least), "a long, b long")
+
     part = F.pmod(F.xxhash64("node", F.lit(5)), F.col("parts")).cast("int")
-    shared = shared.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    lo, hi = F.least("part", "other"), F.greatest("part", "other")
-    # of two parts the lower one makes the tree and the upper one asks; a part by itself does both
-    side = F.when(F.col("part") == F.col("other"), 3).when(F.col("part") < F.col("other"), 1).otherwise(2)
-    place = F.xxhash64("key", lo, hi).alias("group"), side.cast("int").alias("side")
-    if least is None:
-        pairs = shared.select(*place, "node", "print")
-    else:
-        # the set of one row of each node that shares a shard; repeated rows count once
-        places = shared.groupBy("node", "rep", "print").agg(F.collect_list(F.struct(*place)).alias("places")).withColumnRenamed("node", "n")
-        own = made.select("node", "id", "shingles").join(places, (F.col("node") == F.col("n")) & F.col("id").eqNullSafe(F.col("rep"))).dropDuplicates(["node", "id"])
-        pairs = own.select("node", "print", "shingles", F.explode("places").alias("p")).select("p.group", "p.side", "node", "print", "shingles")
-    dealt = pairs.repartition("group").sortWithinPartitions("group")
+    group = F.xxhash64("key", "part").alias("group")
+    cut = shards.withColumn("part", part)
+    pivots = cut.where("parts > 1").groupBy("key", "parts").agg(F.min(F.struct(F.xxhash64("node").alias("order"), "node", "print", "part")).alias("p"))
+    pivots = pivots.select("key", "p.node", "p.print", F.col("p.part").alias("own"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")).where("part <> own")
+    first = cut.select(group, F.lit(3).alias("side"), "node", "print").unionAll(pivots.select(group, F.lit(1).alias("side"), "node", "print"))
+    roots = components(search(first))
+
+    hot = cut.where("parts > 1").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    of_root = hot.groupBy("key", "root").agg(F.count("*").alias("count"))
+    largest = of_root.groupBy("key").agg(F.max(F.struct("count", "root")).alias("r"), F.count("*").alias("n")).where("n > 1").select("key", F.col("r.root").alias("largest"))
+    hot = materialize(hot.join(largest, "key").select("key", "parts", "part", "node", "print", (F.col("root") != F.col("largest")).alias("apart")), "hot")
+    apart = hot.where("apart")
+    size = (apart if least is None else apart.join(nodes.select("node", "n"), "node")).agg(F.sum(F.lit(32) if least is None else 32 + WIDTH * F.col("n"))).first()[0]
+    if size is not None:  # else no shard was cut into parts, or each is in one component
+        if size <= BROADCAST_BYTES:
+            more_links = _search_broadcast(with_sets(apart.select("key", "node", "print")), with_sets(hot.select("key", "node", "print")), radius, least)
+        else:
+            asks = apart.withColumn("own", F.col("part")).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).where("part <> own")
+            more_links = search(hot.select(group, F.lit(1).alias("side"), "node", "print").unionAll(asks.select(group, F.lit(2).alias("side"), "node", "print")))
+        roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(more_links))
+
+    rooted = nodes.select("node", "rep").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    labels = rooted.join(rooted.groupBy("root").agg(F.min("rep").alias("component_id")), "root").select("node", "root", "component_id")
+    narrow = made.select("id", "text_hash", "node", "print")
+    return narrow.join(labels, "node").select("id", "text_hash", "node", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id", "root")
+
+
+def _links_batch(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    a = np.array(found, np.int64).reshape(-1, 2)
+    return pa.RecordBatch.from_arrays([pa.array(a[:, 0]), pa.array(a[:, 1])], names=["a", "b"])
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Tables of about BATCH_ROWS rows or BATCH_BYTES."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(map(len, held)) >= BATCH_ROWS or sum(b.nbytes for b in held) >= BATCH_BYTES:
+            yield pa.Table.from_batches(held).combine_chunks()
+            held = []
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _group_by_group(radius: int, least: float | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Over rows of group, side, node, print and shingles, sorted by group: the links of each group."""
+
+    def links(t: pa.Table) -> pa.RecordBatch:
+        column = lambda k: t.column(k).to_numpy()
+        number = np.cumsum(np.r_[False, np.diff(column(0)) != 0])
+        return _links_batch(links_of_groups(number, column(1), column(2), column(3).view(np.uint64), t.column(4).to_pylist() if least is not None else None, radius, least))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        rows = 0
-        for batch in batches:
-            held.append(batch)
-            rows += len(batch)
-            if rows < BATCH_ROWS and sum(b.nbytes for b in held) < BATCH_BYTES:
-                continue
-            whole = pa.Table.from_batches(held).combine_chunks()
-            group = whole.column(0).to_numpy()
+        rest: list[pa.Table] = []
+        for t in _gathered(batches):
+            t = pa.concat_tables([*rest, t]).combine_chunks()
+            group = t.column(0).to_numpy()
             cut = int(np.searchsorted(group, group[-1], "left"))  # the last group may go on
             if cut:
-                yield emit(whole.slice(0, cut))
-                whole = whole.slice(cut)
-            held, rows = whole.to_batches(), len(whole)
-        if rows:
-            yield emit(pa.Table.from_batches(held))
+                yield links(t.slice(0, cut))
+            rest = [t.slice(cut)]
+        if rest and len(rest[0]):
+            yield links(rest[0])
 
-    def emit(t: pa.Table) -> pa.RecordBatch:
-        column = lambda k: t.column(k).to_numpy()
-        found = links_of_groups(column(0), column(1), column(2), column(3).view(np.uint64), t.column(4).to_pylist() if least is not None else None, radius, least)
-        a = np.array(found, np.int64).reshape(-1, 2)
-        return pa.RecordBatch.from_arrays([pa.array(a[:, 0]), pa.array(a[:, 1])], names=["a", "b"])
+    return run
 
-    roots = components(dealt.mapInArrow(run, "a long, b long"))
-    rooted = nodes.select("node", "rep").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    labels = rooted.join(rooted.groupBy("root").agg(F.min("rep").alias("component_id")), "root").select("node", "root", "component_id")
-    narrow = made.select("id", "text_hash", "node", "print")
-    return narrow.join(labels, "node").select("id", "text_hash", "node", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id", "root")
+
+def _search_broadcast(apart: DataFrame, rows: DataFrame, radius: int, least: float | None) -> DataFrame:
+    """a, b: links between ``rows`` and the nodes ``apart`` of the same key; trees of the latter are built once and broadcast."""
+    columns = ["key", "node", "print", *(["shingles"] if least is not None else [])]
+    asked = apart.select(columns).toArrow().sort_by("key").combine_chunks()  # BROADCAST_BYTES at most, as measured
+    keys, number = np.unique(asked.column(0).to_numpy(), return_inverse=True)
+    prints = asked.column(2).to_numpy().view(np.uint64)
+    sets = asked.column(3).to_pylist() if least is not None else None
+    forest = Forest(prints, np.arange(len(prints)), number, len(keys))
+    held = rows.sparkSession.sparkContext.broadcast((keys, number, asked.column(1).to_numpy(), prints, sets, forest))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, number, node, prints, sets, forest = held.value
+        for t in _gathered(batches):
+            column = lambda k, t=t: t.column(k).to_numpy()
+            side = np.r_[np.full(len(node), 1), np.full(len(t), 2)]
+            own = t.column(3).to_pylist() if least is not None else None
+            found = links_of_groups(np.r_[number, np.searchsorted(keys, column(0))], side, np.r_[node, column(1)], np.r_[prints, column(2).view(np.uint64)], sets + own if least is not None else None, radius, least, forest)
+            yield _links_batch(found)
+
+    return rows.select(columns).mapInArrow(run, "a long, b long")
 
 
 def one_of_each(docs: DataFrame, marks: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:

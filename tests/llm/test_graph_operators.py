@@ -98,9 +98,11 @@ def rows_of(spark, texts):
     return rows, df.withColumns({"node": F.lit("x"), "ROOT": F.lit(1), "fingerprint": F.lit(2), "id": F.lit(3), "component_id": F.lit(4)})
 
 
-@pytest.mark.parametrize("shard", [1024, 3])
-def test_fingerprint_groups(spark, monkeypatch, shard):
+@pytest.mark.parametrize(("shard", "levels", "most"), [(1024, 3, 1 << 24), (3, 1, 1 << 24), (2, 2, 0)])
+def test_fingerprint_groups(spark, monkeypatch, shard, levels, most):
     monkeypatch.setattr(simhash, "SHARD", shard)
+    monkeypatch.setattr(simhash, "LEVELS", levels)
+    monkeypatch.setattr(simhash, "BROADCAST_BYTES", most)
     rows, df = rows_of(spark, variants(random.Random(5)))
     prints = {i: plain_print(t, 3) for i, t in rows}
     ids = sorted(prints)
@@ -110,9 +112,10 @@ def test_fingerprint_groups(spark, monkeypatch, shard):
     assert {(r.id, r.fingerprint, r.component_id) for r in got} == {(i, f"{prints[i]:016x}", want[i]) for i in ids}
 
 
-@pytest.mark.parametrize("shard", [1024, 3])
-def test_similar_groups(spark, monkeypatch, shard):
+@pytest.mark.parametrize(("shard", "most"), [(1024, 1 << 24), (3, 1 << 24), (3, 0)])
+def test_similar_groups(spark, monkeypatch, shard, most):
     monkeypatch.setattr(simhash, "SHARD", shard)
+    monkeypatch.setattr(simhash, "BROADCAST_BYTES", most)
     rows, df = rows_of(spark, variants(random.Random(6)))
     sets = {i: set(shingles(t, 5)) for i, t in rows}
     whole = {i: words_of(t) for i, t in rows}
@@ -126,6 +129,45 @@ def test_similar_groups(spark, monkeypatch, shard):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want.values())) and kept.columns == df.columns
 
 
+@pytest.mark.parametrize("most", [1 << 24, 0])
+def test_one_hot_shard(spark, monkeypatch, most):
+    """Hundreds of texts that share most of their words: a shard of many parts, with links between nodes of different ones."""
+    monkeypatch.setattr(simhash, "SHARD", 8)
+    monkeypatch.setattr(simhash, "BROADCAST_BYTES", most)
+    rng = random.Random(13)
+    base = [f"h{k}" for k in range(120)]
+    texts = []
+    for _ in range(160):
+        copy = list(base)
+        for _ in range(rng.choice([0, 1, 1, 2, 3, 4, 5, 6])):
+            copy[rng.randrange(60, 120)] = f"z{rng.randrange(10**6)}"
+        texts.append(" ".join(copy))
+    sets = [set(shingles(t, 5)) for t in texts]
+    near = lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    want = grouped(range(160), [(a, b) for a in range(160) for b in range(a) if near(a, b)])
+    assert len(set(want.values())) > 3
+    got = simhash.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"))
+    assert {r.id: r.component_id for r in got.collect()} == want
+
+
+def test_blocks_of_bits(spark):
+    """Pairs within the radius agree on a key at every level, and a level takes a block's bits away."""
+    rng = random.Random(2)
+    prints = [rng.getrandbits(64) for _ in range(40)]
+    prints += [p ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(64)) for p in prints]
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    rows = spark.createDataFrame([(0, p, 64, p, p) for p in signed], "key bigint, rest bigint, width int, node bigint, print bigint")
+    for _ in range(3):
+        rows = simhash.split_by_bits(rows, 2)
+        got = rows.collect()
+        keys = {}
+        for r in got:
+            keys.setdefault(r.node, set()).add(r.key)
+        assert all(keys[a] & keys[b] for a, b in zip(signed[:40], signed[40:], strict=True))
+        assert all(0 <= r.rest < 1 << r.width for r in got)
+        assert len({(r.key, r.rest) for r in got}) == len({(r.key, r.node) for r in got})
+
+
 def test_repeated_lines(spark):
     """Equal sets of shingles are linked, however often a text repeats some of them, and whatever that does to fingerprints."""
     rng = random.Random(8)
@@ -183,27 +225,42 @@ def test_groups_of_nothing_and_null_ids(spark):
 
 def plain_top(vectors, k, wanted):
     out = []
-    for q in sorted({i for i, v in vectors if v is not None and wanted(i)}):
+    for q in sorted({i for i, v in vectors if v is not None and None not in v and i is not None and wanted(i)}):
         asked = min(v for i, v in vectors if i == q and v is not None)
-        scored = [(-max(topk.LEAST, min(topk.MOST, sum(a * b for a, b in zip(asked, v, strict=False)))), i) for i, v in vectors if i != q and v is not None]
-        out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(sorted(scored)[:k])]
-    return sorted(out)
+        scored = [(-max(topk.LEAST, min(topk.MOST, sum(a * b for a, b in zip(asked, v, strict=False)))), i is None, i or 0) for i, v in vectors if i != q and v is not None and None not in v]
+        out += [(q, r + 1, None if null else i, -s) for r, (s, null, i) in enumerate(sorted(scored)[:k])]
+    return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("sizes", [(32_768, 256, 4096), (7, 3, 2)])
-def test_top_k_against_all_pairs(spark, sizes):
+@pytest.mark.parametrize(("block_rows", "tight"), [(256, False), (3, True)])
+def test_top_k_against_all_pairs(spark, monkeypatch, block_rows, tight):
+    """In one pass, and in several with first bounds; repeated and null ids, odd and huge vectors."""
+    if tight:
+        for name, value in (("QUERY_BYTES", 300), ("FIRST_BLOCKS", 4), ("PASSES", 2), ("QUERY_ROWS", 2)):
+            monkeypatch.setattr(topk, name, value)
     rng = random.Random(3)
     vectors = [(i, [rng.randint(-9, 9) for _ in range(6)]) for i in range(90)]
     vectors += [(90, []), (91, [1]), (92, None), (93, [0] * 6), (7, [9] * 6), (94, [1 << 61, -(1 << 61), 1]), (110, [1 << 40, 1 << 40]), (95, vectors[4][1]), (100, vectors[4][1])]
-    df = spark.createDataFrame(vectors, "vec_id bigint, vector array<bigint>").withColumns({"id": F.lit(1), "v": F.lit(2), "shard": F.lit(3)})
-    got = topk.top_k(df, df.where("vec_id % 10 = 0"), 5, shard_rows=sizes[0], block_rows=sizes[1], query_rows=sizes[2])
-    assert sorted(tuple(r) for r in got.collect()) == plain_top(vectors, 5, lambda i: i % 10 == 0)
-    assert topk.top_k(df.limit(0), df.limit(0)).count() == 0
-    assert topk.top_k(df.where("vec_id in (1, 2)"), df.where("vec_id = 1")).count() == 1
+    vectors += [(None, [9, 9, 9, 9, 9, 9]), (None, vectors[0][1]), (120, [None, 3])]
+    df = spark.createDataFrame(vectors, "vec_id bigint, vector array<bigint>").withColumns({"id": F.lit(1), "v": F.lit(2), "a": F.lit(3)})
+    got = topk.top_k(df, df.where("vec_id % 10 = 0"), 5, block_rows=block_rows)
+    want = plain_top(vectors, 5, lambda i: i % 10 == 0)
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == want and any(r[2] is None for r in want)
+    if not tight:
+        assert topk.top_k(df.limit(0), df.limit(0)).count() == 0
+        assert topk.top_k(df, df.where("vec_id is null")).count() == 0
+        assert topk.top_k(df.where("vec_id in (1, 2)"), df.where("vec_id = 1")).count() == 1
+
+
+def test_top_k_of_many_equal_vectors(spark):
+    """The smallest ids win, and equal vectors don't meet in one block or task."""
+    df = spark.range(3000).select(F.col("id").alias("vec_id"), F.array(F.lit(3), F.lit(-1)).cast("array<bigint>").alias("vector"))
+    got = topk.top_k(df, df.where("vec_id in (1, 700)"), 3)
+    assert sorted(tuple(r) for r in got.collect()) == [(1, 1, 0, 10), (1, 2, 2, 10), (1, 3, 3, 10), (700, 1, 0, 10), (700, 2, 1, 10), (700, 3, 2, 10)]
 
 
 def test_top_k_skips_blocks():
-    """Blocks whose bound is under the k-th score aren't scored."""
+    """Blocks whose bound is under the k-th score, or under a score to reach, aren't scored."""
     seen = []
 
     class Counted(topk.Block):
@@ -212,8 +269,11 @@ def test_top_k_skips_blocks():
             return super().score(queries)
 
     blocks = [Counted(np.arange(10 * b, 10 * b + 10), np.full((10, 4), b, np.int64)) for b in range(20)]
-    found = list(topk.search(blocks, np.array([-1]), np.ones((1, 4), np.int64), 5))
-    assert [c for _, c, _ in found] == [190, 191, 192, 193, 194] and seen == [190]
+    best = topk.Best(1, 5)
+    topk.search(blocks, np.array([-1]), np.ones((1, 4), np.int64), best)
+    assert best.id.tolist() == [[190, 191, 192, 193, 194]] and seen == [190]
+    topk.search(blocks[:10], np.array([-1]), np.ones((1, 4), np.int64), topk.Best(1, 5, np.array([50])))
+    assert seen == [190]
 
 
 def test_water_fill():

@@ -1,5 +1,6 @@
 """Chat formatting, token counts, decontamination and suffix-array dedup against plain versions."""
 
+import datetime
 import hashlib
 import random
 import re
@@ -141,6 +142,17 @@ def edits(item, text):
     return min(row), row.index(min(row))
 
 
+def test_items_of_any_id_type_and_ties(spark):
+    """Any id; of equal distances the first place; very long texts."""
+    item = "these words are an item of the benchmark"
+    text = "noise " * 40_000 + item.replace("words", "wards") + " and " + item.replace("item", "itam") + " more noise" * 40_000
+    docs = spark.createDataFrame([(1, text), (2, item), (2, item)], "doc_id bigint, text string")
+    for kind, value in (("smallint", 5), ("string", "5"), ("double", 5.0), ("date", datetime.date(2020, 1, 5))):
+        bench = spark.createDataFrame([(value, item)], f"item_id {kind}, text string")
+        got = sorted((r.doc_id, r.item_id, r.distance, r.end) for r in decontam.find_matches(docs, bench).collect())
+        assert got == [(1, value, 1, 6 * 40_000 + len(item)), (2, value, 0, len(item)), (2, value, 0, len(item))]
+
+
 def test_myers_against_full_table():
     rng = random.Random(6)
     for _ in range(300):
@@ -183,7 +195,7 @@ def test_matches_against_all_places(spark):
             d, end = edits(item, decontam.normalise(t))
             if d <= int(0.1 * len(item)):
                 want[i, k] = (d, end)
-    assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in want.items()}
+    assert got == want
     assert len(want) > 5
     clean = {r.doc_id for r in decontam.decontaminate(docs, bench, 0.1).collect()}
     assert clean == set(range(len(texts))) - {i for i, _ in want}
@@ -254,9 +266,15 @@ def brute(rows, length):
     return sorted(out)
 
 
-@pytest.mark.parametrize(("length", "hot"), [(20, 2000), (20, 0), (50, 2000), (50, 1)])
-def test_removal_against_all_windows(spark, monkeypatch, length, hot):
+@pytest.mark.parametrize(("length", "hot", "fan"), [(20, 2000, 64), (20, 0, 3), (50, 2000, 2), (50, 1, 64)])
+def test_removal_against_all_windows(spark, monkeypatch, length, hot, fan):
+    """Also where parcels take several steps to many small buckets."""
     monkeypatch.setattr(suffix, "PAGE_BYTES", 700)
+    if fan < 64:
+        monkeypatch.setattr(suffix, "FAN", fan)
+        monkeypatch.setattr(suffix, "BUCKET_BYTES", 1500)
+        monkeypatch.setattr(suffix, "GATHER_BYTES", 4000)
+        assert suffix.steps_to(8) == {3: [3, 9], 2: [2, 4, 8]}[fan]
     rng = random.Random(length + hot)
     noise = lambda n: "".join(rng.choice("abé ") for _ in range(n))
     passages = [noise(rng.choice([19, 20, 49, 50, 51, 200])) for _ in range(8)]
@@ -283,8 +301,11 @@ def test_removal_from_nothing(spark):
         suffix.remove_repeats(spark.createDataFrame([], "doc_id bigint, text string"), length=5)
 
 
-def test_passages_of_short_words(spark):
+@pytest.mark.parametrize("fan", [64, 2])
+def test_passages_of_short_words(spark, monkeypatch, fan):
     """Over 50 words or 200 bytes that a smaller document has go; 50 short words stay. Against every window of each kind."""
+    monkeypatch.setattr(suffix, "FAN", fan)
+    monkeypatch.setattr(suffix, "BUCKET_BYTES", {64: suffix.BUCKET_BYTES, 2: 1500}[fan])
     rng = random.Random(12)
     short = lambda n: " ".join(rng.choice(["a", "of", "17", "é", "\n"]) + rng.choice("abcdefgh") for _ in range(n))
     passages = [short(51), short(50), short(70), "na " * 90, " ".join(f"longer{k}" for k in range(30)), short(60)]
