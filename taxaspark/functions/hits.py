@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from taxaspark.functions.text import int_like_python, strip
 
 #: The two forms of a hit, taxid-seqid-position=edit and taxid=edit.
-FULL_HIT = "^([0-9]+)-([^-]+)-([0-9]+)=([0-9]+)$"
-TAXON_HIT = "^([0-9]+)=([0-9]+)$"
+HIT = "^[0-9]+(-[^-]+-[0-9]+)?=[0-9]+$"
+#: Where a hit of either form is cut; a sequence's name may hold ``=``.
+_CUT = "-|=(?=[0-9]+$)"
 _SPLIT = "(?s)^(.*):([^:]*)$"
 
 
@@ -35,14 +36,26 @@ def lenient_hit(token: Column) -> Column:
 
 
 def strict_hit(token: Column) -> Column:
-    """taxid, seqid, pos and edit by the rules of annotation; null where neither form fits.
+    """taxid, seqid, pos and edit by the rules of annotation; null where neither form fits or a number is beyond 64 bits.
 
     The form without a sequence has seqid ``""`` and pos 0. Seqid stays a string: ``007`` is not ``7``.
     """
+
+    def hit(parts: Column) -> Column:
+        number = lambda k: F.get(parts, F.lit(k)).try_cast("bigint")
+        full = F.size(parts) == 4
+        pos, edit = F.when(full, number(2)).otherwise(F.lit(0).cast("bigint")), F.when(full, number(3)).otherwise(number(1))
+        found = F.struct(number(0).alias("taxid"), F.when(full, F.get(parts, F.lit(1))).otherwise(F.lit("")).alias("seqid"), pos.alias("pos"), edit.alias("edit"))
+        return F.when(number(0).isNotNull() & pos.isNotNull() & edit.isNotNull(), found)
+
     token = strip(token)
-    full = F.struct(*[part.alias(n) for n, part in (("taxid", F.regexp_extract(token, FULL_HIT, 1).try_cast("bigint")), ("seqid", F.regexp_extract(token, FULL_HIT, 2)), ("pos", F.regexp_extract(token, FULL_HIT, 3).try_cast("bigint")), ("edit", F.regexp_extract(token, FULL_HIT, 4).try_cast("bigint")))])
-    taxon = F.struct(F.regexp_extract(token, TAXON_HIT, 1).try_cast("bigint").alias("taxid"), F.lit("").alias("seqid"), F.lit(0).cast("bigint").alias("pos"), F.regexp_extract(token, TAXON_HIT, 2).try_cast("bigint").alias("edit"))
-    return F.when(token.rlike(FULL_HIT), full).when(token.rlike(TAXON_HIT), taxon)
+    # an array of one names the parts, so that each hit is matched and cut once
+    return F.get(F.transform(F.array(F.when(token.rlike(HIT), F.split(token, _CUT))), hit), F.lit(0))
+
+
+def strict_hits_of(tokens: Column) -> Column:
+    """raw and h of each token, to be exploded: a filter on what a generator makes isn't pushed below it, and nothing is parsed twice."""
+    return F.transform(tokens, lambda t: F.struct(t.alias("raw"), strict_hit(t).alias("h")))
 
 
 def render_line(read: Column, raws: Column) -> Column:

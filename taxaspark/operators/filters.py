@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from taxaspark.functions import lenient_hit, render_line
 
-#: Lists up to this size become literals of the plan; longer ones are joined.
+#: Lists up to this size become a set of literals in the plan, a hash lookup a hit; longer ones are joined.
 INLINE = 10_000
 
 
@@ -19,11 +19,9 @@ def parse_lenient(reads: DataFrame) -> DataFrame:
 def keep_taxa(hits: Column, include: list[int] | None = None, exclude: list[int] | None = None) -> Column:
     """Hits whose taxon is in ``include`` (None: all are) and not in ``exclude``. An empty ``include`` keeps nothing."""
     if include is not None:
-        wanted = F.array(*map(F.lit, include)).cast("array<bigint>")
-        hits = F.filter(hits, lambda h: F.array_contains(wanted, h["taxid"]))
+        hits = F.filter(hits, lambda h: h["taxid"].isin(include) if include else F.lit(False))
     if exclude:
-        barred = F.array(*map(F.lit, exclude)).cast("array<bigint>")
-        hits = F.filter(hits, lambda h: ~F.array_contains(barred, h["taxid"]))
+        hits = F.filter(hits, lambda h: ~h["taxid"].isin(exclude))
     return hits
 
 
@@ -51,7 +49,7 @@ def filter_hits(reads: DataFrame, include: DataFrame | None = None, exclude: Dat
     """at, read_id, tokens -> those, parsed (readable hits) and hits (what the filters leave).
 
     Taxa first, then the distance to the best hit that is left, each line by itself even if a read has several. Lists of taxa
-    are counted; those over INLINE taxa are joined instead of compared one by one.
+    are counted; those over INLINE taxa are joined instead of looked up.
     """
     reads = parse_lenient(reads).withColumn("parsed", F.col("hits"))
     lists = {}

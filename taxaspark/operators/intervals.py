@@ -8,21 +8,36 @@ from pyspark.sql.window import Window
 
 #: Bases of a bin, about the length of a gene, so that most intervals stand in one or two.
 BIN = 2048
+#: Bins of one level that an interval reaches at most (and one more at its edge); and levels, enough for 64 bits.
+STEP = 64
+LEVELS = 9
+MOST = (1 << 63) - 1
 
 
 def intervals_at(points: DataFrame, intervals: DataFrame, on: list[str], pos: str = "pos", fuzzy: int = 0, width: int = BIN) -> DataFrame:
     """``points`` inner-joined with the closed intervals (start, end) that hold ``pos``, and exact (boolean).
 
     Where none holds it and ``fuzzy`` is over 0, those that meet [max(1, pos - fuzzy), pos + fuzzy]. An interval goes to every bin
-    that it reaches when widened by ``fuzzy``, a point to its own, so that each pair meets once. Positions under 1 have none.
-    ``points`` must be distinct in ``on`` and ``pos``.
+    that it reaches when widened by ``fuzzy``, a point to its own, so that each pair meets once. One that would reach more than
+    STEP bins goes to a level with wider ones, STEP times as wide each, and points to the levels that some interval has: a long
+    interval, or one with a wild end, is a few rows like any other. Positions under 1 have none. ``points`` must be distinct in
+    ``on`` and ``pos``.
     """
     fuzzy = max(0, fuzzy)
     # a point sees what ends at 1 or later, however far it is from there
-    spread = intervals.where(F.col("end") >= 1).withColumn("bin", F.explode(F.sequence(F.floor(F.greatest(F.col("start") - fuzzy, F.lit(0)) / width).cast("bigint"), F.floor((F.col("end") + fuzzy) / width).cast("bigint"))))
+    low = F.greatest("start", F.lit(fuzzy).cast("bigint")) - fuzzy
+    high = F.least("end", F.lit(MOST - fuzzy).cast("bigint")) + fuzzy
+    spread = intervals.where((F.col("end") >= 1) & (F.col("start") <= F.col("end"))).withColumns({"low": low, "high": high})
+    level = F.lit(0)
+    for k in range(1, LEVELS):
+        level = F.when(F.col("high") - F.col("low") >= width * STEP**k, k).otherwise(level)
+    spread = spread.withColumn("level", level)
+    levels = spread.agg(F.collect_set("level").alias("levels")).scalar()
+    bins = F.sequence(_bin(F.col("low"), width), _bin(F.col("high"), width))
     # a long interval stands in many bins, so every interval's bin is a key like any other: keys spread even where contigs don't
-    binned = points.where(F.col(pos) > 0).withColumn("bin", F.floor(F.col(pos) / width).cast("bigint"))
-    joined = binned.join(spread, [*on, "bin"]).where((F.col("start") <= F.col(pos) + fuzzy) & (F.col("end") >= F.col(pos) - fuzzy)).drop("bin")
+    spread = spread.withColumn("bin", F.explode(bins))
+    binned = points.where(F.col(pos) > 0).withColumn("levels", levels).withColumn("level", F.explode("levels")).drop("levels").withColumn("bin", _bin(F.col(pos), width))
+    joined = binned.join(spread, [*on, "level", "bin"]).where(F.col(pos).between(F.col("low"), F.col("high"))).drop("level", "bin", "low", "high")
     joined = joined.withColumn("exact", _holds(F.col(pos)))
     if not fuzzy:
         return joined
@@ -30,6 +45,11 @@ def intervals_at(points: DataFrame, intervals: DataFrame, on: list[str], pos: st
     return joined.withColumn("some", some).where("exact or not some").drop("some")
 
 
+def _bin(place: Column, width: int) -> Column:
+    """Its number among the bins of the row's level."""
+    return F.call_function("div", place, F.lit(width).cast("bigint") * F.element_at(F.array(*[F.lit(STEP**k).cast("bigint") for k in range(LEVELS)]), F.col("level") + 1))
+
+
 def _holds(pos: Column) -> Column:
     return (F.col("start") <= pos) & (F.col("end") >= pos)
 

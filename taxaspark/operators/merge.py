@@ -4,22 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from taxaspark.functions import strict_hit
+from taxaspark.functions import strict_hits_of
 
 MODES = {"taxid": ["read_id", "taxid"], "taxid-gi": ["read_id", "taxid", "seqid"]}
 
 
+def _parsed(reads: DataFrame) -> DataFrame:
+    rows = reads.select("at", "read_id", F.posexplode(strict_hits_of(F.col("tokens"))).alias("hit_idx", "t"))
+    return rows.select("at", "hit_idx", "read_id", "t.raw", "t.h")
+
+
 def strict_hits(reads: DataFrame) -> DataFrame:
     """at, read_id, tokens -> at, hit_idx, read_id, raw, taxid, seqid, pos, edit: a row for each hit that can be read."""
-    rows = reads.select("at", "read_id", F.posexplode("tokens").alias("hit_idx", "raw")).withColumn("h", strict_hit(F.col("raw")))
-    return rows.where("h is not null and h.edit is not null and h.taxid is not null and h.pos is not null").select("at", "hit_idx", "read_id", "raw", "h.*")
+    return _parsed(reads).where("h is not null").select("at", "hit_idx", "read_id", "raw", "h.*")
 
 
 def malformed_hits(reads: DataFrame) -> DataFrame:
     """at, hit_idx, read_id, raw of the hits that :func:`strict_hits` leaves out."""
-    rows = reads.select("at", "read_id", F.posexplode("tokens").alias("hit_idx", "raw")).withColumn("h", strict_hit(F.col("raw")))
-    return rows.where("h is null or h.edit is null or h.taxid is null or h.pos is null").select("at", "hit_idx", "read_id", "raw")
+    return _parsed(reads).where("h is null").drop("h")
 
 
 def best_hits(hits: DataFrame, mode: str = "taxid") -> DataFrame:
@@ -44,6 +48,5 @@ def render_hits(best: DataFrame) -> DataFrame:
 def taxon_report(best: DataFrame) -> DataFrame:
     """taxid, reads, unique_reads (of no other taxon), hits, min_edit, sum_edit. Of each taxon, over merged hits."""
     by_read = best.groupBy("read_id", "taxid").agg(F.count("*").alias("n"), F.min("edit").alias("low"), F.sum("edit").alias("total"))
-    taxa = by_read.groupBy("read_id").agg(F.count("*").alias("taxa"))
-    rows = by_read.join(taxa, "read_id")
+    rows = by_read.withColumn("taxa", F.count("*").over(Window.partitionBy("read_id")))
     return rows.groupBy("taxid").agg(F.count("*").alias("reads"), F.sum((F.col("taxa") == 1).cast("bigint")).alias("unique_reads"), F.sum("n").alias("hits"), F.min("low").alias("min_edit"), F.sum("total").alias("sum_edit"))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from taxaspark.functions import hit_tokens, read_id, render_line, strict_hit, strip
+from taxaspark.functions import hit_tokens, read_id, render_line, strict_hits_of, strip
 from taxaspark.operators.annotate import name_organisms
 from taxaspark.operators.filters import keep_near_best, keep_taxa, parse_lenient
 from taxaspark.sources.mapping import last_by
@@ -40,7 +40,7 @@ def start_filter(spark: SparkSession, directory: str, out: str, checkpoint: str,
 
 def named_hits(lines: DataFrame, mapping: DataFrame, taxonomy: DataFrame) -> DataFrame:
     """A row for each hit with its sequence's and organism's names: a stream joined with static tables."""
-    hits = _reads(lines).select("read_id", F.explode("tokens").alias("token")).withColumn("h", strict_hit(F.col("token"))).where("h is not null").select("read_id", "h.*")
+    hits = _reads(lines).select("read_id", F.explode(strict_hits_of(F.col("tokens"))).alias("t")).select("read_id", "t.h").where("h is not null").select("read_id", "h.*")
     by_seqid = last_by(mapping, "seqid").select("seqid", "assembly", F.col("header").alias("accession"), "description")
     rows = hits.join(by_seqid, "seqid", "left").withColumns({c: F.coalesce(c, F.lit("")) for c in ("assembly", "accession", "description")})
     return name_organisms(rows, taxonomy)
