@@ -19,6 +19,9 @@ from pyspark.sql.window import Window
 SEED_SIZE, SEED_INTERVAL = 18, 15
 MAX_HITS, TUNE_MAX_HITS = 2000, 200
 MIN_SEED, EDIT_RATE = 0.015, 0.13
+#: Letters of a block of a reference, and numbers that a batch of alignments holds in one column.
+BLOCK = 4096
+CELLS = 1 << 18
 
 
 def reverse_complement(seq: Column) -> Column:
@@ -36,16 +39,27 @@ def _positions(length: Column, size: int, step: int) -> Column:
     return F.when(last >= 0, F.sequence(F.lit(0).cast("bigint"), last.cast("bigint"), F.lit(step).cast("bigint"))).otherwise(F.array().cast("array<bigint>"))
 
 
-def build_index(contigs: DataFrame, size: int = SEED_SIZE, block: int = 4096, unknown: str | None = "N") -> DataFrame:
+def cut(contigs: DataFrame, overlap: int = 0, block: int = BLOCK) -> DataFrame:
+    """seqid, taxid, block (0, 1, ...), part: sequences in upper case, cut into blocks in one pass over each.
+
+    A part goes ``overlap`` (at most ``block``) letters into the next block, so that a window that starts in a block is whole there.
+    """
+    pieces = contigs.select("seqid", "taxid", F.regexp_extract_all(upper(F.col("seq")), F.lit(f"(?s).{{1,{block}}}"), F.lit(0)).alias("pieces"))
+    if overlap:
+        more = lambda p, k: F.concat(p, F.coalesce(F.substring(F.get("pieces", k + 1), 1, overlap), F.lit("")))
+        pieces = pieces.withColumn("pieces", F.transform("pieces", more))
+    return pieces.select("seqid", "taxid", F.posexplode("pieces").alias("block", "part")).withColumn("block", F.col("block").cast("bigint"))
+
+
+def build_index(contigs: DataFrame, size: int = SEED_SIZE, unknown: str | None = "N") -> DataFrame:
     """seed, seqid, taxid, pos (0-based): every window of the references' sequences; those with the ``unknown`` letter aren't seeds.
 
     A sequence is first cut into overlapping blocks, which are dealt out, so that a chromosome isn't one task.
     """
-    starts = F.sequence(F.lit(0).cast("bigint"), F.greatest(F.length("seq") - F.lit(size), F.lit(0)).cast("bigint"), F.lit(block).cast("bigint"))
-    cut = contigs.select("seqid", "taxid", upper(F.col("seq")).alias("seq")).withColumn("from", F.explode(starts))
-    parts = cut.select("seqid", "taxid", "from", F.substring(F.col("seq"), (F.col("from") + 1).cast("int"), F.lit(block + size - 1)).alias("part")).repartition("seqid", "from")
+    block = max(BLOCK, size)
+    parts = cut(contigs, size - 1, block).repartition("seqid", "block")
     rows = parts.withColumn("k", F.explode(_positions(F.length("part"), size, 1)))
-    rows = rows.select(F.substring(F.col("part"), (F.col("k") + 1).cast("int"), F.lit(size)).alias("seed"), "seqid", "taxid", (F.col("from") + F.col("k")).alias("pos"))
+    rows = rows.select(F.substring(F.col("part"), (F.col("k") + 1).cast("int"), F.lit(size)).alias("seed"), "seqid", "taxid", (F.col("block") * block + F.col("k")).alias("pos"))
     return rows if unknown is None else rows.where(~F.contains("seed", F.lit(unknown)))
 
 
@@ -82,44 +96,73 @@ def candidates(reads: DataFrame, index: DataFrame, size: int = SEED_SIZE, interv
     return groups.select("read_id", "strand", "seqid", "taxid", "diagonal", "low", "high", "seeds")
 
 
+def semi_global_many(reads: list[str], windows: list[str]) -> list[tuple[int, int]]:
+    """:func:`semi_global` of each pair; reads of one length go together, one column of numbers a window base for all of them."""
+    out: list[tuple[int, int]] = [(0, 0)] * len(reads)
+    lengths = np.array([len(r) for r in reads], np.int64)
+    # windows of like length stand together; short ones end in letters that nothing matches, which never better an earlier end
+    order = np.lexsort((np.array([len(w) for w in windows], np.int64), lengths))
+    a = 0
+    while a < len(order):
+        m = int(lengths[order[a]])
+        b = min(int(np.searchsorted(lengths[order], m, "right")), a + max(1, CELLS // (m + 1)))
+        pick = order[a:b]
+        width = max(len(windows[i]) for i in pick)
+        q = np.array([np.frombuffer(reads[i].encode("utf-32-le"), np.uint32) for i in pick], np.uint32).reshape(len(pick), m)
+        w = np.full((width, len(pick)), 0xFFFFFFFF, np.uint32)
+        for k, i in enumerate(pick):
+            w[: len(windows[i]), k] = np.frombuffer(windows[i].encode("utf-32-le"), np.uint32)
+        steps = np.arange(m + 1)
+        cost, begin = np.tile(steps, (len(pick), 1)), np.zeros((len(pick), m + 1), np.int64)
+        new, start = np.zeros_like(cost), np.zeros_like(begin)
+        best, at = cost[:, m].copy(), np.zeros(len(pick), np.int64)
+        for j, c in enumerate(w, 1):
+            diagonal, left = cost[:, :-1] + (q != c[:, None]), cost[:, 1:] + 1
+            take = diagonal <= left
+            new[:, 1:] = np.where(take, diagonal, left)
+            start[:, 0], start[:, 1:] = j, np.where(take, begin[:, :-1], begin[:, 1:])
+            # edits that skip read bases run down the column: a running minimum after taking the slope out
+            flat = new - steps
+            low = np.minimum.accumulate(flat, axis=1)
+            source = np.maximum.accumulate(np.where(flat == low, steps, 0), axis=1)
+            cost, begin = low + steps, np.take_along_axis(start, source, 1)
+            better = cost[:, m] < best
+            best, at = np.where(better, cost[:, m], best), np.where(better, begin[:, m], at)
+        for i, e, s in zip(pick.tolist(), best.tolist(), at.tolist(), strict=True):
+            out[i] = (e, s)
+        a = b
+    return out
+
+
 def semi_global(read: str, window: str) -> tuple[int, int]:
-    """Least edits of the whole read against any part of the window, and the part's start: one column of numbers a base.
+    """Least edits of the whole read against any part of the window, and the part's start.
 
     Starts are carried along; of equal edits the first end, and on it the last start.
     """
-    q, m = np.frombuffer(read.encode("utf-32-le"), np.uint32), len(read)
-    cost, begin = np.arange(m + 1), np.zeros(m + 1, np.int64)
-    steps = np.arange(m + 1)
-    best, at = int(cost[m]), 0
-    for j, c in enumerate(np.frombuffer(window.encode("utf-32-le"), np.uint32), 1):
-        diagonal, left = cost[:-1] + (q != c), cost[1:] + 1
-        take = diagonal <= left
-        new = np.r_[0, np.where(take, diagonal, left)]
-        start = np.r_[j, np.where(take, begin[:-1], begin[1:])]
-        # edits that skip read bases run down the column: a running minimum after taking the slope out
-        flat = new - steps
-        low = np.minimum.accumulate(flat)
-        source = np.maximum.accumulate(np.where(flat == low, steps, 0))
-        cost, begin = low + steps, start[source]
-        if cost[m] < best:
-            best, at = int(cost[m]), int(begin[m])
-    return best, at
+    return semi_global_many([read], [window])[0]
 
 
 def verify(cands: DataFrame, reads: DataFrame, contigs: DataFrame, edit_rate: float = EDIT_RATE, max_assignments: int | None = None) -> DataFrame:
     """read_id, taxid, seqid, pos (1-based), edit: candidates that align within the edits, the best of each sequence and strand place.
 
-    Windows of the references are cut out before they travel; alignment runs on Arrow batches.
+    ``contigs``: seqid, seq, one row a sequence, or :func:`cut` already. A candidate meets the blocks that its window touches, no
+    whole sequence; alignment runs on Arrow batches.
     """
-    rows = cands.join(reads.select("read_id", upper(F.col("seq")).alias("read")), "read_id").join(contigs.select("seqid", upper(F.col("seq")).alias("ref")), "seqid")
+    blocks = contigs if "part" in contigs.columns else cut(contigs.select("seqid", F.lit(None).alias("taxid"), "seq"))
+    rows = cands.join(reads.select("read_id", upper(F.col("seq")).alias("read")), "read_id")
     slack = F.floor(F.length("read") * edit_rate)
     first = F.greatest(F.col("low") - slack, F.lit(0))
     size = F.col("high") + F.length("read") + slack - first
-    rows = rows.select("read_id", "seqid", "taxid", F.when(F.col("strand") == "+", F.col("read")).otherwise(reverse_complement(F.col("read"))).alias("read"), first.alias("first"), F.substring(F.col("ref"), (first + 1).cast("int"), size.cast("int")).alias("window"), slack.alias("slack"))
+    rows = rows.select("read_id", "seqid", "taxid", F.when(F.col("strand") == "+", F.col("read")).otherwise(reverse_complement(F.col("read"))).alias("read"), first.alias("first"), size.alias("size"), slack.alias("slack")).distinct()
+    touched = F.sequence(F.floor(F.col("first") / BLOCK), F.floor((F.col("first") + F.greatest("size", F.lit(1)) - 1) / BLOCK))
+    met = rows.withColumn("block", F.explode(touched)).join(blocks.select("seqid", "block", "part"), ["seqid", "block"])
+    whole = met.groupBy(*rows.columns).agg(F.array_sort(F.collect_list(F.struct("block", "part"))).alias("parts"))
+    text = F.array_join(F.transform("parts", lambda p: p["part"]), "")
+    rows = whole.withColumn("window", F.substring(text, (F.col("first") - F.col("parts")[0]["block"] * BLOCK + 1).cast("int"), F.col("size").cast("int"))).drop("parts", "size")
 
     def align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            found = [semi_global(r, w) for r, w in zip(b["read"], b["window"], strict=True)]
+            found = semi_global_many(b["read"].tolist(), b["window"].tolist())
             out = b[["read_id", "taxid", "seqid"]].assign(pos=b["first"] + [s + 1 for _, s in found], edit=[e for e, _ in found])
             yield out[out["edit"] <= b["slack"]]
 
@@ -133,7 +176,7 @@ def verify(cands: DataFrame, reads: DataFrame, contigs: DataFrame, edit_rate: fl
 
 
 def assign(reads: DataFrame, index: DataFrame, contigs: DataFrame, max_assignments: int | None = None, edit_rate: float = EDIT_RATE, **search) -> DataFrame:
-    """read_id, taxid, seqid, pos, edit of every assignment. ``reads``: read_id, seq; ``contigs``: seqid, seq."""
+    """read_id, taxid, seqid, pos, edit of every assignment. ``reads``: read_id, seq; ``contigs``: seqid, seq, or :func:`cut`."""
     found = candidates(reads, index, edit_rate=edit_rate, **search)
     return verify(found, reads, contigs, edit_rate, max_assignments)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,8 @@ from taxaspark.sinks import touch, write_lines, write_table
 from taxaspark.sinks.files import protein_text
 from taxaspark.sources import read_assignments, read_fasta_of, read_gff, read_mapping, read_taxonomy
 from taxaspark.sources.lines import exists
-from taxaspark.sources.mapping import last_by
+from taxaspark.sources.mapping import last_by, repeated_keys
+from taxaspark.storage import materialize, scratch
 
 log = logging.getLogger(__name__)
 
@@ -21,42 +23,47 @@ log = logging.getLogger(__name__)
 def _resources(spark: SparkSession, hits: DataFrame, mapping: DataFrame, column: str, strict: bool) -> dict[str, str]:
     """Path of each assembly that has hits, from its last row in the map tables. One row an assembly comes to the driver."""
     wanted = hits.where("assembly <> ''").select("assembly").distinct()
-    found = {}
-    for r in wanted.join(last_by(mapping, "assembly").select("assembly", column), "assembly", "left").collect():
-        path = r[column]
-        if path and path != "NA" and exists(spark, path):
-            found[r["assembly"]] = path
-        elif strict:
-            raise FileNotFoundError(f"{column} of assembly {r['assembly']!r} does not exist: {path}")
-        else:
-            log.warning("assembly %s has no %s: %s", r["assembly"], column, path)
-    return found
+    rows = wanted.join(last_by(mapping, "assembly").select("assembly", column), "assembly", "left").collect()
+    paths = {r["assembly"]: r[column] for r in rows}
+    with ThreadPoolExecutor(32) as pool:  # a remote file system answers many questions at once
+        named = sorted({p for p in paths.values() if p and p != "NA"})
+        there = {p for p, found in zip(named, pool.map(lambda p: exists(spark, p), named), strict=True) if found}
+    for assembly, path in sorted(paths.items()):
+        if path not in there:
+            if strict:
+                raise FileNotFoundError(f"{column} of assembly {assembly!r} does not exist: {path}")
+            log.warning("assembly %s has no %s: %s", assembly, column, path)
+    return {a: p for a, p in paths.items() if p in there}
 
 
 def annotate(spark: SparkSession, assignments: str | list[str], map_tables: str | list[str], out: str, proteins_out: str, taxonomy: str | None = None, merged: str | None = None, taxa_only: bool = False, fuzzy: int = 0, strict: bool = False) -> int:
     """Write the annotated table and the proteins; the number of hits.
 
     ``taxonomy``: a dump of names; without it organisms are empty. ``strict``: a missing annotation or protein file is an error;
-    else its hits have ``NA``.
+    else its hits have ``NA``. A sequence key in several map tables is warned of; the last one counts.
     """
     mapping = read_mapping(spark, map_tables)
+    if not isinstance(map_tables, str) and len(map_tables) > 1:
+        for r in repeated_keys(mapping).limit(20).collect():
+            log.warning("sequence %s is in more than one map table: the last counts", r[0])
     reads = read_assignments(spark, assignments)
-    hits = strict_hits(reads)
     for r in malformed_hits(reads).select("raw").limit(20).collect():
         log.warning("hit can't be read: %s", r[0])
-    n = hits.count()
-    if not n:
-        touch(spark, out, "\t".join(TAXA_COLUMNS + ([] if taxa_only else CDS_COLUMNS)) + "\r\n")
-        touch(spark, proteins_out)
-        return 0
     names = read_taxonomy(spark, taxonomy, merged) if taxonomy else spark.createDataFrame([], "taxid bigint, name string")
-    rows = name_organisms(resolve(hits, mapping), names)
-    if taxa_only:
-        write_table(annotated_table(rows, taxa_only=True), out)
-        touch(spark, proteins_out)
+    with scratch(spark):
+        # named hits and their coding sequences are each written once; what follows reads them several times
+        rows = materialize(name_organisms(resolve(strict_hits(reads), mapping), names), "hits")
+        n = rows.count()
+        if not n:
+            touch(spark, out, "\t".join(TAXA_COLUMNS + ([] if taxa_only else CDS_COLUMNS)) + "\r\n")
+            touch(spark, proteins_out)
+            return 0
+        if taxa_only:
+            write_table(annotated_table(rows, taxa_only=True), out)
+            touch(spark, proteins_out)
+            return n
+        rows = materialize(add_cds(rows, read_gff(spark, _resources(spark, rows, mapping, "gff", strict)), fuzzy), "cds")
+        rows, proteins = number_proteins(rows, read_fasta_of(spark, _resources(spark, rows.where("has_cds"), mapping, "protein_fasta", strict)))
+        write_table(annotated_table(rows), out)
+        write_lines(proteins.select("protein_id", protein_text(F.col("protein_id"), F.col("header"), F.col("seq")).alias("value")), proteins_out, order=["protein_id"])
         return n
-    rows = add_cds(rows, read_gff(spark, _resources(spark, rows, mapping, "gff", strict)), fuzzy)
-    rows, proteins = number_proteins(rows, read_fasta_of(spark, _resources(spark, rows.where("has_cds"), mapping, "protein_fasta", strict)))
-    write_table(annotated_table(rows), out)
-    write_lines(proteins.select("protein_id", protein_text(F.col("protein_id"), F.col("header"), F.col("seq")).alias("value")), proteins_out, order=["protein_id"])
-    return n

@@ -7,19 +7,29 @@ from pyspark.sql import functions as F
 
 from taxaspark.operators.merge import best_hits, render_hits, strict_hits, taxon_report
 from taxaspark.operators.reads import split_reads
-from taxaspark.operators.seeds import EDIT_RATE, MAX_HITS, MIN_SEED, SEED_INTERVAL, SEED_SIZE, TUNE_MAX_HITS, assign, build_index, reference_records
+from taxaspark.operators.seeds import EDIT_RATE, MAX_HITS, MIN_SEED, SEED_INTERVAL, SEED_SIZE, TUNE_MAX_HITS, assign, build_index, cut, reference_records
 from taxaspark.sinks import write_lines, write_table
 from taxaspark.sinks.files import read_text
 from taxaspark.sources import read_assignments, read_fasta, read_reads
 from taxaspark.sources.lines import delimiter, exists
+from taxaspark.storage import materialize, remove
 
 
 def index_build(spark: SparkSession, fasta: str, index: str, mapping: str | None = None, skip_missing: bool = False, seed_size: int = SEED_SIZE, append: bool = False) -> None:
-    """Write ``<index>/seeds`` (by seed) and ``<index>/contigs``. ``append`` adds references to an index without a rebuild."""
+    """Write ``<index>/seeds`` (by seed) and ``<index>/blocks`` (of sequences). ``append`` adds references to an index without a rebuild.
+
+    A sequence key stands for one sequence: keys that repeat, or that the index has already, are an error.
+    """
     known = spark.read.csv(mapping, sep=delimiter(spark, mapping), header=True) if mapping else None
     contigs = reference_records(read_fasta(spark, fasta), known, skip_missing)
     mode = "append" if append else "overwrite"
-    contigs.write.mode(mode).parquet(f"{index}/contigs")
+    keys = contigs.select("seqid")
+    if append and exists(spark, f"{index}/blocks"):
+        keys = keys.unionByName(spark.read.parquet(f"{index}/blocks").where("block = 0").select("seqid"))
+    twice = keys.groupBy("seqid").count().where("count > 1").head(1)
+    if twice:
+        raise ValueError(f"more than one sequence has the key {twice[0][0]!r}")
+    cut(contigs).repartition("seqid", "block").sortWithinPartitions("seqid", "block").write.mode(mode).parquet(f"{index}/blocks")
     # rows with one seed stand together, and row groups have narrow ranges of seeds
     build_index(contigs, seed_size).repartition("seed").sortWithinPartitions("seed").write.mode(mode).parquet(f"{index}/seeds")
 
@@ -27,8 +37,8 @@ def index_build(spark: SparkSession, fasta: str, index: str, mapping: str | None
 def assign_reads(spark: SparkSession, index: str, results: str, fasta: str | None = None, fastq: str | None = None, max_assignments: int | None = None, max_candidates: int | None = None, max_hits: int = MAX_HITS, tune_max_hits: int = TUNE_MAX_HITS, seed_size: int = SEED_SIZE, min_seed: float = MIN_SEED, seed_interval: int = SEED_INTERVAL, edit_rate: float = EDIT_RATE, read_offset: int = 0, force_overwrite: bool = False) -> None:
     """Write a line with the assignments of each read that has any.
 
-    ``read_offset``: so many reads are skipped first. Results that exist are kept, and reads in them aren't mapped again, unless
-    ``force_overwrite``.
+    ``read_offset``: so many reads are skipped first. Results that exist are kept, and reads that were mapped for them (a table
+    ``<results>.done`` names them, with a hit or without) aren't mapped again, unless ``force_overwrite``.
     """
     reads = read_reads(spark, fasta, fastq)
     if read_offset:
@@ -36,14 +46,19 @@ def assign_reads(spark: SparkSession, index: str, results: str, fasta: str | Non
 
         reads = dense_ids(reads, ["at"], "n").where(F.col("n") > read_offset)
     reads = reads.select(F.col("id").alias("read_id"), "seq")
-    old = None
+    old, done = None, f"{results}.done"
     if exists(spark, results) and not force_overwrite:
         old = read_assignments(spark, results).select("read_id", F.concat_ws("", "read_id", F.lit(":"), F.array_join("tokens", ",")).alias("value"))
         reads = reads.join(old.select("read_id").distinct(), "read_id", "left_anti")
-    seeds, contigs = spark.read.parquet(f"{index}/seeds"), spark.read.parquet(f"{index}/contigs")
-    hits = assign(reads, seeds, contigs, max_assignments, edit_rate, size=seed_size, interval=seed_interval, max_hits=max_hits, tune_max_hits=tune_max_hits, min_seed=min_seed, max_candidates=max_candidates)
+        if exists(spark, done):
+            reads = reads.join(spark.read.parquet(done).distinct(), "read_id", "left_anti")
+    seeds, blocks = spark.read.parquet(f"{index}/seeds"), spark.read.parquet(f"{index}/blocks")
+    mapped = materialize(reads.select("read_id").distinct(), "mapped")
+    hits = assign(reads, seeds, blocks, max_assignments, edit_rate, size=seed_size, interval=seed_interval, max_hits=max_hits, tune_max_hits=tune_max_hits, min_seed=min_seed, max_candidates=max_candidates)
     lines = render_hits(hits)
     write_lines(lines if old is None else old.unionByName(lines), results, order=["read_id"])
+    mapped.write.mode("overwrite" if old is None else "append").parquet(done)
+    remove(mapped)
 
 
 def merge_files(spark: SparkSession, inputs: list[str], output: str, mode: str = "taxid", report: str | None = None) -> None:

@@ -18,6 +18,7 @@ from taxaspark.sources.assignments import parse_assignments
 from taxaspark.sources.gff import parse_gff
 from taxaspark.sources.mapping import last_by
 from taxaspark.sources.report import assembly_of, first_place_last_value, taxid_of
+from taxaspark.storage import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -243,15 +244,15 @@ def taxon_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _orders_as_reads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     customers = _table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("description"))
-    return customers, _table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("read_id"))
+    return customers, _table(spark, sf_dir, "orders").where("o_custkey % 3 <> 0").select(F.col("o_custkey").alias("read_id"))
 
 
-@query("SELECT c_custkey AS id, c_name AS description FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query("SELECT c_custkey AS id, c_name AS description FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_custkey % 3 <> 0)")
 def extract_matched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reads.split_reads(*_orders_as_reads(spark, sf_dir))[0]
 
 
-@query("SELECT c_custkey AS id, c_name AS description FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query("SELECT c_custkey AS id, c_name AS description FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_custkey % 3 <> 0)")
 def extract_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reads.split_reads(*_orders_as_reads(spark, sf_dir))[1]
 
@@ -259,7 +260,7 @@ def extract_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- annotation -------------------------------------------------------------------------------------------------------------
 
 _RESOLVED = f"""
-h AS ({HITS}), m AS ({MAP}), r AS (
+h AS ({HITS}), m AS ({MAP}), r AS MATERIALIZED (
   SELECT h.*, coalesce(m.assembly, '') AS assembly, coalesce(m.accession, '') AS accession, coalesce(m.description, '') AS description
   FROM h LEFT JOIN m ON h.seqid = m.seqid
 )"""
@@ -335,14 +336,16 @@ _ANNOTATED = f"""
 o AS (SELECT *, row_number() OVER (PARTITION BY assembly, accession, pos ORDER BY st, en, cds_id, product) AS cds_ord FROM d WHERE k = 1),
 a AS (SELECT r.*, coalesce(o.cds_id, 'NA') AS cds_id, coalesce(o.product, 'NA') AS product, coalesce(o.cds_ord, 0) AS cds_ord
       FROM r LEFT JOIN o ON r.assembly = o.assembly AND r.accession = o.accession AND r.pos = o.pos),
-n AS (SELECT *, row_number() OVER (ORDER BY assembly, accession, pos, read_id, edit, seqid, pos, taxid, cds_ord) AS line FROM a),
+n AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY assembly, accession, pos, read_id, edit, seqid, pos, taxid, cds_ord) AS line FROM a),
 s AS (SELECT assembly, id AS cds_id, concat(assembly, ' ', id) AS header, {_PROTEIN_SEQ} AS seq FROM ({PROTEINS})),
 f AS (SELECT seq, min(line) AS line, arg_min(header, line) AS header FROM n JOIN s USING (assembly, cds_id) GROUP BY seq),
 i AS (SELECT seq, header, row_number() OVER (ORDER BY line) AS protein_id FROM f)"""
 
 
 def _annotated(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return A.number_proteins(A.add_cds(_resolved(spark, sf_dir), _cds(spark, sf_dir)), _proteins(spark, sf_dir))
+    # written once: the proteins, their numbers and the table each read it
+    rows = materialize(A.add_cds(_resolved(spark, sf_dir), _cds(spark, sf_dir)), "cds")
+    return A.number_proteins(rows, _proteins(spark, sf_dir))
 
 
 @query(f"""
@@ -520,3 +523,6 @@ def assign_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     reads_ = _table(spark, sf_dir, "benchmark").select(F.col("item_id").cast("string").alias("read_id"), F.col("text").alias("seq"))
     refs = _references(spark, sf_dir)
     return seeds.assign(reads_, seeds.build_index(refs, unknown=None), refs)
+
+
+from taxaspark import file_queries  # noqa: E402, F401  adds the queries on files

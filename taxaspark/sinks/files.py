@@ -1,4 +1,4 @@
-"""Text and tables as directories of parts, or as one file."""
+"""Text and tables as one file, or, where the path ends in ``/``, as a directory of parts."""
 
 from __future__ import annotations
 
@@ -50,8 +50,11 @@ def touch(spark: SparkSession, path: str, text: str = "") -> None:
 
 
 def write_lines(df: DataFrame, path: str, value: str = "value", order: list[str] | None = None) -> None:
-    """One text file of a string column, lines ended by a line feed, in ``order``."""
+    """One text file of a string column, lines ended by a line feed, in ``order``; a directory of parts if ``path`` ends in ``/``."""
     rows = df.orderBy(*order) if order else df
+    if path.endswith("/"):
+        rows.select(value).write.mode("overwrite").text(path)
+        return
     parts = f"{path}.parts-{uuid.uuid4().hex}"
     rows.select(value).write.text(parts)
     single_file(df.sparkSession, parts, path)
@@ -60,8 +63,12 @@ def write_lines(df: DataFrame, path: str, value: str = "value", order: list[str]
 def write_table(df: DataFrame, path: str) -> None:
     """One tab-separated file with a header; lines end in CR LF, quotes are doubled, and fields quoted only where needed.
 
-    The order of ``df`` is kept. Without rows there is the header alone.
+    The order of ``df`` is kept. Without rows there is the header alone. If ``path`` ends in ``/``, it is a directory of parts,
+    each with a header: no byte passes through the driver.
     """
+    if path.endswith("/"):
+        df.write.mode("overwrite").csv(path, sep="\t", quote='"', escape='"', lineSep="\r\n", emptyValue="", nullValue="", header=True)
+        return
     parts = f"{path}.parts-{uuid.uuid4().hex}"
     df.write.csv(parts, sep="\t", quote='"', escape='"', lineSep="\r\n", emptyValue="", nullValue="", header=False)
     single_file(df.sparkSession, parts, path, "\t".join(df.columns) + "\r\n")

@@ -41,3 +41,8 @@ def last_by(rows: DataFrame, key: str) -> DataFrame:
     rest = [c for c in rows.columns if c not in ("at", key)]
     kept = rows.where(F.col(key) != "").groupBy(key).agg(F.max_by(F.struct(*rest), F.col("at")).alias("r"))
     return kept.select(key, *[F.col(f"r.{c}").alias(c) for c in rest])
+
+
+def repeated_keys(mapping: DataFrame) -> DataFrame:
+    """seqid: the keys that stand in more than one of the files."""
+    return mapping.where("seqid <> ''").groupBy("seqid").agg(F.min("at.input").alias("a"), F.max("at.input").alias("b")).where("a < b").select("seqid")

@@ -55,6 +55,16 @@ def remove(df: DataFrame) -> None:
             _delete(df.sparkSession, folder)
 
 
+@contextmanager
+def work_folder(spark: SparkSession) -> Iterator[str]:
+    """A new folder of the shared storage, deleted at the end with all that is in it."""
+    folder = f"{shared_dir(spark)}/taxaspark-{uuid.uuid4().hex}"
+    try:
+        yield folder
+    finally:
+        _delete(spark, folder)
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
     """Tables that :func:`materialize` makes inside are deleted at the end; what it yields writes one that stays."""
