@@ -54,7 +54,9 @@ SKETCH = 2048
 SEED = 42
 #: Rows that a task gathers before it builds trees, if the groups are small.
 BATCH_ROWS = 1 << 14
-BATCH_BYTES = 32 << 20
+BATCH_BYTES = 16 << 20
+#: Entries of lists of holders that are counted at once.
+PIECE = 1 << 20
 #: Bytes of a hash in a whole set.
 WIDTH = 5
 
@@ -205,13 +207,19 @@ class Union:
         return True
 
 
-def links_of_groups(number: np.ndarray, side: np.ndarray, node: np.ndarray, prints: np.ndarray, sets: list[bytes] | None, radius: int, least: float | None, forest: Forest | None = None) -> list[tuple[int, int]]:
+def links_of_groups(number: np.ndarray, side: np.ndarray, node: np.ndarray, prints: np.ndarray, whole: list[np.ndarray] | None, radius: int, least: float | None, forest: Forest | None = None, held: dict[int, Holders] | None = None) -> list[tuple[int, int]]:
     """Links that span what whole groups hold. ``number``: each row's group, 0 upwards. ``side``: bit 1 goes into the tree, bit 2 asks.
 
-    Rows are sorted by group; with ``forest``, trees built before, its rows come first and the others are in any order.
+    ``whole``: the rows' sets, if links take a similarity. Rows are sorted by group; with ``forest`` and ``held``, made of the trees'
+    rows before, these come first and the others are in any order.
     """
-    whole = [set_hashes(x) for x in sets] if least is not None else []
-    looks = {i: sampled((x >> np.uint64(8 * WIDTH - 32)).astype(np.uint32)) for i, x in enumerate(whole) if len(x) > SKETCH}
+    looks: dict[int, bytes] = {}
+
+    def look(i: int) -> bytes:
+        if i not in looks:
+            looks[i] = sampled((whole[i] >> np.uint64(8 * WIDTH - 32)).astype(np.uint32))
+        return looks[i]
+
     in_tree, asks = np.flatnonzero(side & 1), np.flatnonzero(side & 2)
     forest = forest.over(prints) if forest else Forest(prints, in_tree, number[in_tree], int(number[-1]) + 1 if len(number) else 0)
     union, out, tried = Union(), [], set()
@@ -224,40 +232,64 @@ def links_of_groups(number: np.ndarray, side: np.ndarray, node: np.ndarray, prin
                 if union.find(m) == union.find(n):
                     continue
                 if least is not None:
-                    if (m, n) in tried or (x in looks and y in looks and similarity(looks[x], looks[y]) < least) or not alike(whole[x], whole[y], least):
+                    if (m, n) in tried or (len(whole[x]) > SKETCH and len(whole[y]) > SKETCH and similarity(look(x), look(y)) < least) or not alike(whole[x], whole[y], least):
+                        if len(tried) >= BATCH_ROWS:  # a memory of what needn't be tried again
+                            tried.clear()
                         tried.add((m, n))
                         continue
                 union.join(m, n)
                 out.append((m, n))
     if least is not None:
-        out += far_links(number, side, node, whole, union, least)
+        out += far_links(number, side, node, whole, union, least, held)
     return out
 
 
-def far_links(number: np.ndarray, side: np.ndarray, node: np.ndarray, whole: list[np.ndarray], union: Union, least: float) -> list[tuple[int, int]]:
-    """Links among what ``union`` hasn't joined, whatever their fingerprints: every pair of a group is decided on its sets."""
+class Holders:
+    """Who holds which hash: the hashes of some sets, sorted, and for each the number of its set."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.size = np.fromiter(map(len, sets), np.int64, len(sets))
+        hashes, holder = np.concatenate(sets), np.repeat(np.arange(len(sets), dtype=np.int32), self.size)
+        order = np.argsort(hashes, kind="stable")
+        self.hashes, self.holder = hashes[order], holder[order]
+
+    def common(self, mine: np.ndarray) -> np.ndarray:
+        """How many hashes each set shares with the set ``mine``; looked up in pieces of PIECE entries, about."""
+        lo = np.searchsorted(self.hashes, mine, "left")
+        n = np.searchsorted(self.hashes, mine, "right") - lo
+        both, ends, i = np.zeros(len(self.size), np.int64), np.cumsum(n), 0
+        while i < len(n):
+            j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + PIECE, "right")))
+            k = n[i:j]
+            both += np.bincount(self.holder[np.arange(k.sum()) + np.repeat(lo[i:j] - np.cumsum(k) + k, k)], minlength=len(both))
+            i = j
+        return both
+
+
+def far_links(number: np.ndarray, side: np.ndarray, node: np.ndarray, whole: list[np.ndarray], union: Union, least: float, held: dict[int, Holders] | None = None) -> list[tuple[int, int]]:
+    """Links among what ``union`` hasn't joined, whatever their fingerprints: every pair of a group is decided on its sets.
+
+    ``held`` has the holders of a group's tree rows, in their order, and gets those that it lacks.
+    """
     out = []
     if len(number) and (np.diff(number) < 0).any():
         order = np.argsort(number, kind="stable")
         number, side, node, whole = number[order], side[order], node[order], [whole[i] for i in order.tolist()]
     cut = np.flatnonzero(np.r_[True, number[1:] != number[:-1], True]) if len(number) else np.zeros(1, np.int64)
     for a, b in zip(cut.tolist(), cut[1:].tolist(), strict=False):
-        if len({union.find(m) for m in node[a:b].tolist()}) == 1:
+        tree, asks = (a + np.flatnonzero(side[a:b] & bit) for bit in (1, 2))
+        if not len(tree) or not len(asks) or len({union.find(m) for m in node[a:b].tolist()}) == 1:
             continue
-        size = np.fromiter(map(len, whole[a:b]), np.int64, b - a)
-        in_tree = side[a:b] & 1 == 1
-        _, code = np.unique(np.concatenate(whole[a:b]), return_inverse=True)
-        holder = np.repeat(np.arange(b - a), size)
-        kept = in_tree[holder]
-        by = np.argsort(code[kept], kind="stable")
-        holders, first = holder[kept][by], np.searchsorted(code[kept][by], np.arange(code.max() + 2 if len(code) else 1))
-        start = np.cumsum(size) - size
-        for q in np.flatnonzero(side[a:b] & 2).tolist():
-            mine = code[start[q] : start[q] + size[q]]
-            lo, n = first[mine], first[mine + 1] - first[mine]
-            both = np.bincount(holders[np.arange(n.sum()) + np.repeat(lo - np.cumsum(n) + n, n)], minlength=b - a)
-            for p in np.flatnonzero(in_tree & (both >= least * (size[q] + size - both))).tolist():
-                link = int(node[a + q]), int(node[a + p])
+        group = int(number[a])
+        holders = held.get(group) if held is not None else None
+        if holders is None:
+            holders = Holders([whole[i] for i in tree.tolist()])
+            if held is not None:
+                held[group] = holders
+        for q in asks.tolist():
+            both = holders.common(whole[q])
+            for p in tree[both >= least * (len(whole[q]) + holders.size - both)].tolist():
+                link = int(node[q]), int(node[p])
                 if union.join(*link):
                     out.append(link)
     return out
@@ -361,7 +393,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, radius: int = 24, least:
     def search(rows: DataFrame) -> DataFrame:
         """a, b: links that span what each group of ``rows`` (group, side, node, print) holds."""
         columns = ["group", "side", "node", "print", *(["shingles"] if least is not None else [])]
-        return with_sets(rows).select(columns).repartition("group").sortWithinPartitions("group").mapInArrow(_group_by_group(radius, least), "a long, b long")
+        return with_sets(rows).select(columns).repartition("group").sortWithinPartitions("group", "side").mapInArrow(_group_by_group(radius, least), "a long, b long")
 
     part = F.pmod(F.xxhash64("node", F.lit(5)), F.col("parts")).cast("int")
     group = F.xxhash64("key", "part").alias("group")
@@ -391,6 +423,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, radius: int = 24, least:
     return narrow.join(labels, "node").select("id", "text_hash", "node", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id", "root")
 
 
+def _sets(column: pa.ChunkedArray) -> list[np.ndarray]:
+    return [set_hashes(x.as_buffer()) for x in column]
+
+
 def _links_batch(found: list[tuple[int, int]]) -> pa.RecordBatch:
     a = np.array(found, np.int64).reshape(-1, 2)
     return pa.RecordBatch.from_arrays([pa.array(a[:, 0]), pa.array(a[:, 1])], names=["a", "b"])
@@ -409,12 +445,15 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 def _group_by_group(radius: int, least: float | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Over rows of group, side, node, print and shingles, sorted by group: the links of each group."""
+    """Over rows of group, side, node, print and shingles, sorted by group and side: the links of each group.
+
+    Those that go into a group's tree come first, and are a part's. Those that only ask, however many, go by in pieces.
+    """
 
     def links(t: pa.Table) -> pa.RecordBatch:
         column = lambda k: t.column(k).to_numpy()
         number = np.cumsum(np.r_[False, np.diff(column(0)) != 0])
-        return _links_batch(links_of_groups(number, column(1), column(2), column(3).view(np.uint64), t.column(4).to_pylist() if least is not None else None, radius, least))
+        return _links_batch(links_of_groups(number, column(1), column(2), column(3).view(np.uint64), _sets(t.column(4)) if least is not None else None, radius, least))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: list[pa.Table] = []
@@ -424,7 +463,12 @@ def _group_by_group(radius: int, least: float | None) -> Callable[[Iterator[pa.R
             cut = int(np.searchsorted(group, group[-1], "left"))  # the last group may go on
             if cut:
                 yield links(t.slice(0, cut))
-            rest = [t.slice(cut)]
+            last = t.slice(cut)
+            in_tree = int(np.searchsorted(last.column(1).to_numpy(), 2, "left")) if last.column(1)[len(last) - 1].as_py() == 2 else len(last)
+            if in_tree < len(last):
+                yield links(last)
+                last = last.slice(0, in_tree)
+            rest = [last]
         if rest and len(rest[0]):
             yield links(rest[0])
 
@@ -443,11 +487,13 @@ def _search_broadcast(apart: DataFrame, rows: DataFrame, radius: int, least: flo
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, number, node, prints, sets, forest = held.value
+        whole = [set_hashes(x) for x in sets] if least is not None else None
+        holders: dict[int, Holders] = {}  # of the groups met so far: with the sets, a few times the size of the broadcast
         for t in _gathered(batches):
             column = lambda k, t=t: t.column(k).to_numpy()
             side = np.r_[np.full(len(node), 1), np.full(len(t), 2)]
-            own = t.column(3).to_pylist() if least is not None else None
-            found = links_of_groups(np.r_[number, np.searchsorted(keys, column(0))], side, np.r_[node, column(1)], np.r_[prints, column(2).view(np.uint64)], sets + own if least is not None else None, radius, least, forest)
+            both = whole + _sets(t.column(3)) if least is not None else None
+            found = links_of_groups(np.r_[number, np.searchsorted(keys, column(0))], side, np.r_[node, column(1)], np.r_[prints, column(2).view(np.uint64)], both, radius, least, forest, holders)
             yield _links_batch(found)
 
     return rows.select(columns).mapInArrow(run, "a long, b long")
