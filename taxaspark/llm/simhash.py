@@ -13,14 +13,15 @@ equal fingerprints) are one node. Nodes are dealt to shards so that each pair so
   similarity of the whole sets (40 bits of each shingle's hash) decides for texts of any length. Samples of about 2,048 hashes
   only spare the trees' search pairs of long texts that look dissimilar; the counts decide on those.
 
-Shards with the same nodes are searched once. A shard is a Burkhard-Keller tree: a node's children are keyed by their distance
+Shards over ``SHARD`` nodes of the second kind are split by classes of length first, which loses nothing: similar sets have
+similar lengths. Shards with the same nodes are searched once. A shard is a Burkhard-Keller tree: a node's children are keyed by their distance
 from it, and a search within r follows from a node at distance d only the edges d - r to d + r.
 
 What still has over ``SHARD`` nodes or ``SHARD_HASHES`` hashes is cut into parts, in two rounds. In the first, each part is a tree
 of its own with the shard's pivot node in it. Components of what that finds leave most nodes of a shard in one component; links
 are missing only between different ones, so that in the second round the nodes outside of a shard's largest component are built
-into trees, which are broadcast if their measured size is under ``BROADCAST_BYTES``, and all other nodes search them where they
-are. Beyond that size these nodes go to the tasks of all parts. Tasks hand on links that span what they found. Components come
+into trees, which are broadcast in rounds of ``BROADCAST_BYTES`` as measured, and all other nodes search them where they
+are. Beyond ``ROUNDS`` of them these nodes go to the tasks of all parts. Tasks hand on links that span what they found. Components come
 from :mod:`taxaspark.llm.components`.
 
 Cases: null or empty text and text of white space: fingerprint 0; such texts are copies of each other, and linked like any
@@ -30,12 +31,14 @@ least id that isn't null. Very long texts: bits are summed in parts. Empty table
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,8 +50,10 @@ SHARD = 256
 SHARD_HASHES = 1 << 20
 #: How often shards are split by bits.
 LEVELS = 3
-#: Bytes of fingerprints and sets that are broadcast at most.
+#: Bytes of fingerprints and sets that one broadcast has at most.
 BROADCAST_BYTES = 16 << 20
+#: Broadcasts of that size, one after the other, before nodes are shuffled instead.
+ROUNDS = 64
 ORDERS = 6
 SKETCH = 2048
 SEED = 42
@@ -342,10 +347,23 @@ def split_by_bits(rows: DataFrame, radius: int) -> DataFrame:
     return rows.select("node", "print", F.explode(F.array(*blocks)).alias("b")).select("b.key", "b.rest", "b.width", "node", "print")
 
 
+def split_by_length(rows: DataFrame, least: float) -> DataFrame:
+    """key, node, print, n -> the same, a row for each of two classes of lengths ``n`` (1 at least), which the key takes up.
+
+    Classes are 1 / ``least`` wide, and sets of a similarity of ``least`` differ in length by that factor at most: they lie in one
+    class or in neighbouring ones, so that a node goes to its own class and to the next, and no pair is lost.
+    """
+    width = 1e-9 - math.log(least) if least > 0 else math.inf
+    own = F.floor(F.log(F.col("n").cast("double")) / width).cast("long")
+    return rows.select("node", "print", "n", F.explode(F.array(own, own + 1)).alias("class"), F.col("key").alias("of")).select(F.xxhash64("of", "class").alias("key"), "node", "print", "n")
+
+
 def shards_of(nodes: DataFrame, radius: int, least: float | None) -> DataFrame:
     """key, parts, node, print: the shards that have two nodes or more, those with the same nodes once."""
     if least is not None:
-        return _sized(nodes.select("node", "print", "n", F.explode("keys").alias("key")), None)
+        rows = nodes.select("node", "print", "n", F.explode("keys").alias("key"))
+        hot = materialize(rows.groupBy("key").agg(F.count("*").alias("count")).where(F.col("count") > SHARD).select("key"), "hot-keys")
+        return _sized(rows.join(hot, "key", "left_anti"), None).unionAll(_sized(split_by_length(rows.join(hot, "key"), least), None))
     live = nodes.select(F.lit(0).cast("long").alias("key"), F.col("print").alias("rest"), F.lit(64).alias("width"), "node", "print")
     if radius == 0:
         return live.limit(0).select("key", F.lit(1).alias("parts"), "node", "print")
@@ -408,10 +426,22 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, radius: int = 24, least:
     largest = of_root.groupBy("key").agg(F.max(F.struct("count", "root")).alias("r"), F.count("*").alias("n")).where("n > 1").select("key", F.col("r.root").alias("largest"))
     hot = materialize(hot.join(largest, "key").select("key", "parts", "part", "node", "print", (F.col("root") != F.col("largest")).alias("apart")), "hot")
     apart = hot.where("apart")
-    size = (apart if least is None else apart.join(nodes.select("node", "n"), "node")).agg(F.sum(F.lit(32) if least is None else 32 + WIDTH * F.col("n"))).first()[0]
+    weight = F.lit(32) if least is None else 32 + WIDTH * F.col("n")
+    weighed = (apart if least is None else apart.join(nodes.select("node", "n"), "node")).select("node", weight.alias("bytes"))
+    size = weighed.agg(F.sum("bytes")).first()[0]
     if size is not None:  # else no shard was cut into parts, or each is in one component
-        if size <= BROADCAST_BYTES:
-            more_links = _search_broadcast(with_sets(apart.select("key", "node", "print")), with_sets(hot.select("key", "node", "print")), radius, least)
+        rounds = _rounds(weighed, size)
+        if rounds:
+            asking = with_sets(hot.select("key", "node", "print"))
+            built = with_sets(apart.select("key", "node", "print")).withColumn("round", _round_of(rounds))
+            if rounds > 1:
+                asking, built = materialize(asking, "asking"), materialize(built, "built")
+            found = []
+            for k in range(rounds):  # one broadcast at a time is held
+                links, held = _search_broadcast(built.where(F.col("round") == k), asking, radius, least)
+                found.append(materialize(links, "links"))
+                held.destroy()
+            more_links = reduce(DataFrame.unionAll, found)
         else:
             asks = apart.withColumn("own", F.col("part")).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).where("part <> own")
             more_links = search(hot.select(group, F.lit(1).alias("side"), "node", "print").unionAll(asks.select(group, F.lit(2).alias("side"), "node", "print")))
@@ -423,6 +453,20 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, radius: int = 24, least:
     return narrow.join(labels, "node").select("id", "text_hash", "node", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id", "root")
 
 
+def _round_of(rounds: int) -> Column:
+    return F.pmod(F.xxhash64("node", F.lit(6)), F.lit(rounds)).cast("int")
+
+
+def _rounds(weighed: DataFrame, size: int) -> int:
+    """Into how many rounds ``weighed`` (node, bytes) is cut so that each has BROADCAST_BYTES at most; 0: over ROUNDS."""
+    rounds = 1
+    while rounds <= ROUNDS:
+        if size <= rounds * BROADCAST_BYTES and weighed.groupBy(_round_of(rounds).alias("round")).agg(F.sum("bytes").alias("bytes")).agg(F.max("bytes")).first()[0] <= BROADCAST_BYTES:
+            return rounds
+        rounds *= 2
+    return 0
+
+
 def _sets(column: pa.ChunkedArray) -> list[np.ndarray]:
     return [set_hashes(x.as_buffer()) for x in column]
 
@@ -475,8 +519,11 @@ def _group_by_group(radius: int, least: float | None) -> Callable[[Iterator[pa.R
     return run
 
 
-def _search_broadcast(apart: DataFrame, rows: DataFrame, radius: int, least: float | None) -> DataFrame:
-    """a, b: links between ``rows`` and the nodes ``apart`` of the same key; trees of the latter are built once and broadcast."""
+def _search_broadcast(apart: DataFrame, rows: DataFrame, radius: int, least: float | None) -> tuple[DataFrame, Broadcast]:
+    """a, b: links between ``rows`` and the nodes ``apart`` of the same key; trees of the latter are built once and broadcast.
+
+    Also the broadcast, which is to be destroyed when the links are written.
+    """
     columns = ["key", "node", "print", *(["shingles"] if least is not None else [])]
     asked = apart.select(columns).toArrow().sort_by("key").combine_chunks()  # BROADCAST_BYTES at most, as measured
     keys, number = np.unique(asked.column(0).to_numpy(), return_inverse=True)
@@ -490,13 +537,14 @@ def _search_broadcast(apart: DataFrame, rows: DataFrame, radius: int, least: flo
         whole = [set_hashes(x) for x in sets] if least is not None else None
         holders: dict[int, Holders] = {}  # of the groups met so far: with the sets, a few times the size of the broadcast
         for t in _gathered(batches):
+            t = t.filter(np.isin(t.column(0).to_numpy(), keys))
             column = lambda k, t=t: t.column(k).to_numpy()
             side = np.r_[np.full(len(node), 1), np.full(len(t), 2)]
             both = whole + _sets(t.column(3)) if least is not None else None
             found = links_of_groups(np.r_[number, np.searchsorted(keys, column(0))], side, np.r_[node, column(1)], np.r_[prints, column(2).view(np.uint64)], both, radius, least, forest, holders)
             yield _links_batch(found)
 
-    return rows.select(columns).mapInArrow(run, "a long, b long")
+    return rows.select(columns).mapInArrow(run, "a long, b long"), held
 
 
 def one_of_each(docs: DataFrame, marks: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:

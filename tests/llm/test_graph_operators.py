@@ -129,7 +129,7 @@ def test_similar_groups(spark, monkeypatch, shard, most):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want.values())) and kept.columns == df.columns
 
 
-@pytest.mark.parametrize("most", [1 << 24, 0])
+@pytest.mark.parametrize("most", [1 << 24, 20_000, 0])
 def test_one_hot_shard(spark, monkeypatch, most):
     """Hundreds of texts that share most of their words: a shard of many parts, with links between nodes of different ones."""
     monkeypatch.setattr(simhash, "SHARD", 8)
@@ -150,6 +150,20 @@ def test_one_hot_shard(spark, monkeypatch, most):
     assert {r.id: r.component_id for r in got.collect()} == want
 
 
+@pytest.mark.parametrize("least", [0.5, 0.8, 1.0])
+def test_classes_of_length(spark, least):
+    """Lengths that a pair of that similarity can have share a key, even at the very edge; far ones don't."""
+    sizes = [n for n in range(1, 400)] + [10**6, 1_250_000, 2 * 10**6]
+    rows = spark.createDataFrame([(7, n, n, n) for n in sizes], "key bigint, node bigint, print bigint, n bigint")
+    keys = {}
+    for r in simhash.split_by_length(rows, least).collect():
+        keys.setdefault(r.n, set()).add(r.key)
+    assert all(len(k) == 2 for k in keys.values())
+    for a in sizes:
+        assert all(keys[a] & keys[b] for b in sizes if a <= b and a >= least * b)
+        assert not any(keys[a] & keys[b] for b in sizes if a < 0.99 * least**2 * b)
+
+
 def test_blocks_of_bits(spark):
     """Pairs within the radius agree on a key at every level, and a level takes a block's bits away."""
     rng = random.Random(2)
