@@ -98,7 +98,7 @@ def rows_of(spark, texts):
     return rows, df.withColumns({"node": F.lit("x"), "ROOT": F.lit(1), "fingerprint": F.lit(2), "id": F.lit(3), "component_id": F.lit(4)})
 
 
-@pytest.mark.parametrize(("shard", "levels", "most"), [(1024, 3, 1 << 24), (3, 1, 1 << 24), (2, 2, 0)])
+@pytest.mark.parametrize(("shard", "levels", "most"), [(1024, 3, 1 << 24), (3, 1, 1 << 24), (2, 2, 500), (2, 2, 0)])
 def test_fingerprint_groups(spark, monkeypatch, shard, levels, most):
     monkeypatch.setattr(simhash, "SHARD", shard)
     monkeypatch.setattr(simhash, "LEVELS", levels)
