@@ -1,0 +1,219 @@
+"""Product codes, line dedup and hard negatives against plain versions."""
+
+import hashlib
+import random
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from taxaspark.llm import codes, lines, negatives, vectors
+from taxaspark.llm.queries import oracle_sql, queries
+
+SMALL = "/root/testdata/sf0.001"
+NEW = ["op11_vector_codes", "op12_line_dedup", "op13_hard_negatives"]
+
+
+@pytest.mark.parametrize("name", NEW)
+def test_new_queries_equal_sql(spark, name):
+    duck = duckdb.connect()
+    for t in ("documents", "embeddings"):
+        duck.execute(f"create view {t} as select * from '{SMALL}/{t}.parquet'")
+    df = queries()[name](spark, SMALL)
+    rel = duck.execute(oracle_sql()[name])
+    names = [d[0] for d in rel.description]
+    assert sorted(names) == sorted(df.columns)
+    got = sorted(map(repr, map(tuple, df.select(names).collect())))
+    assert got and got == sorted(map(repr, rel.fetchall()))
+
+
+# -- product codes ---------------------------------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("spread", [2, 50, 100_000, 1 << 24])
+def test_annuli_against_all_entries(spread):
+    rng = np.random.default_rng(spread)
+    for k in (1, 2, 16, 40):
+        entries = rng.integers(-spread, spread + 1, (k, 8))
+        x = np.concatenate([rng.integers(-spread, spread + 1, (300, 8)), entries, np.zeros((1, 8), np.int64)])
+        far = ((x[:, None].astype(object) - entries[None]) ** 2).sum(2)
+        index, best, _ = codes.Annuli(entries).nearest(x)
+        assert index.tolist() == [min(range(k), key=lambda j, row=row: (row[j], j)) for row in far.tolist()]
+        assert best.tolist() == [min(row) for row in far.tolist()]
+
+
+def test_annuli_leave_entries_out():
+    rng = np.random.default_rng(3)
+    entries = (rng.normal(size=(256, 4)) * np.linspace(10, 10_000, 256)[:, None]).astype(np.int64)
+    x = entries[rng.integers(0, 256, 2000)] + rng.integers(-5, 6, (2000, 4))
+    _, _, evaluated = codes.Annuli(entries).nearest(x)
+    assert evaluated < 0.2 * len(x) * len(entries)
+
+
+def plain_codes(rows, parts, entries, rounds):
+    """rows: (id, vector) -> {place: (code, error)} and the digest."""
+    width = max(len(v) for _, v in rows)
+    width = -(-width // parts) * parts
+    w = width // parts
+    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0, rows[i][1]))
+    cut = [[([*v, *[0] * (width - len(v))])[p * w : (p + 1) * w] for p in range(parts)] for _, v in rows]
+    books = [[cut[i][p] for i in order[:entries]] for p in range(parts)]
+    near = lambda x, book: min(((sum((a - b) ** 2 for a, b in zip(x, e, strict=True)), j) for j, e in enumerate(book)))
+    for _ in range(rounds):
+        for p in range(parts):
+            mine = [near(c[p], books[p])[1] for c in cut]
+            books[p] = [[sum(col) // len(got) for col in zip(*got, strict=True)] if (got := [c[p] for c, m in zip(cut, mine, strict=True) if m == j]) else e for j, e in enumerate(books[p])]
+    found = [[near(c[p], books[p]) for p in range(parts)] for c in cut]
+    digest = hashlib.sha256(",".join(str(x) for b in books for e in b for x in e).encode()).hexdigest()
+    return [("".join(f"{j:02x}" for _, j in f), sum(d for d, _ in f)) for f in found], digest
+
+
+@pytest.mark.parametrize("n", [3, 60])
+def test_codes_against_loops(spark, n):
+    """Vectors of several lengths, repeated ids and rows, null ids."""
+    rng = random.Random(n)
+    rows = [(rng.choice([None, *range(12)]), [rng.randint(-9, 9) for _ in range(rng.choice([0, 5, 8]))]) for _ in range(n)]
+    rows += rows[:2]
+    want, digest = plain_codes(rows, 4, 5, 3)
+    df = spark.createDataFrame([(i, v, k) for k, (i, v) in enumerate(rows)], "id int, v array<int>, place int")
+    books = codes.fit_codebooks(df, 4, 5, 3)
+    got = codes.encode(df.withColumn("CODE", F.lit(1)), books)
+    assert got.columns == ["id", "place", "code", "error"]
+    assert [(r.code, r.error) for r in got.orderBy("place").collect()] == want and books.digest() == digest
+    back = codes.decode(got, books).collect()
+    for r in back:
+        full = [*rows[r.place][1], *[0] * (books.width - len(rows[r.place][1]))]
+        assert sum((a - b) ** 2 for a, b in zip(full, r.v, strict=True)) == r.error
+
+
+def test_codes_of_nothing_and_of_odd_components(spark):
+    assert codes.fit_codebooks(spark.createDataFrame([], "id bigint, v array<int>")) is None
+    rows = [(1, [0.5, -0.1], 1), (2, None, 1), (3, [None, 1.0], 1), (4, [float("nan"), 1.0], 1), (5, [float("inf"), 1.0], 1), (6, [1e30, -1e30], None), (7, [], None)]
+    df = spark.createDataFrame(rows, "id int, x array<float>, label int").where(vectors.finite(F.col("x")))
+    got = {r.id: r.v for r in df.select("id", vectors.integers(F.col("x"), 4096).alias("v")).collect()}
+    assert got == {1: [2048, -410], 6: [1 << 24, -(1 << 24)], 7: []}
+    errors = spark.createDataFrame([(1, 5, None), (2, 6, None), (3, 7, 1)], "id int, error bigint, label int")
+    assert {r.id: r.label_error for r in codes.with_label_error(errors).collect()} == {1: 11, 2: 11, 3: 7}
+
+
+def test_codes_of_an_empty_table(spark, tmp_path):
+    spark.createDataFrame([], "vec_id bigint, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    for name in ("op11_vector_codes", "op13_hard_negatives"):
+        df = queries()[name](spark, str(tmp_path))
+        assert df.count() == 0 and set(df.columns) == set(queries()[name](spark, SMALL).columns)
+
+
+# -- line dedup ------------------------------------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 1000, 50_000])
+def test_hash_is_minimal_and_perfect(n):
+    rng = np.random.default_rng(n)
+    h, f = rng.integers(0, 1 << 63, n).astype(np.uint64), rng.integers(0, 1 << 63, n).astype(np.uint64)
+    h[: n // 2] = h[0] if n else 0  # pairs that differ in one of the two alone
+    slots = lines.MinimalHash.build(h, f)
+    assert sorted(slots.slots(h, f).tolist()) == list(range(n))
+    assert n < 1000 or 64 * len(slots.words) < 4.5 * n
+    shard = lines.Shard(*lines.Shard.packed(h, f, np.arange(n), np.arange(n) + 5))
+    known, owner, count = shard.find(h, f)
+    assert known.all() and owner.tolist() == list(range(n)) and count.tolist() == list(range(5, n + 5))
+    assert not shard.find(h, f + np.uint64(1))[0].any()
+
+
+def plain_lines(rows, min_chars, min_docs):
+    """rows: (id, text) -> (kept text or None, n_lines, n_dropped) of each."""
+    white, low = " \t\n\x0b\x0c\r", str.maketrans(lines.UPPER, lines.LOWER)
+    low_id = lambda i: (i is not None, i or 0)
+    cut = [[(x, x.strip(white).translate(low)) for x in (t or "").split("\n")] for _, t in rows]
+    held = {}
+    for (i, _), doc in zip(rows, cut, strict=True):
+        for key in {k for _, k in doc if len(k) >= min_chars}:
+            held.setdefault(key, []).append(low_id(i))
+    out = []
+    for (i, t), doc in zip(rows, cut, strict=True):
+        keep = [x for x, k in doc if len(held.get(k, [])) < min_docs or max(held[k]) == low_id(i)]
+        out.append((None if t is None else "\n".join(keep), len(doc), len(doc) - len(keep)))
+    return out
+
+
+@pytest.mark.parametrize("held", [1 << 20, 300, 0])
+def test_lines_against_loops(spark, monkeypatch, held):
+    """Null, empty and long texts, repeated and null ids, repeated rows; all keys broadcast, the most frequent ones, and none."""
+    monkeypatch.setattr(lines, "SHARD_KEYS", 5)
+    rng = random.Random(held)
+    pool = ["x" * 9, "Éa bc defgh", "\t ab CD ef \r", "AB cd EF", "ab cd ef", "short", "", " ", *(f"line number {k} of many" for k in range(40))]
+    rows = [(rng.choice([None, *range(25)]), "\n".join(rng.choices(pool, weights=[20, *[3] * (len(pool) - 1)], k=rng.randint(1, 9)))) for _ in range(90)]
+    rows += [(3, None), (None, None), (4, ""), (5, "\n\n"), (26, "\n".join(pool * 300)), *rows[:6]]
+    df = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id bigint, text string, n_lines int").withColumnRenamed("n_lines", "place")
+    got = lines.dedup_lines(df.withColumn("N_Lines", F.lit("x")), min_chars=8, min_docs=3, held_bytes=held)
+    assert got.columns == ["doc_id", "text", "place", "n_lines", "n_dropped"]
+    assert [(r.text, r.n_lines, r.n_dropped) for r in got.orderBy("place").collect()] == plain_lines(rows, 8, 3)
+
+
+def test_ids_of_lines_may_be_text(spark):
+    rows = [("b", "a long enough line"), ("a", "a long enough line"), ("c", "A long enough LINE ")]
+    got = lines.dedup_lines(spark.createDataFrame(rows, "doc_id string, text string"), min_chars=5, min_docs=3)
+    assert {r.doc_id: r.text for r in got.collect()} == {"a": "", "b": "", "c": "A long enough LINE "}
+    assert lines.dedup_lines(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
+
+
+# -- hard negatives ----------------------------------------------------------------------------------------------------------------
+
+
+def test_bounds_hold_and_leave_rows_out():
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(3000, 16))
+    x = (256 * x / np.linalg.norm(x, axis=1)[:, None]).astype(np.int64)
+    q = negatives.Quantizer.fit(x[:1000])
+    assert (q.entries == negatives.Quantizer.fit(x[:1000]).entries).all()
+    coded, left = q.encode(x)
+    tables = q.tables(x[:20])
+    middle = sum(np.take(tables[p], coded[:, p], axis=1) for p in range(tables.shape[0]))
+    exact = x[:20] @ x.T
+    slack = np.linalg.norm(x[:20], axis=1)[:, None] * left[None, :] + 1
+    assert (np.abs(middle - exact) <= slack).all()
+    block = negatives.Rows(3000, 16, "<i2", np.arange(3000).tobytes(), np.zeros(3000, bool).tobytes(), (np.arange(3000) % 10).tobytes(), coded.tobytes(), left.astype("<f4").tobytes(), x.astype("<i2").tobytes())
+    group = negatives.Group(q, np.arange(100), np.arange(100) % 10, x[:100])
+    best = negatives.Best(100, 5)
+    group.search(block, best)
+    again = group.search(block, best)  # with a score to reach
+    assert again < 0.05 * 100 * 300
+
+
+def plain_negatives(rows, anchors, positives, negatives_):
+    dot = lambda a, b: sum(x * y for x, y in zip(a, b, strict=False))
+    place = lambda s, i: (-s, i is None, i or 0)
+    out = []
+    rows = [r for r in rows if r[1] is not None and r[2] is not None]
+    once = {}
+    for i, label, v in anchors:
+        if i is not None and label is not None and v is not None and (i not in once or (label, v) < once[i]):
+            once[i] = (label, v)
+    for a, (label, v) in once.items():
+        scored = sorted([(*place(dot(v, x), i), lab == label, i, dot(v, x)) for i, lab, x in rows if i != a], key=lambda r: r[:3])
+        for *_, p, s in [r for r in scored if r[3]][:positives]:
+            inside = [r for r in scored if not r[3] and 30 * s <= 100 * r[5] <= 90 * s][:negatives_]
+            out += [(a, p, k, r[4], s, r[5]) for k, r in enumerate(inside, 1)]
+    return sorted(map(repr, out))
+
+
+@pytest.mark.parametrize(("block", "group", "passes"), [(4096, 1 << 14, 16), (7, 3, 2)])
+def test_negatives_against_all_pairs(spark, monkeypatch, block, group, passes):
+    """Ties, repeated and null ids, repeated rows, null labels, vectors of several lengths, negative scores."""
+    for name, value in (("BLOCK_ROWS", block), ("GROUP_ROWS", group), ("PASSES", passes), ("ANCHOR_ROWS", 4), ("PAIRS", 50)):
+        monkeypatch.setattr(negatives, name, value)
+    rng = random.Random(block)
+    rows = [(rng.choice([None, *range(60)]), rng.choice([None, 0, 1, 2]), [rng.randint(-4, 4) for _ in range(rng.choice([0, 3, 6]))]) for _ in range(150)]
+    rows += [*rows[:5], (61, 1, None), (62, 2, [1 << 24] * 6), (63, 1, [-(1 << 24)] * 6)]
+    df = spark.createDataFrame(rows, "id bigint, label int, v array<int>")
+    anchors = df.where("id % 5 = 0 or id > 60")
+    got = negatives.hard_negatives(df, anchors, 3, 4)
+    want = plain_negatives(rows, [r for r in rows if r[0] is not None and (r[0] % 5 == 0 or r[0] > 60)], 3, 4)
+    assert sorted(repr(tuple(r)) for r in got.collect()) == want and len(want) > 100
+
+
+def test_negatives_of_nothing(spark):
+    df = spark.createDataFrame([(1, 1, [1, 2]), (2, None, [1, 2])], "id bigint, label int, v array<int>")
+    assert negatives.hard_negatives(df, df.where("id = 1")).count() == 0
+    assert negatives.hard_negatives(df, df.where("id = 7")).count() == 0
