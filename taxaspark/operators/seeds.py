@@ -10,18 +10,18 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from taxaspark.operators.alignment import semi_global_many
+
 SEED_SIZE, SEED_INTERVAL = 18, 15
 MAX_HITS, TUNE_MAX_HITS = 2000, 200
 MIN_SEED, EDIT_RATE = 0.015, 0.13
-#: Letters of a block of a reference, and numbers that a batch of alignments holds in one column.
+#: Letters of a block of a reference.
 BLOCK = 4096
-CELLS = 1 << 18
 
 
 def reverse_complement(seq: Column) -> Column:
@@ -96,52 +96,6 @@ def candidates(reads: DataFrame, index: DataFrame, size: int = SEED_SIZE, interv
     return groups.select("read_id", "strand", "seqid", "taxid", "diagonal", "low", "high", "seeds")
 
 
-def semi_global_many(reads: list[str], windows: list[str]) -> list[tuple[int, int]]:
-    """:func:`semi_global` of each pair; reads of one length go together, one column of numbers a window base for all of them."""
-    out: list[tuple[int, int]] = [(0, 0)] * len(reads)
-    lengths = np.array([len(r) for r in reads], np.int64)
-    # windows of like length stand together; short ones end in letters that nothing matches, which never better an earlier end
-    order = np.lexsort((np.array([len(w) for w in windows], np.int64), lengths))
-    a = 0
-    while a < len(order):
-        m = int(lengths[order[a]])
-        b = min(int(np.searchsorted(lengths[order], m, "right")), a + max(1, CELLS // (m + 1)))
-        pick = order[a:b]
-        width = max(len(windows[i]) for i in pick)
-        q = np.array([np.frombuffer(reads[i].encode("utf-32-le"), np.uint32) for i in pick], np.uint32).reshape(len(pick), m)
-        w = np.full((width, len(pick)), 0xFFFFFFFF, np.uint32)
-        for k, i in enumerate(pick):
-            w[: len(windows[i]), k] = np.frombuffer(windows[i].encode("utf-32-le"), np.uint32)
-        steps = np.arange(m + 1)
-        cost, begin = np.tile(steps, (len(pick), 1)), np.zeros((len(pick), m + 1), np.int64)
-        new, start = np.zeros_like(cost), np.zeros_like(begin)
-        best, at = cost[:, m].copy(), np.zeros(len(pick), np.int64)
-        for j, c in enumerate(w, 1):
-            diagonal, left = cost[:, :-1] + (q != c[:, None]), cost[:, 1:] + 1
-            take = diagonal <= left
-            new[:, 1:] = np.where(take, diagonal, left)
-            start[:, 0], start[:, 1:] = j, np.where(take, begin[:, :-1], begin[:, 1:])
-            # edits that skip read bases run down the column: a running minimum after taking the slope out
-            flat = new - steps
-            low = np.minimum.accumulate(flat, axis=1)
-            source = np.maximum.accumulate(np.where(flat == low, steps, 0), axis=1)
-            cost, begin = low + steps, np.take_along_axis(start, source, 1)
-            better = cost[:, m] < best
-            best, at = np.where(better, cost[:, m], best), np.where(better, begin[:, m], at)
-        for i, e, s in zip(pick.tolist(), best.tolist(), at.tolist(), strict=True):
-            out[i] = (e, s)
-        a = b
-    return out
-
-
-def semi_global(read: str, window: str) -> tuple[int, int]:
-    """Least edits of the whole read against any part of the window, and the part's start.
-
-    Starts are carried along; of equal edits the first end, and on it the last start.
-    """
-    return semi_global_many([read], [window])[0]
-
-
 def verify(cands: DataFrame, reads: DataFrame, contigs: DataFrame, edit_rate: float = EDIT_RATE, max_assignments: int | None = None) -> DataFrame:
     """read_id, taxid, seqid, pos (1-based), edit: candidates that align within the edits, the best of each sequence and strand place.
 
@@ -176,9 +130,15 @@ def verify(cands: DataFrame, reads: DataFrame, contigs: DataFrame, edit_rate: fl
 
 
 def assign(reads: DataFrame, index: DataFrame, contigs: DataFrame, max_assignments: int | None = None, edit_rate: float = EDIT_RATE, **search) -> DataFrame:
-    """read_id, taxid, seqid, pos, edit of every assignment. ``reads``: read_id, seq; ``contigs``: seqid, seq, or :func:`cut`."""
-    found = candidates(reads, index, edit_rate=edit_rate, **search)
-    return verify(found, reads, contigs, edit_rate, max_assignments)
+    """read_id, taxid, seqid, pos, edit of every assignment. ``reads``: read_id, seq; ``contigs``: seqid, seq, or :func:`cut`.
+
+    Equal reads are mapped once, under a digest of their letters, and their ids meet the result: a read that comes a million times
+    is no hot seed.
+    """
+    keyed = reads.select("read_id", upper(F.col("seq")).alias("seq")).withColumn("key", F.md5("seq"))
+    once = keyed.select(F.col("key").alias("read_id"), "seq").dropDuplicates(["read_id"])
+    found = verify(candidates(once, index, edit_rate=edit_rate, **search), once, contigs, edit_rate, max_assignments)
+    return found.withColumnRenamed("read_id", "key").join(keyed.select("key", "read_id"), "key").select("read_id", "taxid", "seqid", "pos", "edit")
 
 
 def reference_records(records: DataFrame, mapping: DataFrame | None = None, skip_missing: bool = False) -> DataFrame:

@@ -518,11 +518,75 @@ def index_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seeds.build_index(refs, unknown=None).select("seqid", "pos", "seed")
 
 
-@query()
+def _assign_sql(reads: str, refs: str, rate: float = 0.13) -> str:
+    """Assignments with edits and the default limits: ``reads`` has read_id and seq, ``refs`` seqid, taxid and t, in upper case.
+
+    Seeds are found text by text, and each candidate's window is aligned by a table of distances, one anti-diagonal a step. A cell
+    is its distance times a million less the start of its part, so that the least cell has the least distance and the last start.
+    """
+    return f"""
+WITH RECURSIVE b AS ({reads}), d AS ({refs}),
+q AS MATERIALIZED (
+  SELECT read_id, '+' AS strand, seq, length(seq) AS m FROM b UNION ALL SELECT read_id, '-', reverse(translate(seq, 'ACGTU', 'TGCAA')), length(seq) FROM b
+), s AS MATERIALIZED (
+  SELECT read_id, strand, m, k AS off, substr(seq, k + 1, 18) AS seed FROM (SELECT *, unnest(range(0, m - 17, 15)) AS k FROM q WHERE m >= 18)
+), e AS MATERIALIZED (
+  SELECT seed, seqid, t FROM (SELECT DISTINCT seed FROM s) JOIN d ON contains(t, seed)
+), o AS (
+  SELECT seed, seqid, CAST(strpos(t, seed) AS BIGINT) AS pos, substr(t, strpos(t, seed) + 1) AS rest FROM e
+  UNION ALL
+  SELECT seed, seqid, pos + strpos(rest, seed), substr(rest, strpos(rest, seed) + 1) FROM o WHERE strpos(rest, seed) > 0
+), f AS (
+  SELECT seed, count(*) AS places FROM o GROUP BY seed HAVING count(*) <= 2000
+), h AS (
+  SELECT read_id, strand, m, off, seqid, pos - 1 - off AS start, greatest(CAST(floor(m * CAST({rate} AS DOUBLE)) AS BIGINT), 1) AS slack
+  FROM s JOIN f USING (seed) JOIN o USING (seed) WHERE NOT (places > 200 AND off // 15 % 2 = 1)
+), g AS (
+  SELECT read_id, strand, m, seqid, floor(start / CAST(slack AS DOUBLE)) + x AS diagonal, min(start) AS low, max(start) AS high
+  FROM h, (SELECT unnest(range(2)) AS x) GROUP BY ALL
+), w AS MATERIALIZED (
+  SELECT row_number() OVER () AS pair, * FROM (
+    SELECT DISTINCT g.read_id, seqid, taxid, q.seq, greatest(low - sl, 0) AS first, substr(t, greatest(low - sl, 0) + 1, high + g.m + sl - greatest(low - sl, 0)) AS win, sl
+    FROM (SELECT *, CAST(floor(m * CAST({rate} AS DOUBLE)) AS BIGINT) AS sl FROM g) g JOIN q USING (read_id, strand) JOIN d USING (seqid))
+), l AS MATERIALIZED (
+  SELECT pair, length(seq) AS m, list_transform(range(1, length(seq) + 1), lambda i: substr(seq, i, 1)) AS r, list_transform(range(1, length(win) + 1), lambda i: substr(win, i, 1)) AS t FROM w
+), c AS (
+  SELECT pair, m, len(t) AS n, r, t, CAST(0 AS BIGINT) AS k, list_transform(range(m + 1), lambda i: CASE WHEN i = 0 THEN CAST(0 AS BIGINT) END) AS x, list_transform(range(m + 1), lambda i: CAST(NULL AS BIGINT)) AS y FROM l
+  UNION ALL
+  SELECT pair, m, n, r, t, k + 1, list_transform(range(m + 1), lambda i: CASE WHEN i > k + 1 OR k + 1 - i > n THEN NULL WHEN i = 0 THEN -(k + 1) WHEN i = k + 1 THEN i * 1000000
+    ELSE least(y[i] + CASE WHEN r[i] = t[k + 1 - i] THEN 0 ELSE 1000000 END, x[i + 1] + 1000000, x[i] + 1000000) END), x FROM c WHERE k < m + n
+), z AS (
+  SELECT pair, (v + 999999) // 1000000 AS edit, (v + 999999) // 1000000 * 1000000 - v AS start FROM (SELECT pair, k, x[m + 1] AS v FROM c WHERE k >= m)
+  QUALIFY row_number() OVER (PARTITION BY pair ORDER BY edit, k) = 1
+)
+SELECT DISTINCT read_id, CAST(taxid AS BIGINT) AS taxid, seqid, CAST(first + start + 1 AS BIGINT) AS pos, CAST(edit AS BIGINT) AS edit FROM z JOIN w USING (pair) WHERE edit <= sl
+"""
+
+
+_UPPER = "translate(text, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ')"
+
+
+@query(_assign_sql(f"SELECT CAST(item_id AS VARCHAR) AS read_id, {_UPPER} AS seq FROM benchmark", f"SELECT CAST(doc_id AS VARCHAR) AS seqid, doc_id % 97 AS taxid, {_UPPER} AS t FROM documents WHERE text IS NOT NULL"))
 def assign_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items with up to 13 % edits, both ways round, in all documents."""
     reads_ = _table(spark, sf_dir, "benchmark").select(F.col("item_id").cast("string").alias("read_id"), F.col("text").alias("seq"))
     refs = _references(spark, sf_dir)
     return seeds.assign(reads_, seeds.build_index(refs, unknown=None), refs)
 
 
+#: Items with every 40th letter left out, changed or doubled, by item.
+_EDITED = "array_to_string(list_transform(range(1, length(text) + 1), lambda i: CASE WHEN i % 40 <> 20 THEN substr(text, i, 1) WHEN item_id % 3 = 0 THEN '' WHEN item_id % 3 = 1 THEN '#' ELSE concat(substr(text, i, 1), substr(text, i, 1)) END), '')"
+
+
+@query(_assign_sql(f"SELECT concat('e', item_id) AS read_id, {_UPPER.replace('text', 'x')} AS seq FROM (SELECT item_id, {_EDITED} AS x FROM benchmark)", f"SELECT CAST(item_id AS VARCHAR) AS seqid, item_id % 97 AS taxid, {_UPPER} AS t FROM benchmark"))
+def assign_edited_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items with an edit in every 40 letters, against the items themselves."""
+    items = _table(spark, sf_dir, "benchmark")
+    letter = lambda i: F.substring(F.col("text"), i, F.lit(1))
+    edited = F.transform(F.sequence(F.lit(1), F.length("text")), lambda i: F.when(i % 40 != 20, letter(i)).when(F.col("item_id") % 3 == 0, "").when(F.col("item_id") % 3 == 1, "#").otherwise(F.concat(letter(i), letter(i))))
+    reads_ = items.select(F.concat(F.lit("e"), "item_id").alias("read_id"), F.array_join(edited, "").alias("seq"))
+    refs = items.select(F.col("item_id").cast("string").alias("seqid"), F.pmod("item_id", F.lit(97)).cast("bigint").alias("taxid"), F.col("text").alias("seq"))
+    return seeds.assign(reads_, seeds.build_index(refs, unknown=None), refs)
+
+
 from taxaspark import file_queries  # noqa: E402, F401  adds the queries on files

@@ -6,7 +6,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from taxaspark.operators import filters, intervals, merge, seeds
+from taxaspark.operators import alignment, filters, intervals, merge, seeds
 from taxaspark.operators.refbuild import key_contigs
 from taxaspark.plans.annotation import annotate
 from taxaspark.plans.mapping import assign_reads, index_build
@@ -87,14 +87,21 @@ def best_starts(read, window):
     return least, best[least, end]
 
 
-def test_alignments_in_batches():
+@pytest.mark.parametrize("cells", [1, 1 << 19])
+def test_alignments_in_batches(monkeypatch, cells):
+    monkeypatch.setattr(alignment, "CELLS", cells)
     rng = random.Random(3)
     pairs = [("".join(rng.choices("ACG", k=rng.randint(1, 7))), "".join(rng.choices("ACG", k=rng.randint(0, 12)))) for _ in range(200)]
-    together = seeds.semi_global_many([r for r, _ in pairs], [w for _, w in pairs])
+    pairs += [("", "AC"), ("A", ""), ("\U0001f600A", "xA\U0001f600Ax")]
+    for n in (63, 64, 65, 130):  # reads of one word, just so, and more
+        read = "".join(rng.choices("ACGT", k=n))
+        near = "".join(c for c in read if rng.random() > 0.05)
+        pairs += [(read, "TTT" + near[:70] + "G" + near[70:] + "CA"), (read, read), (read, near[9:])]
+    together = alignment.semi_global_many([r for r, _ in pairs], [w for _, w in pairs])
     for (read, window), (edits, start) in zip(pairs, together, strict=True):
         least, starts = best_starts(read, window)
-        assert edits == least and (start in starts or edits == len(read)), (read, window)
-        assert seeds.semi_global(read, window) == (edits, start)
+        assert edits == least and start == (max(starts) if edits < len(read) else 0), (read, window)
+        assert alignment.semi_global(read, window) == (edits, start)
 
 
 def test_blocks_hold_every_window(spark):

@@ -6,7 +6,7 @@ import random
 import pytest
 
 from taxaspark import cli, plans
-from taxaspark.operators import refbuild, seeds
+from taxaspark.operators import alignment, refbuild, seeds
 from taxaspark.sources import assembly_files, read_fasta, read_fastq, read_reads, read_report, read_taxa
 from taxaspark.sources.lines import delimiter
 from taxaspark.streaming import start_filter
@@ -177,7 +177,7 @@ def test_alignment_against_full_table():
 
     for _ in range(200):
         read, window = ("".join(rng.choice("ACGT") for _ in range(rng.randint(lo, hi))) for lo, hi in ((1, 20), (0, 40)))
-        edits, start = seeds.semi_global(read, window)
+        edits, start = alignment.semi_global(read, window)
         assert edits == brute(read, window)
         assert 0 <= start <= len(window)
 
