@@ -1,6 +1,6 @@
 """Mapping reads to references: exact seeds, candidate places, and alignment of what remains.
 
-The index is a table with a row for each distinct seed position of the references. Decisions where the parameters alone don't
+The index is a table with a row for each seed position of the references. Decisions where the parameters alone don't
 settle the semantics: reads are mapped as they are and reverse-complemented; positions are 1-based starts of the alignment on
 the forward strand; a read may have floor(edit_rate * length) edits; ``min_seed`` is the share of a read's seeds that must lie
 on a candidate's diagonal (within the edits), one at least; ties go to the lower sequence key, then position.
@@ -20,8 +20,9 @@ from taxaspark.operators.alignment import semi_global_many
 SEED_SIZE, SEED_INTERVAL = 18, 15
 MAX_HITS, TUNE_MAX_HITS = 2000, 200
 MIN_SEED, EDIT_RATE = 0.015, 0.13
-#: Letters of a block of a reference.
+#: Letters of a block of a reference, and of the pieces that its seeds are cut from (a letter's place is found by counting).
 BLOCK = 4096
+PIECE = 256
 
 
 def reverse_complement(seq: Column) -> Column:
@@ -58,8 +59,10 @@ def build_index(contigs: DataFrame, size: int = SEED_SIZE, unknown: str | None =
     """
     block = max(BLOCK, size)
     parts = cut(contigs, size - 1, block).repartition("seqid", "block")
-    rows = parts.withColumn("k", F.explode(_positions(F.length("part"), size, 1)))
-    rows = rows.select(F.substring(F.col("part"), (F.col("k") + 1).cast("int"), F.lit(size)).alias("seed"), "seqid", "taxid", (F.col("block") * block + F.col("k")).alias("pos"))
+    pieces = parts.withColumn("first", F.explode(_positions(F.length("part"), size, PIECE)))
+    pieces = pieces.select("seqid", "taxid", (F.col("block") * block + F.col("first")).alias("first"), F.substring(F.col("part"), (F.col("first") + 1).cast("int"), F.lit(PIECE + size - 1)).alias("part"))
+    rows = pieces.withColumn("k", F.explode(_positions(F.length("part"), size, 1)))
+    rows = rows.select(F.substring(F.col("part"), (F.col("k") + 1).cast("int"), F.lit(size)).alias("seed"), "seqid", "taxid", (F.col("first") + F.col("k")).alias("pos"))
     return rows if unknown is None else rows.where(~F.contains("seed", F.lit(unknown)))
 
 

@@ -39,28 +39,30 @@ def read_fasta_of(spark: SparkSession, files: dict[str, str]) -> DataFrame:
     return parse_fasta(rows)
 
 
-def read_fastq(spark: SparkSession, path: str) -> DataFrame:
+def read_fastq(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """at, id, description, seq, qual from records of four lines.
 
-    Which of four a line is depends on all lines before it: lines are counted by file split, and each split starts from the sum
-    of those before, so that only one number a split is gathered.
+    Which of four a line is depends on all lines before it in its file: lines are counted by file split, and each split starts from
+    the sum of those before, so that only one number a split is gathered.
     """
     lines = read_lines(spark, path)
     split = F.struct(F.col("at.input").alias("input"), F.col("at.file").alias("file"), F.col("at.block").alias("block"))
     lines = lines.select("at", split.alias("split"), F.regexp_replace("value", "\r$", "").alias("value"))
     low = lines.groupBy("split").agg(F.min("at.row").alias("low"), F.count("*").alias("n")).collect()
-    before, start = 0, []
+    start, last, before = [], None, 0
     for r in sorted(low, key=lambda r: tuple(r["split"])):
+        if r["split"][:2] != last:
+            last, before = r["split"][:2], 0
         start.append((tuple(r["split"]), r["low"], before))
         before += r["n"]
     known = spark.createDataFrame(start, "split struct<input int, file string, block bigint>, low bigint, before bigint")
     numbered = lines.join(known, "split").select("at", (F.col("before") + F.col("at.row") - F.col("low")).alias("n"), "value")
-    records = numbered.groupBy(F.floor(F.col("n") / 4).cast("bigint").alias("record")).agg(F.min("at").alias("at"), *[F.max(F.when(F.col("n") % 4 == k, F.col("value"))).alias(name) for k, name in ((0, "head"), (1, "seq"), (3, "qual"))])
+    records = numbered.groupBy("at.input", "at.file", F.floor(F.col("n") / 4).cast("bigint").alias("record")).agg(F.min("at").alias("at"), *[F.max(F.when(F.col("n") % 4 == k, F.col("value"))).alias(name) for k, name in ((0, "head"), (1, "seq"), (3, "qual"))])
     header = F.regexp_replace("head", "^@", "")
     return records.where("head <> ''").select("at", _first_word(header).alias("id"), header.alias("description"), F.coalesce("seq", F.lit("")).alias("seq"), F.coalesce("qual", F.lit("")).alias("qual"))
 
 
-def read_reads(spark: SparkSession, fasta: str | None = None, fastq: str | None = None) -> DataFrame:
+def read_reads(spark: SparkSession, fasta: str | list[str] | None = None, fastq: str | list[str] | None = None) -> DataFrame:
     """Reads from exactly one of the two: at, id, description, seq, qual (null for FASTA)."""
     if bool(fasta) == bool(fastq):
         raise ValueError("give exactly one of fasta and fastq")

@@ -13,6 +13,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def is_directory(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()
+
+
 def read_lines(spark: SparkSession, paths: str | list[str], line_sep: str | None = None) -> DataFrame:
     """at, value: ``at`` is a struct that orders lines by path as given, then file, then place.
 

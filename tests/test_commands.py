@@ -1,6 +1,7 @@
 """Staged annotations, resume and append, parts, repeated keys, long intervals, streams against batches."""
 
 import random
+import re
 from pathlib import Path
 
 import pytest
@@ -8,11 +9,13 @@ from pyspark.sql import functions as F
 
 from taxaspark.operators import alignment, filters, intervals, merge, seeds
 from taxaspark.operators.refbuild import key_contigs
+from taxaspark.plans import mapping
 from taxaspark.plans.annotation import annotate
 from taxaspark.plans.mapping import assign_reads, index_build
 from taxaspark.plans.reference import reference_build
 from taxaspark.sinks import write_lines, write_table
 from taxaspark.sources.assignments import parse_assignments
+from taxaspark.sources.index import read_seeds
 from taxaspark.streaming.hits import named_hits
 
 ODD = "r:99999999999999999999-7-3=1,5-7-3=1, 7-a=b-3=4,12-5,1=2-3-4,7=8,1-a-b-10=2,-1=1,1-2-99999999999999999999=1"
@@ -41,8 +44,8 @@ def test_hits_are_matched_and_cut_once(reads):
 def test_stream_keeps_the_hits_of_the_batch(spark, reads, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in/a.clp").write_text(ODD + "\n")
-    mapping = spark.createDataFrame([((1,), "7", "A", "c", "d")], "at struct<k: int>, seqid string, assembly string, header string, description string")
-    rows = named_hits(spark.readStream.text(str(tmp_path / "in")), mapping, spark.createDataFrame([(5, "five")], "taxid bigint, name string"))
+    known = spark.createDataFrame([((1,), "7", "A", "c", "d")], "at struct<k: int>, seqid string, assembly string, header string, description string")
+    rows = named_hits(spark.readStream.text(str(tmp_path / "in")), known, spark.createDataFrame([(5, "five")], "taxid bigint, name string"))
     rows.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
     got = spark.read.parquet(str(tmp_path / "out")).select("read_id", "taxid", "seqid", "pos", "edit").collect()
     assert sorted(got) == sorted(merge.strict_hits(reads).select("read_id", "taxid", "seqid", "pos", "edit").collect())
@@ -134,16 +137,95 @@ def lines(path):
     return Path(path).read_text().splitlines()
 
 
+def mapped(spark, results):
+    """Ids of the reads that were mapped, as often as they were."""
+    return sorted(r[0] for r in spark.read.parquet(f"{results}.state/mapped").select("read_id").collect())
+
+
 def test_resume_maps_what_is_left(spark, index):
     out, args = str(index / "out.clp"), dict(fasta=str(index / "reads.fasta"))
     assign_reads(spark, str(index / "index"), out, read_offset=2, **args)
     assert [x.split(":")[0] for x in lines(out)] == ["r3-13"]
-    assert {r[0] for r in spark.read.parquet(f"{out}.done").collect()} == {"r3-13", "none"}
-    assign_reads(spark, str(index / "index"), out, **args)
-    assert [x.split(":")[0] for x in lines(out)] == ["r1-11", "r2-12", "r3-13"]
-    assert sorted(r[0] for r in spark.read.parquet(f"{out}.done").collect()) == ["none", "r1-11", "r2-12", "r3-13"]
+    assert mapped(spark, out) == ["none", "r3-13"]
+    for _ in range(2):
+        assign_reads(spark, str(index / "index"), out, **args)
+        assert sorted(x.split(":")[0] for x in lines(out)) == ["r1-11", "r2-12", "r3-13"]
+        assert mapped(spark, out) == ["none", "r1-11", "r2-12", "r3-13"]
     assign_reads(spark, str(index / "index"), out, read_offset=3, force_overwrite=True, **args)
-    assert lines(out) == [] and [r[0] for r in spark.read.parquet(f"{out}.done").collect()] == ["none"]
+    assert lines(out) == [] and mapped(spark, out) == ["none"]
+
+
+@pytest.mark.parametrize("ending", ["", "/"])
+def test_resume_after_a_failure_between_batches(spark, index, monkeypatch, ending):
+    """Each file a batch; the second one fails, before its lines or after them; the run after it maps each read once."""
+    (index / "in").mkdir()
+    records = (index / "reads.fasta").read_text().split(">")[1:]
+    for k, record in enumerate(records):
+        (index / "in" / f"{k}.fasta").write_text(f">{record}")
+    results, calls = f"{index}/results{ending}", []
+    true = mapping.assign
+
+    def failing(reads, *args, **kwargs):
+        calls.append(sorted(r[0] for r in reads.select("read_id").collect()))
+        if len(calls) == 2:
+            raise RuntimeError("stopped")
+        return true(reads, *args, **kwargs)
+
+    monkeypatch.setattr(mapping, "assign", failing)
+    args = dict(fasta=str(index / "in"), batch_files=1)
+    with pytest.raises(Exception, match="stopped"):
+        assign_reads(spark, str(index / "index"), results, **args)
+    assert len(mapped(spark, f"{index}/results")) == 1
+    assign_reads(spark, str(index / "index"), results, **args)
+    assert mapped(spark, f"{index}/results") == ["none", "r1-11", "r2-12", "r3-13"] and len(calls) == 5 and calls[1] == calls[2]
+    # a new file is taken up, with a read that was mapped before and one that wasn't
+    (index / "in/9.fasta").write_text(f">{records[0]}>new\n{records[1].split()[1]}\n")
+    assign_reads(spark, str(index / "index"), results, **args)
+    assert calls[5:] == [["new"]]
+    text = "".join(p.read_text() for p in sorted((index / "results").rglob("part-*"))) if ending else (index / "results").read_text()
+    assert sorted(x.split(":")[0] for x in text.splitlines()) == ["new", "r1-11", "r2-12", "r3-13"]
+
+
+def test_results_without_a_state_are_kept(spark, index):
+    (index / "out.clp").write_text("r1-11:5=0\n")
+    assign_reads(spark, str(index / "index"), str(index / "out.clp"), fasta=str(index / "reads.fasta"))
+    got = lines(index / "out.clp")
+    assert got[0] == "r1-11:5=0" and sorted(x.split(":")[0] for x in got[1:]) == ["r2-12", "r3-13"]
+
+
+def test_the_index_is_not_shuffled(spark, index):
+    """Reads' seeds go to the buckets: no exchange stands above a scan of the seeds before its join or count."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        reads = spark.createDataFrame([("a", "ACGTTGCA" * 9)], "read_id string, seq string")
+        found = seeds.candidates(reads, read_seeds(spark, str(index / "index")))
+        tree = found._jdf.queryExecution().executedPlan().toString().split("\n")
+        scans = 0
+        for k, line in enumerate(tree):
+            if "FileScan parquet" not in line:
+                continue
+            scans += 1
+            depth = line.index("FileScan")
+            above = []
+            for x in reversed(tree[:k]):
+                at = len(x) - len(x.lstrip(" :+-"))
+                if at < depth:
+                    above.append(x.strip(" :+-"))
+                    depth = at
+            until = next(i for i, x in enumerate(above) if "Join" in x)
+            assert not any("Exchange" in x for x in above[: until + 1]) and "Bucketed: true" in line
+        assert scans == 2 and found.collect() == []
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_equal_reads_are_mapped_once(spark):
+    text = "".join(random.Random(7).choices("ACGT", k=400))
+    refs = spark.createDataFrame([("a", 1, text)], "seqid string, taxid bigint, seq string")
+    rows = [*((f"r{k}", text[50:150]) for k in range(5)), ("low", text[50:150].lower()), ("other", text[200:260])]
+    got = seeds.assign(spark.createDataFrame(rows, "read_id string, seq string"), seeds.build_index(refs), refs).collect()
+    assert {(r.read_id, r.pos, r.edit) for r in got} >= {(n, 51 if n != "other" else 201, 0) for n, _ in rows}
 
 
 def test_limits(spark, index):
@@ -184,13 +266,19 @@ def test_staged_annotations_are_read(spark, tmp_path, caplog):
 
 
 def test_no_sequence_reaches_the_numbering(spark):
+    """Sequences are dealt once, by assembly and place, however large the tables are; nothing numbers or sorts them."""
     contigs = spark.createDataFrame([("A", (k,), "x", "x", "ACGT") for k in range(5)], "assembly string, at struct<k: int>, id string, description string, seq string")
     report = spark.createDataFrame([(1, "A", 7)], "ordinal int, assembly string, taxid bigint")
-    keyed = key_contigs(contigs, report)
-    text = plan(keyed)
-    window = text[text.index("Window [row_number()") :]
-    assert "seq#" not in window.split("+- ")[1]
-    assert sorted((r.at.k, r.seqid, r.seq) for r in keyed.collect()) == [(k, k + 1, "ACGT") for k in range(5)]
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        keyed = key_contigs(contigs, report)
+        text = keyed._jdf.queryExecution().executedPlan().toString()
+        assert len(re.findall(r"Exchange hashpartitioning\(assembly#\d+, at#\d+, ", text)) == 2
+        assert not re.search(r"hashpartitioning\(assembly#\d+, \d+\)|SinglePartition.*seq#", text)
+        assert sorted((r.at.k, r.seqid, r.taxid, r.seq) for r in keyed.collect()) == [(k, k + 1, 7, "ACGT") for k in range(5)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
 def test_directories_of_parts(spark, tmp_path):
