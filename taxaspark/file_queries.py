@@ -7,7 +7,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from taxaspark import queries as Q
 from taxaspark.functions import base_name
@@ -15,6 +14,7 @@ from taxaspark.operators import annotate as A
 from taxaspark.operators import filters, merge, seeds
 from taxaspark.operators.numbering import dense_ids
 from taxaspark.plans.annotation import annotate
+from taxaspark.plans.filtering import filter_file
 from taxaspark.plans.mapping import assign_reads as assign_files
 from taxaspark.plans.mapping import extract_reads, index_build, merge_files
 from taxaspark.plans.reference import reference_build, stage_gff
@@ -60,12 +60,12 @@ def _map_file(spark: SparkSession, sf_dir: str, path: str) -> str:
 
 @query("""
 SELECT CAST(p_partkey AS VARCHAR) AS seqid, CASE WHEN p_partkey % 5 = 0 THEN 'late' ELSE p_brand END AS assembly, concat('NC_', p_size % 10) AS header,
-       CASE WHEN p_partkey % 5 = 0 THEN concat('later, ', p_size) ELSE p_name END AS description FROM part
+       CASE WHEN p_partkey % 5 = 0 THEN concat('later, "', p_size, '"', chr(10), p_name) ELSE p_name END AS description FROM part
 """)
 def file_map_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A tab- and a comma-separated map table: of a key in both the row of the later file counts."""
     with work_folder(spark) as folder:
-        late = Q._sql(spark, sf_dir, "SELECT p_partkey, concat('NA,', p_partkey, ',late,NC_', p_size % 10, ',\"later, ', p_size, '\",NA') AS value FROM part WHERE p_partkey % 5 = 0", "part")
+        late = Q._sql(spark, sf_dir, "SELECT p_partkey, concat('NA,', p_partkey, ',late,NC_', p_size % 10, ',\"later, \"\"', p_size, '\"\"', chr(10), p_name, '\",NA') AS value FROM part WHERE p_partkey % 5 = 0", "part")
         paths = [_map_file(spark, sf_dir, f"{folder}/a.tsv"), _file(late, f"{folder}/b.csv", "p_partkey", "gff,seqid,assembly,header,description,protein_fasta\n")]
         return materialize(last_by(read_mapping(spark, paths), "seqid").select("seqid", "assembly", "header", "description"), "map")
 
@@ -79,7 +79,8 @@ def _read_report(spark: SparkSession, sf_dir: str, name: str, line: str, head: s
         if tail:
             rows = rows.unionByName(spark.createDataFrame([((1 << 31) - 1, tail)], "p_partkey int, value string"), allowMissingColumns=False)
         found = read_report(spark, _file(rows, f"{folder}/{name}", "p_partkey", head, compression))
-        return materialize(found.select("assembly", "taxid", F.row_number().over(Window.orderBy("ordinal")).alias("place")), "report")  # a row an assembly
+        found = dense_ids(found, ["ordinal"], "place")
+        return materialize(found.select("assembly", "taxid", F.col("place").cast("int").alias("place")), "report")
 
 
 @query(_REPORT)
@@ -100,7 +101,7 @@ def file_report_jsonl_gz(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(_REPORT)
 def file_report_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One document: an array over many lines."""
-    return _read_report(spark, sf_dir, "r.json", "concat('{\"accession\":\"', p_brand, '\",\"taxid\":', p_size, '},')", "[\n", "{}]")
+    return _read_report(spark, sf_dir, "r.json", "concat('{\"name\":\"a[]{,\\\\\\\"', p_name, '\", \"more\":[1,{\"x\":[', p_partkey, ',2]}],', CASE p_partkey % 3 WHEN 0 THEN chr(10) ELSE '' END, '\"accession\":\"', p_brand, '\",\"taxid\":', p_size, CASE p_partkey % 4 WHEN 0 THEN '}, {} ,' ELSE '},' END)", "[\n", "{}]")
 
 
 @query("SELECT DISTINCT CAST(s_suppkey % 40 AS BIGINT) AS taxid FROM supplier WHERE s_suppkey % 7 > 2")
@@ -277,6 +278,37 @@ def extract_command(spark: SparkSession, sf_dir: str) -> DataFrame:
         return materialize(both[0].unionByName(both[1]), "reads")
 
 
+def _taxa_file(spark: SparkSession, sf_dir: str, path: str, regions: str) -> str:
+    return _file(Q._taxa(spark, sf_dir, regions).select("taxid", F.concat_ws("\t", F.col("taxid").cast("string"), F.lit("x")).alias("value")), path, "taxid")
+
+
+_COMMAND = f"""
+WITH h AS ({Q.HITS}), f AS (SELECT read_id, {Q.RAW} AS raw, edit, {Q.INCLUDE} AND {Q.EXCLUDE} AS ok, min(CASE WHEN {Q.INCLUDE} AND {Q.EXCLUDE} THEN edit END) OVER (PARTITION BY read_id) AS best FROM h),
+r AS (SELECT read_id, count(*) AS n, count(*) FILTER (ok AND edit <= best + 1) AS k, string_agg(raw, ',' ORDER BY raw) FILTER (ok AND edit <= best + 1) AS raws FROM f GROUP BY read_id)
+"""
+
+
+@query(f"{_COMMAND} SELECT row_number() OVER (ORDER BY read_id) AS line, concat(read_id, ':', raws) AS value FROM r WHERE k > 0")
+def filter_command(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of the filtered file and their order."""
+    with work_folder(spark) as folder:
+        include, exclude = (_taxa_file(spark, sf_dir, f"{folder}/{k}.txt", regions) for k, regions in enumerate(("0, 1, 2", "2, 3")))
+        filter_file(spark, _assignments(spark, sf_dir, f"{folder}/a.clp"), f"{folder}/out.clp", include, exclude, 1)
+        return materialize(_numbered(read_lines(spark, f"{folder}/out.clp")), "lines")
+
+
+@query(f"""{_COMMAND}
+SELECT 'kept_reads' AS metric, CAST(count(*) FILTER (k > 0) AS BIGINT) AS value FROM r UNION ALL SELECT 'kept_hits', CAST(coalesce(sum(k), 0) AS BIGINT) FROM r
+UNION ALL SELECT 'removed_reads', CAST(count(*) FILTER (k = 0) AS BIGINT) FROM r UNION ALL SELECT 'removed_hits', CAST(coalesce(sum(n - k), 0) AS BIGINT) FROM r
+""")
+def filter_command_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the command counts on its one pass."""
+    with work_folder(spark) as folder:
+        include, exclude = (_taxa_file(spark, sf_dir, f"{folder}/{k}.txt", regions) for k, regions in enumerate(("0, 1, 2", "2, 3")))
+        counts = filter_file(spark, _assignments(spark, sf_dir, f"{folder}/a.clp"), f"{folder}/out/", include, exclude, 1)
+        return spark.createDataFrame(list(counts.items()), "metric string, value bigint")
+
+
 # -- lists too long for a literal, order, streams --------------------------------------------------------------------------------
 
 
@@ -306,8 +338,8 @@ def stream_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stream over a directory, run until nothing is left to read."""
     with work_folder(spark) as folder:
         _assignments(spark, sf_dir, f"{folder}/in/a.clp")
-        taxa = [r[0] for r in Q._table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("bigint")).orderBy("s_suppkey").limit(filters.INLINE).collect()]
-        streams.start_filter(spark, f"{folder}/in", f"{folder}/out", f"{folder}/checkpoint", [t for t in taxa if t % 3], [t for t in taxa if t % 5 == 1], 1).awaitTermination()
+        taxa = Q._table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("bigint").alias("taxid"))
+        streams.start_filter(spark, f"{folder}/in", f"{folder}/out", f"{folder}/checkpoint", taxa.where("taxid % 3 <> 0"), taxa.where("taxid % 5 = 1"), 1).awaitTermination()
         return materialize(spark.read.text(f"{folder}/out").select(F.col("value").alias("line")), "lines")
 
 

@@ -45,21 +45,27 @@ def _join_taxa(reads: DataFrame, include: DataFrame | None, exclude: DataFrame |
     return out.drop("kept")
 
 
-def filter_hits(reads: DataFrame, include: DataFrame | None = None, exclude: DataFrame | None = None, delta: int = 0) -> DataFrame:
+def taxa_lists(include: DataFrame | None = None, exclude: DataFrame | None = None) -> dict[str, list[int] | None]:
+    """include and exclude as lists; those over INLINE taxa are absent and have to be joined. (Counts the lists: a job each.)"""
+    lists = {}
+    for name, taxa in (("include", include), ("exclude", exclude)):
+        rows = None if taxa is None else taxa.select("taxid").distinct().limit(INLINE + 1).collect()
+        if rows is None or len(rows) <= INLINE:
+            lists[name] = None if rows is None else [r[0] for r in rows]
+    return lists
+
+
+def filter_hits(reads: DataFrame, include: DataFrame | None = None, exclude: DataFrame | None = None, delta: int = 0, lists: dict[str, list[int] | None] | None = None) -> DataFrame:
     """at, read_id, tokens -> those, parsed (readable hits) and hits (what the filters leave).
 
-    Taxa first, then the distance to the best hit that is left, each line by itself even if a read has several. Lists of taxa
-    are counted; those over INLINE taxa are joined instead of looked up.
+    Taxa first, then the distance to the best hit that is left, each line by itself even if a read has several. ``lists``: what
+    :func:`taxa_lists` said of the taxa; longer lists are joined instead of looked up.
     """
+    lists = taxa_lists(include, exclude) if lists is None else lists
     reads = parse_lenient(reads).withColumn("parsed", F.col("hits"))
-    lists = {}
-    for name, taxa in (("include", include), ("exclude", exclude)):
-        rows = None if taxa is None else taxa.select("taxid").distinct().limit(INLINE + 1).collect()
-        lists[name] = rows if rows is None or len(rows) <= INLINE else False
-    short = {n: None if r is None else [x[0] for x in r] for n, r in lists.items() if r is not False}
-    reads = reads.withColumn("hits", keep_taxa(F.col("hits"), short.get("include"), short.get("exclude")))
-    if False in lists.values():
-        reads = _join_taxa(reads, include if lists["include"] is False else None, exclude if lists["exclude"] is False else None)
+    reads = reads.withColumn("hits", keep_taxa(F.col("hits"), lists.get("include"), lists.get("exclude")))
+    if len(lists) < 2:
+        reads = _join_taxa(reads, None if "include" in lists else include, None if "exclude" in lists else exclude)
     return reads.withColumn("hits", keep_near_best(F.col("hits"), delta))
 
 
@@ -69,17 +75,22 @@ def kept_lines(filtered: DataFrame) -> DataFrame:
     return kept.select("at", render_line(F.col("read_id"), F.transform("hits", lambda h: h["raw"])).alias("value"))
 
 
-def filter_counters(filtered: DataFrame) -> DataFrame:
-    """kept_reads, kept_hits, removed_reads, removed_hits.
+def counters() -> list[Column]:
+    """kept_reads, kept_hits, removed_reads, removed_hits over filtered lines, as aggregates.
 
     Removed hits are readable ones only; a read without readable hits is removed and adds no hit.
     """
     usable = (F.col("read_id") != "") & (F.size("parsed") > 0)
     kept = usable & (F.size("hits") > 0)
     total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
-    return filtered.agg(
+    return [
         total(kept.cast("int")).alias("kept_reads"),
         total(F.when(kept, F.size("hits"))).alias("kept_hits"),
         total((~kept).cast("int")).alias("removed_reads"),
         total(F.when(usable, F.size("parsed") - F.size("hits"))).alias("removed_hits"),
-    )
+    ]
+
+
+def filter_counters(filtered: DataFrame) -> DataFrame:
+    """The :func:`counters` as a row."""
+    return filtered.agg(*counters())

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from taxaspark.functions import safe_header, wrap
+from taxaspark.sources.lines import plain
 
 
 def _fs(spark: SparkSession, path: str):
@@ -118,7 +120,7 @@ def write_splits(df: DataFrame, inputs: list[str], path: str, value: str = "valu
     ``inputs`` (the files that were read). A path that ends in ``/`` is a directory with a folder for each split.
     """
     spark = df.sparkSession
-    split = F.concat_ws("-", F.lpad(F.col("at.input").cast("string"), 6, "0"), F.md5("at.file"), F.lpad(F.col("at.block").cast("string"), 19, "0"))
+    split = F.concat_ws("-", F.lpad(F.col("at.input").cast("string"), 6, "0"), F.md5(plain(F.col("at.file"))), F.lpad(F.col("at.block").cast("string"), 19, "0"))
     rows = df.withColumn("split", split).sortWithinPartitions("split", "at").select("split", value)
     if path.endswith("/"):
         rows.write.mode("overwrite").partitionBy("split").text(path)
@@ -126,7 +128,7 @@ def write_splits(df: DataFrame, inputs: list[str], path: str, value: str = "valu
     parts = f"{path}.parts-{uuid.uuid4().hex}"
     rows.write.partitionBy("split").text(parts)
     fs, folder = _fs(spark, parts)
-    place = {hashlib.md5(f.encode()).hexdigest(): k for k, f in enumerate(sorted(inputs))}
+    place = {hashlib.md5(re.sub("^file:/+", "/", f).encode()).hexdigest(): k for k, f in enumerate(sorted(inputs))}
     named = [s.getPath().getName() for s in fs.listStatus(folder) if "=" in s.getPath().getName()]
     number = lambda n: (n[6:12], place[n[13:45]], n[46:])  # noqa: E731  "split=", input, digest, block
     join_files(spark, [p for n in sorted(named, key=number) for p in parts_of(spark, f"{parts}/{n}")], path)

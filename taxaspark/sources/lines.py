@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -52,6 +53,27 @@ def read_files(spark: SparkSession, files: list[str], line_sep: str | None = Non
     return reader.text(files).select(plain(meta["file_path"]).alias("file"), at.alias("at"), F.make_valid_utf8("value").alias("value"))
 
 
+def sums_before(lines: DataFrame, counts: dict[str, Column]) -> DataFrame:
+    """``lines`` with, by name, the sum of each count over all lines before this one in its file.
+
+    Sums run within a file's split, one task each, and a split starts from the sum of those before: one row a split is gathered.
+    """
+    split = F.struct(F.col("at.input").alias("input"), F.col("at.file").alias("file"), F.col("at.block").alias("block"))
+    rows = lines.withColumns({"__split": split, **{f"__{n}": c.cast("bigint") for n, c in counts.items()}})
+    totals = rows.groupBy("__split").agg(*[F.sum(f"__{n}").alias(n) for n in counts]).collect()  # a row a split
+    start, last, sums = [], None, {}
+    for r in sorted(totals, key=lambda r: tuple(r["__split"])):
+        if r["__split"][:2] != last:
+            last, sums = r["__split"][:2], dict.fromkeys(counts, 0)
+        start.append((tuple(r["__split"]), *[sums[n] for n in counts]))
+        sums = {n: sums[n] + r[n] for n in counts}
+    known = lines.sparkSession.createDataFrame(start, "__split struct<input int, file string, block bigint>, " + ", ".join(f"__{n}_0 bigint" for n in counts))
+    earlier = Window.partitionBy("__split").orderBy("at.row").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.join(F.broadcast(known), "__split")
+    rows = rows.withColumns({n: F.col(f"__{n}_0") + F.coalesce(F.sum(f"__{n}").over(earlier), F.lit(0)) for n in counts})
+    return rows.select(*lines.columns, *counts)
+
+
 def first_line(spark: SparkSession, path: str) -> str:
     """The first line of a file; empty if there is none."""
     rows = spark.read.text(path).head(1)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from taxaspark.sources.lines import delimiter
+from taxaspark.sources.delimited import read_delimited
 
 #: The columns of a map table, in the order in which it is written; and those a reader asks for.
 COLUMNS = ["seqid", "assembly", "taxid", "header", "description", "gff", "protein_fasta"]
@@ -18,22 +19,17 @@ def read_mapping(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
     ``at`` orders rows by file as given, then place: of rows with one key the last counts.
     """
-    out = None
+    parts = []
     for k, path in enumerate([paths] if isinstance(paths, str) else paths):
-        sep = delimiter(spark, path)
-        head = spark.read.csv(path, sep=sep, header=True, quote='"', escape='"')
-        missing = sorted(set(NEEDED) - set(head.columns))
+        rows = read_delimited(spark, path)
+        missing = sorted(set(NEEDED) - set(rows.columns))
         if missing:
             raise ValueError(f"map table {path} lacks the columns {', '.join(missing)}")
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in head.columns])
-        # records may hold line ends, so a file is read by one task and its order holds
-        rows = spark.read.csv(path, schema=schema, sep=sep, header=True, quote='"', escape='"', multiLine=True)
-        at = F.struct(F.lit(k).alias("input"), F.monotonically_increasing_id().alias("row"))
-        part = rows.select(at.alias("at"), *[F.coalesce(c, F.lit("")).alias(c) for c in NEEDED])
-        out = part if out is None else out.unionByName(part)
-    if out is None:
+        at = F.struct(F.lit(k).alias("input"), F.col("at.file").alias("file"), F.col("at.block").alias("block"), F.col("at.row").alias("row"))
+        parts.append(rows.select(at.alias("at"), *[F.coalesce(c, F.lit("")).alias(c) for c in NEEDED]))
+    if not parts:
         raise ValueError("no map table is given")
-    return out
+    return reduce(DataFrame.unionByName, parts)
 
 
 def last_by(rows: DataFrame, key: str) -> DataFrame:

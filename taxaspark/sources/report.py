@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from taxaspark.functions import first_filled, int_like_python, strip
-from taxaspark.sources.lines import delimiter, read_lines
+from taxaspark.sources.delimited import read_delimited
+from taxaspark.sources.lines import read_lines, sums_before
 
 #: Names that columns or fields may have, in the order in which they are tried.
 ASSEMBLY_NAMES = ["assembly_accession", "assemblyAccession", "assembly_accession_version", "accession"]
@@ -36,38 +38,74 @@ def first_place_last_value(rows: DataFrame) -> DataFrame:
     return rows.groupBy("assembly").agg(F.min("at").alias("ordinal"), F.max_by("taxid", "at").alias("taxid")).select("ordinal", "assembly", "taxid")
 
 
-def parse_json(lines: DataFrame, whole: DataFrame) -> DataFrame:
-    """at, assembly, taxid from JSON lines; if any line isn't JSON, from ``whole`` as one document."""
-    lines = lines.select("at", strip(F.col("value")).alias("value")).where("value <> ''")
-    parsed = lines.select("at", F.try_parse_json("value").alias("o"))
+#: A JSON string, and the letters that open and close objects and arrays.
+_STRING = r'"(?:[^"\\]|\\.)*+"'
+_TOKEN = rf"{_STRING}|[\[\]{{}},]|[^\"\[\]{{}},]+"
+
+
+def _brackets(value: Column) -> Column:
+    """The brackets of a line, outside of its strings."""
+    return F.regexp_replace(F.regexp_replace(value, _STRING, ""), r"[^\[\]{}]+", "")
+
+
+def _depth(brackets: Column) -> Column:
+    """By how much they go down into the document, less those that come up."""
+    return F.length(F.regexp_replace(brackets, r"[\]}]", "")) - F.length(F.regexp_replace(brackets, r"[\[{]", ""))
+
+
+def document_items(lines: DataFrame) -> DataFrame:
+    """at, value: the items of a JSON document over many lines, or the document itself if it isn't an array.
+
+    A line's strings end in it, so that a line's brackets tell its depth, and sums over file splits that of every line's start.
+    Only lines that reach the array itself are cut at its commas; no task holds the document.
+    """
+    rows = lines.where(strip(F.col("value")) != "").withColumn("brackets", _brackets(F.col("value")))
+    rows = sums_before(rows, {"depth": _depth(F.col("brackets"))})
+    top = rows.where("depth = 0").select("at", "value").orderBy("at").head(2)
+    if len(top) > 1:
+        raise ValueError("the report is neither JSON lines nor one document")
+    if not top or not top[0]["value"].lstrip("\ufeff \t").startswith("["):
+        return rows.groupBy("at.input", "at.file").agg(F.array_sort(F.collect_list(F.struct("at", "value"))).alias("r")).select(F.col("r")[0]["at"].alias("at"), F.array_join(F.transform("r", lambda x: x["value"]), "\n").alias("value"))
+    # a line that stays inside of one item is a piece of it
+    step = lambda s, c: F.struct((s["d"] + F.when(c.isin("[", "{"), 1).otherwise(-1)).alias("d"), F.least(s["low"], s["d"] + F.when(c.isin("[", "{"), 1).otherwise(-1)).alias("low"))
+    least = F.aggregate(F.split("brackets", ""), F.struct(F.lit(0).alias("d"), F.lit(0).alias("low")), lambda s, c: F.when(c == "", s).otherwise(step(s, c)))["low"]
+    rows = rows.withColumn("cut", (F.col("depth") + least <= 1) | (F.col("depth") <= 1))
+    inner = rows.where("not cut").select("at", F.lit(0).alias("k"), F.col("value").alias("text"), F.lit(False).alias("comma"))
+    tokens = rows.where("cut").select("at", "depth", F.posexplode(F.regexp_extract_all("value", F.lit(_TOKEN), F.lit(0))).alias("k", "text"))
+    goes = F.when(F.col("text").isin("[", "{"), 1).when(F.col("text").isin("]", "}"), -1).otherwise(0)
+    reached = F.sum(goes).over(Window.partitionBy("at").orderBy("k"))
+    tokens = tokens.withColumn("d", F.col("depth") + reached).where(~(((F.col("text") == "[") & (F.col("d") == 1)) | ((F.col("text") == "]") & (F.col("d") == 0))))
+    outer = tokens.select("at", "k", "text", ((F.col("text") == ",") & (F.col("d") == 1)).alias("comma"))
+    pieces = inner.unionByName(outer)
+    by_line = pieces.groupBy("at").agg(F.sum(F.col("comma").cast("int")).alias("commas"))
+    numbered = sums_before(by_line, {"item": F.col("commas")})
+    within = F.coalesce(F.sum(F.col("comma").cast("int")).over(Window.partitionBy("at").orderBy("k")), F.lit(0))
+    items = pieces.withColumn("__in", within).join(numbered.select("at", "item"), "at").where("not comma")
+    whole = items.groupBy("at.input", "at.file", (F.col("item") + F.col("__in")).alias("n")).agg(F.array_sort(F.collect_list(F.struct("at", "k", "text"))).alias("r"))
+    first = F.struct("input", "file", F.lit(0).cast("bigint").alias("block"), F.col("n").alias("row"))
+    return whole.select(first.alias("at"), F.array_join(F.transform("r", lambda x: x["text"]), "").alias("value")).where(strip(F.col("value")) != "")
+
+
+def parse_json(lines: DataFrame) -> DataFrame:
+    """at, assembly, taxid from JSON lines; if any line isn't JSON, from all of them as one document."""
+    filled = lines.select("at", strip(F.col("value")).alias("value")).where("value <> ''")
+    parsed = filled.select("at", F.try_parse_json("value").alias("o"))
     if parsed.where("o is null").limit(1).count():
-        doc = whole.select("at", F.parse_json("value").alias("o"))
-        kind = F.schema_of_variant("o")
-        parsed = doc.where(~kind.startswith("ARRAY")).unionByName(_items(doc))
+        parsed = document_items(lines).select("at", F.parse_json("value").alias("o"))
     parsed = parsed.where(F.schema_of_variant("o").startswith("OBJECT"))
     return parsed.select("at", assembly_of(F.col("o")).alias("assembly"), taxid_of(F.col("o")).alias("taxid")).where("assembly is not null and taxid is not null")
 
 
-def _items(doc: DataFrame) -> DataFrame:
-    """The elements of documents that are arrays, in order."""
-    arrays = F.try_variant_get("o", "$", "array<variant>")
-    return doc.select("at", F.posexplode(arrays).alias("k", "o")).select(F.struct("at.input", "at.file", "at.block", F.col("k").cast("bigint").alias("row")).alias("at"), "o")
-
-
 def read_report(spark: SparkSession, path: str) -> DataFrame:
     """ordinal, assembly, taxid."""
     low = path.lower()
     if low.endswith((".jsonl", ".jsonl.gz", ".json", ".json.gz")):
-        whole = spark.read.text(path, wholetext=True)
-        at = F.struct(F.lit(0).alias("input"), F.lit("").alias("file"), F.lit(0).cast("bigint").alias("block"), F.lit(0).cast("bigint").alias("row"))
-        return first_place_last_value(parse_json(read_lines(spark, path), whole.select(at.alias("at"), "value")))
-    sep = delimiter(spark, path)
-    rows = spark.read.csv(path, sep=sep, header=True, quote='"', escape='"', multiLine=True)
-    if not rows.columns:
+        return first_place_last_value(parse_json(read_lines(spark, path)))
+    rows = read_delimited(spark, path)
+    if len(rows.columns) < 2:
         raise ValueError(f"report has no header: {path}")
     assembly = next((c for c in ASSEMBLY_NAMES if c in rows.columns), None)
     taxid = next((c for c in TAXID_NAMES if c in rows.columns), None)
     if assembly is None or taxid is None:
-        raise ValueError(f"report {path} needs one of {ASSEMBLY_NAMES} and one of {TAXID_NAMES}; it has {sorted(rows.columns)}")
-    at = F.struct(F.lit(0).alias("input"), F.lit("").alias("file"), F.lit(0).cast("bigint").alias("block"), F.monotonically_increasing_id().alias("row"))
-    return first_place_last_value(rows.select(at.alias("at"), F.col(f"`{assembly}`").alias("assembly"), int_like_python(F.col(f"`{taxid}`")).alias("taxid")).where("assembly <> '' and taxid is not null"))
+        raise ValueError(f"report {path} needs one of {ASSEMBLY_NAMES} and one of {TAXID_NAMES}; it has {sorted(c for c in rows.columns if c != 'at')}")
+    return first_place_last_value(rows.select("at", F.col(f"`{assembly}`").alias("assembly"), int_like_python(F.col(f"`{taxid}`")).alias("taxid")).where("assembly <> '' and taxid is not null"))

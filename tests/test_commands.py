@@ -11,12 +11,13 @@ from taxaspark.operators import alignment, filters, intervals, merge, seeds
 from taxaspark.operators.refbuild import key_contigs
 from taxaspark.plans import mapping
 from taxaspark.plans.annotation import annotate
+from taxaspark.plans.filtering import filter_file
 from taxaspark.plans.mapping import assign_reads, index_build
 from taxaspark.plans.reference import reference_build
 from taxaspark.sinks import write_lines, write_table
-from taxaspark.sources.assignments import parse_assignments
+from taxaspark.sources.assignments import parse_assignments, read_assignments
 from taxaspark.sources.index import read_seeds
-from taxaspark.streaming.hits import named_hits
+from taxaspark.streaming.hits import named_hits, start_filter
 
 ODD = "r:99999999999999999999-7-3=1,5-7-3=1, 7-a=b-3=4,12-5,1=2-3-4,7=8,1-a-b-10=2,-1=1,1-2-99999999999999999999=1"
 
@@ -287,3 +288,65 @@ def test_directories_of_parts(spark, tmp_path):
     write_table(df, f"{tmp_path}/b/")
     assert [x for part in sorted((tmp_path / "a").glob("part-*")) for x in part.read_text().splitlines()] == [str(k) for k in range(100)]
     assert spark.read.csv(f"{tmp_path}/b", sep="\t", header=True).count() == 100
+
+
+@pytest.mark.parametrize("inline", [10_000, 1])
+@pytest.mark.parametrize("ending", ["", "/"])
+def test_filter_in_one_pass(spark, tmp_path, monkeypatch, inline, ending):
+    """Lines in order over many splits and files, looked up or joined; the counters of the same pass."""
+    monkeypatch.setattr(filters, "INLINE", inline)
+    rng = random.Random(inline)
+    rows = [[f"r{k}x{i}:" + ",".join(f"{rng.randint(1, 4)}-s-{rng.randint(1, 99)}={rng.randint(0, 4)}" for _ in range(rng.randint(0, 4))) for i in range(200)] for k in range(3)]
+    for k in (2, 0, 1):
+        (tmp_path / f"{k}.clp").write_text("\n".join(rows[k]) + "\n\n")
+    (tmp_path / "in.txt").write_text("1\n2\n3\n")
+    (tmp_path / "out.txt").write_text("2\n")
+    want, counts = [], dict.fromkeys(("kept_reads", "kept_hits", "removed_reads", "removed_hits"), 0)
+    for line in (x for part in rows for x in part):
+        name, _, text = line.partition(":")
+        hits = [h for h in text.split(",") if h]
+        left = [h for h in hits if h[0] in "13"]
+        left = [h for h in left if int(h[-1]) <= min(int(x[-1]) for x in left) + 1]
+        if left:
+            want.append(f"{name}:{','.join(left)}")
+        counts["kept_reads" if left else "removed_reads"] += 1
+        counts["kept_hits"] += len(left)
+        counts["removed_hits"] += len(hits) - len(left)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        got = filter_file(spark, f"{tmp_path}/*.clp", f"{tmp_path}/kept{ending}", f"{tmp_path}/in.txt", f"{tmp_path}/out.txt", 1)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == counts
+    if ending:
+        text = sorted(x for p in (tmp_path / "kept").rglob("part-*") for x in p.read_text().splitlines())
+        assert text == sorted(want)
+    else:
+        assert lines(tmp_path / "kept") == want
+
+
+def test_filtering_is_not_shuffled(spark, tmp_path):
+    (tmp_path / "a.clp").write_text("r:1=0\n")
+    taxa = spark.createDataFrame([(1,)], "taxid bigint")
+    rows = filters.kept_lines(filters.filter_hits(read_assignments(spark, f"{tmp_path}/a.clp"), include=taxa)).sortWithinPartitions("at")
+    assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("inline", [10_000, 1])
+def test_stream_with_tables_of_taxa(spark, tmp_path, monkeypatch, inline):
+    monkeypatch.setattr(filters, "INLINE", inline)
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/a.clp").write_text("r:1=3,2=0,3=1\ns:2=0\nt:1=1,1=2\n")
+    include = spark.createDataFrame([(k,) for k in (1, 2, 3)], "taxid bigint")
+    exclude = spark.createDataFrame([(2,)], "taxid bigint")
+    args = (spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "check"), include, exclude, 1)
+    query = start_filter(*args)
+    query.awaitTermination()
+    if inline > 1:
+        assert query.lastProgress.observedMetrics["counters"].asDict() == {"kept_reads": 2, "kept_hits": 3, "removed_reads": 1, "removed_hits": 3}
+    (tmp_path / "in/b.clp").write_text("u:3=1,1=1\n")
+    start_filter(*args).awaitTermination()
+    got = sorted(r.value for r in spark.read.text(str(tmp_path / "out")).collect())
+    assert got == ["r:3=1", "t:1=1,1=2", "u:3=1,1=1"]

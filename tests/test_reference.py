@@ -1,6 +1,8 @@
 """Reports, FASTA, layout, chunks, the reference-build command, mapping, extraction, streams and the command line."""
 
+import csv
 import gzip
+import json
 import random
 
 import pytest
@@ -8,6 +10,8 @@ import pytest
 from taxaspark import cli, plans
 from taxaspark.operators import alignment, refbuild, seeds
 from taxaspark.sources import assembly_files, read_fasta, read_fastq, read_reads, read_report, read_taxa
+from taxaspark.sources import layout
+from taxaspark.sources.delimited import read_delimited
 from taxaspark.sources.lines import delimiter
 from taxaspark.streaming import start_filter
 
@@ -81,22 +85,38 @@ def test_taxa(spark, tmp_path):
         read_taxa(spark, str(tmp_path / "none"))
 
 
-def test_next_fit(spark):
-    rng = random.Random(4)
-    for limit in (10, 1):
-        sizes = [rng.randint(1, 14) for _ in range(200)]
-        want, chunk, filled = [], 0, 0
-        for n in sizes:
-            if filled and filled + n > limit:
-                chunk, filled = chunk + 1, 0
-            filled += n
-            want.append(chunk)
-        rows = refbuild.next_fit(spark.createDataFrame(list(enumerate(sizes)), "seqid bigint, n_bytes bigint"), limit)
-        assert [r.chunk for r in rows.orderBy("seqid").collect()] == want
+def folded(sizes, limit):
+    out, chunk, filled = [], 0, 0
+    for n in sizes:
+        if filled and filled + n > limit:
+            chunk, filled = chunk + 1, 0
+        filled += n
+        out.append(chunk)
+    return out
+
+
+@pytest.mark.parametrize("limit", [10, 1, 200, 10_000])
+def test_next_fit(spark, limit):
+    """Against a fold: over many ranges, records over the limit, records of no bytes, keys with gaps; no task has all records."""
+    rng = random.Random(limit)
+    sizes = [rng.choice([0, 0, 1, rng.randint(1, 14), rng.randint(1, 14), 40]) for _ in range(200)]
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "9")
+    try:
+        rows = refbuild.next_fit(spark.createDataFrame([(3 * k + 7, n) for k, n in enumerate(sizes)], "seqid bigint, n_bytes bigint"), limit)
+        assert [r.chunk for r in rows.orderBy("seqid").collect()] == folded(sizes, limit)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
     with pytest.raises(ValueError):
         refbuild.next_fit(rows, 0)
 
 
+def test_next_fit_of_nothing(spark):
+    assert refbuild.next_fit(spark.createDataFrame([], "seqid bigint, n_bytes bigint"), 5).count() == 0
+
+
 @pytest.fixture
 def genomes(tmp_path):
     rng = random.Random(6)
@@ -204,3 +224,59 @@ def test_command_line(spark, tmp_path, capsys):
     assert cli.main(["merge", "-o", "x"]) == 1
     with pytest.raises(SystemExit):
         cli.main(["--version"])
+
+
+def test_quoted_records_over_many_splits(spark, tmp_path):
+    """Fields with line ends, doubled quotes and stray quotes, against the csv module; splits of a few lines."""
+    rng = random.Random(11)
+    pieces = ["a", '5" pipe', "two\nlines", "", "x\ty", 'say "yes"', "\n\n", "plain", '"', "end\n"]
+    rows = [[str(k), *(rng.choice(pieces) for _ in range(3))] for k in range(300)]
+    with open(tmp_path / "t.tsv", "w", newline="") as f:
+        out = csv.writer(f, delimiter="\t")
+        out.writerow(["k", "one", "two", "three"])
+        out.writerows(rows)
+        f.write('stray\t5" pipe\tb "quoted" c\tx\r\n')
+    want = [*rows, ["stray", '5" pipe', 'b "quoted" c', "x"]]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "97")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        df = read_delimited(spark, str(tmp_path / "t.tsv")).orderBy("at")
+        assert spark.read.text(str(tmp_path / "t.tsv")).rdd.getNumPartitions() > 10
+        got = [[x or "" for x in r[1:]] for r in df.collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == want
+
+
+def test_json_documents_over_many_splits(spark, tmp_path):
+    """Items of any layout, cut at the array's commas; strings that hold brackets and quotes; items that are no objects."""
+    rng = random.Random(12)
+    items = [{"accession": f"A{k}", "taxid": k, "more": [{"x": "]},[{" * rng.randint(0, 2)}, 'say "no\\']} for k in range(60)]
+    text = "[\n" + ",\n".join(rng.choice([json.dumps(x), json.dumps(x, indent=1), json.dumps(x, indent=3).replace(",\n", "\n,")]) for x in items) + ", 5, [1, 2], null\n]"
+    (tmp_path / "r.json").write_text(text)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "301")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        got = [(r.assembly, r.taxid) for r in read_report(spark, str(tmp_path / "r.json")).orderBy("ordinal").collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == [(f"A{k}", k) for k in range(60)]
+    (tmp_path / "one.json").write_text(json.dumps(items[7], indent=2))
+    assert [(r.assembly, r.taxid) for r in read_report(spark, str(tmp_path / "one.json")).collect()] == [("A7", 7)]
+    (tmp_path / "bad.jsonl").write_text('{"accession": "A", "taxid": 1}\nnot json\n')
+    with pytest.raises(ValueError, match="neither"):
+        read_report(spark, str(tmp_path / "bad.jsonl"))
+
+
+def test_names_come_bit_by_bit(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(layout, "AT_ONCE", 2)
+    monkeypatch.setattr(layout, "HELD", 3)
+    for k in range(7):
+        (tmp_path / f"A{k}").mkdir()
+        for name in ("b_genomic.fna", "a_genomic.fna", *["a_genomic.fna.gz"] * (k % 2)):
+            (tmp_path / f"A{k}" / name).write_text("")
+    got = {r.assembly: r.genome.rpartition("/")[2] for r in layout.assembly_files(spark, str(tmp_path)).collect()}
+    assert got == {f"A{k}": "a_genomic.fna" + ".gz" * (k % 2) for k in range(7)}
+    assert layout.assembly_files(spark, str(tmp_path / "A0")).count() == 0
