@@ -5,6 +5,8 @@ Files stand in a folder of the shared storage that is deleted when the result, a
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +24,7 @@ from taxaspark.queries import query
 from taxaspark.sinks import single_file, touch, write_table
 from taxaspark.sinks.files import fasta_text, read_text
 from taxaspark.sources import assembly_files, read_assignments, read_fasta, read_fastq, read_gff, read_mapping, read_report, read_taxa, read_taxonomy
-from taxaspark.sources.lines import read_lines
+from taxaspark.sources.lines import exists, read_lines
 from taxaspark.sources.mapping import last_by
 from taxaspark.storage import materialize, work_folder
 from taxaspark.streaming import hits as streams
@@ -207,14 +209,77 @@ def annotate_command(spark: SparkSession, sf_dir: str) -> DataFrame:
         return materialize(_numbered(read_lines(spark, f"{folder}/out.tsv")), "lines")
 
 
-@query(f"SELECT 'table' AS file, concat_ws(chr(9), {_HEAD}, 'CDS ID', 'Protein ID', 'Annotation') AS value")
+#: Hits without a place, of every fifth line number.
+_MIXED = "CASE WHEN edit % 5 = 0 THEN concat(taxid, '=', edit) ELSE " + Q.RAW + " END"
+
+
+def _annotation_files(spark: SparkSession, sf_dir: str, folder: str) -> str:
+    """GFF and protein files of each brand; the map table that names them."""
+    cds = Q._cds(spark, sf_dir)
+    fields = [F.col("contig"), F.lit("src"), F.lit("CDS"), F.col("start").cast("string"), F.col("end").cast("string"), F.lit("."), F.lit("+"), F.lit("0"), F.concat(F.lit("ID=cds-"), "cds_id", F.lit(";product="), "product")]
+    proteins = Q._proteins(spark, sf_dir)
+    text = fasta_text(F.concat("id", F.lit(" "), "description"), F.col("seq"))
+    name = lambda end: F.concat(F.lit(f"{folder}/"), F.replace("assembly", F.lit("#"), F.lit("_")), F.lit(end))
+    for end, rows in (("gff", cds.select("assembly", F.concat_ws("\t", *fields).alias("value"))), ("faa", proteins.select("assembly", text.alias("value")))):
+        rows.withColumn("b", F.replace("assembly", F.lit("#"), F.lit("_"))).repartition("b").select("b", "value").write.partitionBy("b").text(f"{folder}/{end}.parts")
+        for r in Q._mapping(spark, sf_dir).select(F.replace("assembly", F.lit("#"), F.lit("_"))).distinct().collect():  # 25 brands at any scale
+            if exists(spark, f"{folder}/{end}.parts/b={r[0]}"):
+                single_file(spark, f"{folder}/{end}.parts/b={r[0]}", f"{folder}/{r[0]}.{end}")
+    rows = Q._mapping(spark, sf_dir).withColumns({"taxid": F.lit(1), "gff": name(".gff"), "protein_fasta": name(".faa")})
+    write_table(rows.select("seqid", "assembly", "taxid", "header", "description", "gff", "protein_fasta"), f"{folder}/map.tsv")
+    return f"{folder}/map.tsv"
+
+
+def _annotate_whole(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    hits = Q._hits(spark, sf_dir)
+    raw = F.when(F.col("edit") % 5 == 0, F.concat_ws("=", F.col("taxid").cast("string"), F.col("edit").cast("string"))).otherwise(F.concat_ws("", F.col("taxid").cast("string"), F.lit("-"), "seqid", F.lit("-"), F.col("pos").cast("string"), F.lit("="), F.col("edit").cast("string")))
+    lines = hits.groupBy("read_id").agg(F.array_join(F.array_sort(F.collect_list(raw)), ",").alias("hits"))
+    source = _file(lines.select("read_id", F.concat("read_id", F.lit(":"), "hits").alias("value")), f"{folder}/a.clp", "read_id")
+    annotate(spark, source, _annotation_files(spark, sf_dir, folder), f"{folder}/out.tsv", f"{folder}/out.faa", _taxonomy_file(spark, sf_dir, f"{folder}/names.dmp"), fuzzy=5)
+
+
+_WHOLE = f"""
+x AS ({Q.HITS}), y AS (SELECT read_id, taxid, CASE WHEN edit % 5 = 0 THEN '' ELSE seqid END AS seqid, CASE WHEN edit % 5 = 0 THEN 0 ELSE pos END AS pos, edit, {_MIXED} AS raw FROM x),
+h AS (SELECT *, row_number() OVER (PARTITION BY read_id ORDER BY raw) AS hit FROM y), m AS ({Q.MAP}), r AS MATERIALIZED (
+  SELECT h.*, coalesce(m.assembly, '') AS assembly, coalesce(m.accession, '') AS accession, coalesce(m.description, '') AS description FROM h LEFT JOIN m ON h.seqid = m.seqid
+), c AS ({Q.CDS}), {Q._FUZZY}, {Q._ONE.format('z')},
+o AS (SELECT *, row_number() OVER (PARTITION BY assembly, accession, pos ORDER BY st, en, cds_id, product) AS cds_ord FROM d WHERE k = 1),
+n AS MATERIALIZED (
+  SELECT r.*, coalesce(o.cds_id, 'NA') AS cds_id, coalesce(o.product, 'NA') AS product, row_number() OVER (ORDER BY r.assembly, r.accession, r.pos, read_id, hit, coalesce(o.cds_ord, 0)) AS line
+  FROM r LEFT JOIN o ON r.assembly = o.assembly AND r.accession = o.accession AND r.pos = o.pos
+), s AS MATERIALIZED (SELECT assembly, id AS cds_id, concat(id, ' ', assembly, ' ', id) AS header, {Q._PROTEIN_SEQ} AS seq FROM ({Q.PROTEINS})),
+f AS (SELECT seq, min(line) AS line, arg_min(header, line) AS header FROM n JOIN s USING (assembly, cds_id) GROUP BY seq),
+i AS MATERIALIZED (SELECT seq, header, row_number() OVER (ORDER BY line) AS protein_id FROM f)"""
+
+
+@query(f"""
+WITH {_WHOLE}
+SELECT 1 AS line, concat_ws(chr(9), {_HEAD}, 'CDS ID', 'Protein ID', 'Annotation') AS value UNION ALL
+SELECT line + 1, concat_ws(chr(9), read_id, taxid, coalesce(n_name, ''), n.assembly, accession, description, pos, edit, n.cds_id, coalesce(CAST(protein_id AS VARCHAR), 'NA'), product)
+FROM n LEFT JOIN s ON n.assembly = s.assembly AND n.cds_id = s.cds_id LEFT JOIN i ON s.seq = i.seq LEFT JOIN nation ON taxid = n_nationkey AND taxid > 0
+""")
+def annotate_command_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All eleven columns, line by line, from GFF and protein files; hits with and without a place, and fuzzy places."""
+    with work_folder(spark) as folder:
+        _annotate_whole(spark, sf_dir, folder)
+        return materialize(_numbered(read_lines(spark, f"{folder}/out.tsv")), "lines")
+
+
+@query(f"WITH {_WHOLE} SELECT CAST(protein_id AS VARCHAR) AS id, concat(protein_id, ' ', header) AS description, seq FROM i")
+def annotate_command_proteins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with work_folder(spark) as folder:
+        _annotate_whole(spark, sf_dir, folder)
+        return materialize(read_fasta(spark, f"{folder}/out.faa").select("id", "description", "seq"), "proteins")
+
+
+@query(f"SELECT 'table' AS file, concat_ws(chr(9), {_HEAD}, 'CDS ID', 'Protein ID', 'Annotation') AS value UNION ALL SELECT 'assignments', concat('read:', p_partkey, ':', p_name) FROM part")
 def annotate_command_no_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A header alone, and proteins without a line."""
+    """Of lines without a hit that can be read: a header alone, and proteins without a line."""
     with work_folder(spark) as folder:
-        touch(spark, f"{folder}/a.clp", "read:nothing\n")
-        annotate(spark, f"{folder}/a.clp", _map_file(spark, sf_dir, f"{folder}/map.tsv"), f"{folder}/out.tsv", f"{folder}/out.faa")
-        both = [_numbered(read_lines(spark, f"{folder}/{name}")).select(F.lit(kind).alias("file"), "value") for name, kind in (("out.tsv", "table"), ("out.faa", "proteins"))]
-        return materialize(both[0].unionByName(both[1]), "lines")
+        lines = Q._sql(spark, sf_dir, "SELECT p_partkey, concat('read:', p_partkey, ':', p_name) AS value FROM part", "part")
+        annotate(spark, _file(lines, f"{folder}/a.clp", "p_partkey"), _map_file(spark, sf_dir, f"{folder}/map.tsv"), f"{folder}/out.tsv", f"{folder}/out.faa")
+        files = [_numbered(read_lines(spark, f"{folder}/{name}")).select(F.lit(kind).alias("file"), "value") for name, kind in (("out.tsv", "table"), ("out.faa", "proteins"), ("a.clp", "assignments"))]
+        return materialize(reduce(DataFrame.unionByName, files), "lines")
 
 
 _BUILT = """
@@ -433,3 +498,18 @@ def assign_command_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
         for offset in (5, 0):
             assign_files(spark, index, f"{folder}/out.clp", fasta=fasta, edit_rate=0.0, max_hits=1 << 40, read_offset=offset)
         return _assigned(spark, f"{folder}/out.clp")
+
+
+@query(_items_sql("SELECT * FROM benchmark"))
+def assign_command_appended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An index of the items with an even number, to which the others are added; results as a directory, of two batches."""
+    with work_folder(spark) as folder:
+        items = Q._table(spark, sf_dir, "benchmark")
+        value = fasta_text(F.concat(F.concat(F.lit("s"), "item_id"), F.lit("-"), (F.col("item_id") % 9).cast("string")), F.translate(F.regexp_replace("text", r"\s+", ""), "nN", "mM"))
+        for k in (0, 1):
+            part = items.where(F.col("item_id") % 2 == k)
+            index_build(spark, _file(part.select("item_id", value.alias("value")), f"{folder}/{k}.fasta", "item_id"), f"{folder}/index", append=k == 1)
+            read = F.concat(F.lit(">i"), "item_id", F.lit("\n"), F.translate(F.regexp_replace("text", r"\s+", ""), "nN", "mM"))
+            _file(part.select("item_id", read.alias("value")), f"{folder}/reads/{k}.fasta", "item_id")
+        assign_files(spark, f"{folder}/index", f"{folder}/out/", fasta=f"{folder}/reads", edit_rate=0.0, max_hits=1 << 40, batch_files=1)
+        return _assigned(spark, f"{folder}/out/batch=*")

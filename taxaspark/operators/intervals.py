@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from taxaspark.storage import materialize
+
 #: Bases of a bin, about the length of a gene, so that most intervals stand in one or two.
 BIN = 2048
 #: Bins of one level that an interval reaches at most (and one more at its edge); and levels, enough for 64 bits.
@@ -21,7 +23,7 @@ def intervals_at(points: DataFrame, intervals: DataFrame, on: list[str], pos: st
     that it reaches when widened by ``fuzzy``, a point to its own, so that each pair meets once. One that would reach more than
     STEP bins goes to a level with wider ones, STEP times as wide each, and points to the levels that some interval has: a long
     interval, or one with a wild end, is a few rows like any other. Positions under 1 have none. ``points`` must be distinct in
-    ``on`` and ``pos``.
+    ``on`` and ``pos``. (Intervals are written, and their levels are a job.)
     """
     fuzzy = max(0, fuzzy)
     # a point sees what ends at 1 or later, however far it is from there
@@ -31,12 +33,14 @@ def intervals_at(points: DataFrame, intervals: DataFrame, on: list[str], pos: st
     level = F.lit(0)
     for k in range(1, LEVELS):
         level = F.when(F.col("high") - F.col("low") >= width * STEP**k, k).otherwise(level)
-    spread = spread.withColumn("level", level)
-    levels = spread.agg(F.collect_set("level").alias("levels")).scalar()
+    # written, as their levels are asked for before they are joined
+    spread = materialize(spread.withColumn("level", level), "intervals")
+    levels = sorted(r[0] for r in spread.select("level").distinct().collect())  # LEVELS at most
     bins = F.sequence(_bin(F.col("low"), width), _bin(F.col("high"), width))
     # a long interval stands in many bins, so every interval's bin is a key like any other: keys spread even where contigs don't
     spread = spread.withColumn("bin", F.explode(bins))
-    binned = points.where(F.col(pos) > 0).withColumn("levels", levels).withColumn("level", F.explode("levels")).drop("levels").withColumn("bin", _bin(F.col(pos), width))
+    each = F.explode(F.array(*map(F.lit, levels))) if len(levels) > 1 else F.lit(levels[0] if levels else 0)
+    binned = points.where(F.col(pos) > 0).withColumn("level", each).withColumn("bin", _bin(F.col(pos), width))
     joined = binned.join(spread, [*on, "level", "bin"]).where(F.col(pos).between(F.col("low"), F.col("high"))).drop("level", "bin", "low", "high")
     joined = joined.withColumn("exact", _holds(F.col(pos)))
     if not fuzzy:

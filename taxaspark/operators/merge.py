@@ -11,19 +11,20 @@ from taxaspark.functions import strict_hits_of
 MODES = {"taxid": ["read_id", "taxid"], "taxid-gi": ["read_id", "taxid", "seqid"]}
 
 
-def _parsed(reads: DataFrame) -> DataFrame:
+def parsed_hits(reads: DataFrame) -> DataFrame:
+    """at, hit_idx, read_id, raw, h: a row for each hit; h is null where it can't be read."""
     rows = reads.select("at", "read_id", F.posexplode(strict_hits_of(F.col("tokens"))).alias("hit_idx", "t"))
     return rows.select("at", "hit_idx", "read_id", "t.raw", "t.h")
 
 
 def strict_hits(reads: DataFrame) -> DataFrame:
     """at, read_id, tokens -> at, hit_idx, read_id, raw, taxid, seqid, pos, edit: a row for each hit that can be read."""
-    return _parsed(reads).where("h is not null").select("at", "hit_idx", "read_id", "raw", "h.*")
+    return parsed_hits(reads).where("h is not null").select("at", "hit_idx", "read_id", "raw", "h.*")
 
 
 def malformed_hits(reads: DataFrame) -> DataFrame:
     """at, hit_idx, read_id, raw of the hits that :func:`strict_hits` leaves out."""
-    return _parsed(reads).where("h is null").drop("h")
+    return parsed_hits(reads).where("h is null").drop("h")
 
 
 def best_hits(hits: DataFrame, mode: str = "taxid") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from taxaspark.operators.annotate import CDS_COLUMNS, TAXA_COLUMNS, add_cds, annotated_table, name_organisms, number_proteins, resolve
-from taxaspark.operators.merge import malformed_hits, strict_hits
+from taxaspark.operators.merge import parsed_hits
 from taxaspark.sinks import touch, write_lines, write_table
 from taxaspark.sinks.files import protein_text
 from taxaspark.sources import read_assignments, read_fasta_of, read_gff, read_mapping, read_taxonomy
@@ -46,13 +46,14 @@ def annotate(spark: SparkSession, assignments: str | list[str], map_tables: str
     if not isinstance(map_tables, str) and len(map_tables) > 1:
         for r in repeated_keys(mapping).limit(20).collect():
             log.warning("sequence %s is in more than one map table: the last counts", r[0])
-    reads = read_assignments(spark, assignments)
-    for r in malformed_hits(reads).select("raw").limit(20).collect():
-        log.warning("hit can't be read: %s", r[0])
+    hits = parsed_hits(read_assignments(spark, assignments)).select("at", "hit_idx", "read_id", "raw", F.col("h").isNotNull().alias("readable"), "h.*")
     names = read_taxonomy(spark, taxonomy, merged) if taxonomy else spark.createDataFrame([], "taxid bigint, name string")
     with scratch(spark):
         # named hits and their coding sequences are each written once; what follows reads them several times
-        rows = materialize(name_organisms(resolve(strict_hits(reads), mapping), names), "hits")
+        rows = materialize(name_organisms(resolve(hits, mapping), names), "hits")
+        for r in rows.where("not readable").select("raw").limit(20).collect():
+            log.warning("hit can't be read: %s", r[0])
+        rows = rows.where("readable").drop("readable")
         n = rows.count()
         if not n:
             touch(spark, out, "\t".join(TAXA_COLUMNS + ([] if taxa_only else CDS_COLUMNS)) + "\r\n")

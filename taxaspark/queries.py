@@ -359,6 +359,31 @@ def annotate_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.annotated_table(A.name_organisms(rows, _taxonomy(spark, sf_dir)))
 
 
+_KEY = ["read_id", "taxid", "seqid", "pos", "edit"]
+
+
+@query(f"WITH {_RESOLVED}, c AS ({CDS}), {_FOUND}, {_ONE.format('e')}, o AS (SELECT * FROM d WHERE k = 1) SELECT read_id, taxid, seqid, r.pos, edit, coalesce(cds_id, 'NA') AS cds_id, coalesce(product, 'NA') AS product FROM r LEFT JOIN o ON r.assembly = o.assembly AND r.accession = o.accession AND r.pos = o.pos")
+def annotate_cds_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the annotated table the columns of coding sequences, with the hit as key."""
+    return A.add_cds(_resolved(spark, sf_dir), _cds(spark, sf_dir)).select(*_KEY, "cds_id", "product")
+
+
+@query(f"WITH {_ANNOTATED} SELECT read_id, taxid, seqid, pos, edit, n.cds_id, coalesce(CAST(protein_id AS VARCHAR), 'NA') AS protein_id FROM n LEFT JOIN s ON n.assembly = s.assembly AND n.cds_id = s.cds_id LEFT JOIN i ON s.seq = i.seq")
+def annotate_protein_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the annotated table the column of proteins, with hit and coding sequence as key."""
+    return _annotated(spark, sf_dir)[0].select(*_KEY, "cds_id", "protein_id")
+
+
+_SIGNED = HITS.replace("CAST(l_quantity AS BIGINT) * 18 AS pos", "CAST(l_quantity AS BIGINT) * 18 - 450 AS pos")
+
+
+@query(f"WITH {_RESOLVED.replace(HITS, _SIGNED)}, c AS ({CDS}), {_FUZZY}, {_ONE.format('z')} SELECT read_id, taxid, seqid, r.pos, edit, coalesce(d.cds_id, 'NA') AS cds_id FROM r LEFT JOIN d ON d.k = 1 AND r.assembly = d.assembly AND r.accession = d.accession AND r.pos = d.pos")
+def cds_of_signed_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the positions are 0 or below: they have no coding sequence, also within a fuzzy distance of one."""
+    hits = _hits(spark, sf_dir).withColumn("pos", F.col("pos") - 450)
+    return A.add_cds(A.resolve(hits, _mapping(spark, sf_dir)), _cds(spark, sf_dir), 5).select(*_KEY, "cds_id")
+
+
 @query(f"WITH {_ANNOTATED} SELECT protein_id, header, seq FROM i")
 def protein_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _annotated(spark, sf_dir)[1]
@@ -375,6 +400,13 @@ def protein_fasta_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("c_custkey", F.concat(F.lit(">"), F.col("c_custkey").cast("string"), F.lit(" "), safe_header(F.col("c_name")), F.lit("\n"), wrap(seq)).alias("record"))
 
 
+@query("SELECT c_custkey, trim(replace(concat(' ', replace(c_name, '#', chr(10)), chr(10), c_custkey % 7, ' '), chr(10), ' ')) AS header FROM customer")
+def protein_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headers with line ends and spaces at their ends."""
+    rows = _sql(spark, sf_dir, "SELECT c_custkey, concat(' ', replace(c_name, '#', chr(10)), chr(10), c_custkey % 7, ' ') AS header FROM customer", "customer")
+    return rows.select("c_custkey", safe_header(F.col("header")).alias("header"))
+
+
 # -- map tables and reports ---------------------------------------------------------------------------------------------------
 
 
@@ -518,8 +550,8 @@ def index_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seeds.build_index(refs, unknown=None).select("seqid", "pos", "seed")
 
 
-def _assign_sql(reads: str, refs: str, rate: float = 0.13) -> str:
-    """Assignments with edits and the default limits: ``reads`` has read_id and seq, ``refs`` seqid, taxid and t, in upper case.
+def _assign_sql(reads: str, refs: str, rate: float = 0.13, max_hits: int = 2000, tune: int = 200) -> str:
+    """Assignments with edits: ``reads`` has read_id and seq, ``refs`` seqid, taxid and t, in upper case.
 
     Seeds are found text by text, and each candidate's window is aligned by a table of distances, one anti-diagonal a step. A cell
     is its distance times a million less the start of its part, so that the least cell has the least distance and the last start.
@@ -537,10 +569,10 @@ q AS MATERIALIZED (
   UNION ALL
   SELECT seed, seqid, pos + strpos(rest, seed), substr(rest, strpos(rest, seed) + 1) FROM o WHERE strpos(rest, seed) > 0
 ), f AS (
-  SELECT seed, count(*) AS places FROM o GROUP BY seed HAVING count(*) <= 2000
+  SELECT seed, count(*) AS places FROM o GROUP BY seed HAVING count(*) <= {max_hits}
 ), h AS (
   SELECT read_id, strand, m, off, seqid, pos - 1 - off AS start, greatest(CAST(floor(m * CAST({rate} AS DOUBLE)) AS BIGINT), 1) AS slack
-  FROM s JOIN f USING (seed) JOIN o USING (seed) WHERE NOT (places > 200 AND off // 15 % 2 = 1)
+  FROM s JOIN f USING (seed) JOIN o USING (seed) WHERE NOT (places > {tune} AND off // 15 % 2 = 1)
 ), g AS (
   SELECT read_id, strand, m, seqid, floor(start / CAST(slack AS DOUBLE)) + x AS diagonal, min(start) AS low, max(start) AS high
   FROM h, (SELECT unnest(range(2)) AS x) GROUP BY ALL
@@ -571,7 +603,15 @@ def assign_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items with up to 13 % edits, both ways round, in all documents."""
     reads_ = _table(spark, sf_dir, "benchmark").select(F.col("item_id").cast("string").alias("read_id"), F.col("text").alias("seq"))
     refs = _references(spark, sf_dir)
-    return seeds.assign(reads_, seeds.build_index(refs, unknown=None), refs)
+    return seeds.assign(reads_, materialize(seeds.build_index(refs, unknown=None), "seeds"), refs)
+
+
+@query(_assign_sql(f"SELECT CAST(item_id AS VARCHAR) AS read_id, {_UPPER} AS seq FROM benchmark", f"SELECT CAST(doc_id AS VARCHAR) AS seqid, doc_id % 97 AS taxid, {_UPPER} AS t FROM documents WHERE text IS NOT NULL", 0.05, 3, 1))
+def assign_rare_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seeds of at most three places, every second one of those with more than one place, and 5 % edits."""
+    reads_ = _table(spark, sf_dir, "benchmark").select(F.col("item_id").cast("string").alias("read_id"), F.col("text").alias("seq"))
+    refs = _references(spark, sf_dir)
+    return seeds.assign(reads_, materialize(seeds.build_index(refs, unknown=None), "seeds"), refs, edit_rate=0.05, max_hits=3, tune_max_hits=1)
 
 
 #: Items with every 40th letter left out, changed or doubled, by item.

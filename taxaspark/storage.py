@@ -6,11 +6,12 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Folders of the tables made inside each open :func:`scratch`.
-_OPEN: list[list[str]] = []
+#: Folders of the tables made inside the innermost open :func:`scratch` of this thread.
+_OPEN: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -38,8 +39,8 @@ def _write(df: DataFrame, tag: str) -> tuple[str, DataFrame]:
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: later jobs start from files that survive a lost executor."""
     folder, out = _write(df, tag)
-    if _OPEN:
-        _OPEN[-1].append(folder)
+    if (folders := _OPEN.get()) is not None:
+        folders.append(folder)
     return out
 
 
@@ -69,10 +70,10 @@ def work_folder(spark: SparkSession) -> Iterator[str]:
 def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
     """Tables that :func:`materialize` makes inside are deleted at the end; what it yields writes one that stays."""
     folders: list[str] = []
-    _OPEN.append(folders)
+    token = _OPEN.set(folders)
     try:
         yield lambda df, tag: _write(df, tag)[1]
     finally:
-        _OPEN.remove(folders)
+        _OPEN.reset(token)
         for folder in folders:
             _delete(spark, folder)
