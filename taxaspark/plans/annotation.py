@@ -63,7 +63,9 @@ def annotate(spark: SparkSession, assignments: str | list[str], map_tables: str
             write_table(annotated_table(rows, taxa_only=True), out)
             touch(spark, proteins_out)
             return n
-        rows = materialize(add_cds(rows, read_gff(spark, _resources(spark, rows, mapping, "gff", strict)), fuzzy), "cds")
+        places = rows.where("assembly <> '' and accession <> '' and pos > 0").select("assembly", "accession", "pos")
+        cds = read_gff(spark, _resources(spark, rows, mapping, "gff", strict), places, max(0, fuzzy))
+        rows = materialize(add_cds(rows, cds, fuzzy), "cds")
         rows, proteins = number_proteins(rows, read_fasta_of(spark, _resources(spark, rows.where("has_cds"), mapping, "protein_fasta", strict)))
         write_table(annotated_table(rows), out)
         write_lines(proteins.select("protein_id", protein_text(F.col("protein_id"), F.col("header"), F.col("seq")).alias("value")), proteins_out, order=["protein_id"])

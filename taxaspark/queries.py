@@ -342,10 +342,10 @@ f AS (SELECT seq, min(line) AS line, arg_min(header, line) AS header FROM n JOIN
 i AS (SELECT seq, header, row_number() OVER (ORDER BY line) AS protein_id FROM f)"""
 
 
-def _annotated(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    # written once: the proteins, their numbers and the table each read it
-    rows = materialize(A.add_cds(_resolved(spark, sf_dir), _cds(spark, sf_dir)), "cds")
-    return A.number_proteins(rows, _proteins(spark, sf_dir))
+def _annotated(spark: SparkSession, sf_dir: str, write: bool = True) -> tuple[DataFrame, DataFrame]:
+    """The annotated rows and the proteins. ``write``: rows are written once, for those that read both."""
+    rows = A.add_cds(_resolved(spark, sf_dir), _cds(spark, sf_dir))
+    return A.number_proteins(materialize(rows, "cds") if write else rows, _proteins(spark, sf_dir))
 
 
 @query(f"""
@@ -386,7 +386,7 @@ def cds_of_signed_places(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_ANNOTATED} SELECT protein_id, header, seq FROM i")
 def protein_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _annotated(spark, sf_dir)[1]
+    return _annotated(spark, sf_dir, write=False)[1]
 
 
 @query("""

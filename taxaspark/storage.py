@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -37,13 +38,33 @@ def _write(df: DataFrame, tag: str) -> tuple[str, DataFrame]:
 
 
 def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: later jobs start from files that survive a lost executor."""
+    """Write ``df`` to the shared folder and read it back: later jobs start from files that survive a lost executor.
+
+    Inside a :func:`scratch` the files are deleted with it. Others back a result that its owner may read at any time, and are deleted
+    when the driver ends, if Spark still runs then.
+    """
     folder, out = _write(df, tag)
-    if (folders := _OPEN.get()) is not None:
-        folders.append(folder)
+    folders = _OPEN.get()
+    if folders is None:
+        if not _LATER:
+            atexit.register(_clear)
+        folders = _LATER.setdefault(df.sparkSession.sparkContext.applicationId, [])
+    folders.append(folder)
     return out
 
 
+#: By application, folders of tables that back results.
+_LATER: dict[str, list[str]] = {}
+
+
+def _clear() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is None or spark.sparkContext._jsc is None:
+        return
+    for folder in _LATER.pop(spark.sparkContext.applicationId, []):
+        _delete(spark, folder)
+
+
 def _delete(spark: SparkSession, folder: str) -> None:
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -2,6 +2,7 @@
 
 import random
 import re
+import threading
 from pathlib import Path
 
 import pytest
@@ -13,10 +14,12 @@ from taxaspark.plans import mapping
 from taxaspark.plans.annotation import annotate
 from taxaspark.plans.filtering import filter_file
 from taxaspark.plans.mapping import assign_reads, index_build
-from taxaspark.plans.reference import reference_build
+from taxaspark.plans.reference import reference_build, stage_gff
 from taxaspark.sinks import write_lines, write_table
 from taxaspark.sources.assignments import parse_assignments, read_assignments
+from taxaspark.sources.gff import read_gff
 from taxaspark.sources.index import read_seeds
+from taxaspark.storage import materialize, scratch
 from taxaspark.streaming.hits import named_hits, start_filter
 
 ODD = "r:99999999999999999999-7-3=1,5-7-3=1, 7-a=b-3=4,12-5,1=2-3-4,7=8,1-a-b-10=2,-1=1,1-2-99999999999999999999=1"
@@ -350,3 +353,40 @@ def test_stream_with_tables_of_taxa(spark, tmp_path, monkeypatch, inline):
     start_filter(*args).awaitTermination()
     got = sorted(r.value for r in spark.read.text(str(tmp_path / "out")).collect())
     assert got == ["r:3=1", "t:1=1,1=2", "u:3=1,1=1"]
+
+
+@pytest.mark.parametrize("fuzzy", [0, 700_000])
+def test_staged_annotations_are_pruned_by_place(spark, tmp_path, fuzzy):
+    """The slices of the places alone are read, and nothing that holds a place is lost: long, wide and wild sequences."""
+    rng = random.Random(fuzzy)
+    rows = []
+    for k in range(300):
+        start = rng.randint(-5, 60_000_000)
+        rows.append((f"c{k % 3}", start, start + rng.choice([30, 900, 3_000_000, 17_000_000, 40_000_000]), k))
+    rows += [("c0", -9, -3, 300), ("c1", 1, (1 << 63) - 1, 301)]
+    (tmp_path / "x.gff").write_text("".join(f"{c}\ts\tCDS\t{s}\t{e}\t.\t+\t0\tID=g{k}\n" for c, s, e, k in rows))
+    files = {"A": str(tmp_path / "x.gff")}
+    path = stage_gff(spark, files, str(tmp_path / "r.cds"))
+    staged = {"A": path}
+    order = ["contig", "start", "end", "cds_id", "product"]
+    assert read_gff(spark, staged).orderBy(order).collect() == read_gff(spark, files).orderBy(order).collect()
+    places = spark.createDataFrame([("A", c, rng.randint(1, 70_000_000)) for c in ("c0", "c1", "c9") for _ in range(6)], "assembly string, accession string, pos bigint")
+    pruned = read_gff(spark, staged, places, fuzzy)
+    assert "dynamicpruning" in pruned._jdf.queryExecution().executedPlan().toString()
+    found = lambda cds: sorted(intervals.cds_at(places, cds, fuzzy).collect())
+    assert found(pruned) == found(read_gff(spark, files)) != []
+    assert pruned.select("cds_id").distinct().count() < 302
+
+
+def test_tables_of_threads_are_their_own(spark):
+    """A table that another thread makes isn't deleted with this thread's scratch."""
+    made = []
+    with scratch(spark):
+        thread = threading.Thread(target=lambda: made.append(materialize(spark.range(3), "other")))
+        thread.start()
+        thread.join()
+        mine = materialize(spark.range(2), "mine")
+        assert mine.count() == 2
+    assert made[0].count() == 3
+    with pytest.raises(Exception, match="(?i)not exist|FILE_NOT_EXIST|FAILED_READ"):
+        mine.collect()
