@@ -5,14 +5,14 @@ written once as blocks: consecutive ranges of up to ``block_rows`` rows with a f
 smallest value of each term (component). For a query, a block's bound is the sum over terms of the larger of weight times maximum
 and weight times minimum: no vector of the block scores more.
 
-Queries are packed, too, and go to the executors by broadcasts of ``QUERY_BYTES`` at most; each is one pass over the blocks, which
-stay where they are. Some ``FIRST_BLOCKS`` blocks are searched first: the k-th score there is a bound that every task starts with.
+Queries are packed, too, and go to the executors by broadcasts of ``QUERY_BYTES`` at most, in the fewest bytes that hold them (two a
+component, mostly); each is one pass over the blocks, which stay where they are. Some ``FIRST_BLOCKS`` blocks are searched first: the k-th score there is a bound that every task starts with.
 A task takes its blocks in order of falling bounds and scores them whole until the next bound is below the query's k-th score so
 far; it hands on k results a query at most, of those that reach the first bound, and one window ranks them. Nothing but results
 and, once, the candidates is shuffled.
 
 Arithmetic is exact: on floating-point matrices where every sum stays below 2^53, else on Python's integers, and a
-score beyond 64 bits is the nearest of 64 bits.
+score beyond 64 bits is the nearest of 64 bits. A component whose integer leaves 64 bits is the nearest of 64 bits, too.
 
 Cases: null vectors and those with a null or non-finite component take no part, as queries or candidates; empty vectors score
 0. Of vectors of different lengths the shorter counts as followed by zeros. Fewer than k candidates: all. Equal scores: the
@@ -145,22 +145,25 @@ def search(blocks: list[Block], query_ids: np.ndarray, queries: np.ndarray, best
 
 
 def _query_groups(packed: DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Ids and matrix of at most QUERY_BYTES of queries (one block at least); the driver holds a group at a time."""
+    """Ids and matrix of at most QUERY_BYTES of queries (one block at least), in the fewest bytes that hold their numbers.
+
+    The driver holds a group at a time.
+    """
     held, size = [], 0
-    for r in packed.toLocalIterator():
-        block = Block.opened(*r[1:])
-        if held and size + block.vectors.nbytes > QUERY_BYTES:
+    for _, n, width, kind, ids, _, data in packed.toLocalIterator():
+        matrix = np.frombuffer(data, kind).reshape(n, width)
+        if held and size + matrix.nbytes > QUERY_BYTES:
             yield _joined(held)
             held, size = [], 0
-        held.append(block)
-        size += block.vectors.nbytes
+        held.append((np.frombuffer(ids, np.int64), matrix))
+        size += matrix.nbytes
     if held:
         yield _joined(held)
 
 
-def _joined(blocks: list[Block]) -> tuple[np.ndarray, np.ndarray]:
-    width = max(b.vectors.shape[1] for b in blocks)
-    return np.concatenate([b.ids for b in blocks]), np.concatenate([np.pad(b.vectors, ((0, 0), (0, width - b.vectors.shape[1]))) for b in blocks])
+def _joined(blocks: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    width = max(m.shape[1] for _, m in blocks)
+    return np.concatenate([i for i, _ in blocks]), np.concatenate([np.pad(m, ((0, 0), (0, width - m.shape[1]))) for _, m in blocks])
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", vector_col: str = "vector", block_rows: int = 256) -> DataFrame:
@@ -186,17 +189,22 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec
             parts = range(0, len(ids), QUERY_ROWS)
             best = [Best(len(ids[a : a + QUERY_ROWS]), k, reach[a : a + QUERY_ROWS]) for a in parts]
             blocks, size = [], 0
+
+            def meet() -> None:
+                for a, b in zip(parts, best, strict=True):
+                    search(blocks, ids[a : a + QUERY_ROWS], matrix[a : a + QUERY_ROWS].astype(np.int64), b)
+                blocks.clear()
+
             for batch in batches:
                 for row in zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True):
                     blocks.append(Block.opened(*row))
                     size += blocks[-1].vectors.nbytes
                     if size >= HELD_BYTES:
-                        for a, b in zip(parts, best, strict=True):
-                            search(blocks, ids[a : a + QUERY_ROWS], matrix[a : a + QUERY_ROWS], b)
-                        blocks, size = [], 0
+                        meet()
+                        size = 0
+            if blocks:
+                meet()
             for a, b in zip(parts, best, strict=True):
-                if blocks:
-                    search(blocks, ids[a : a + QUERY_ROWS], matrix[a : a + QUERY_ROWS], b)
                 q, c = np.nonzero(b.kind != 2)
                 columns = [ids[a + q], pa.array(b.id[q, c], mask=b.kind[q, c] == 1), b.score[q, c]]
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["query_id", "id", "score"])
