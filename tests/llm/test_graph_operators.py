@@ -364,7 +364,7 @@ def test_queries_equal_sql(spark, name):
 
 
 def test_each_number_has_a_query():
-    assert [n for n in range(1, 11) if not any(q.startswith(f"op{n}_") for q in queries())] == []
+    assert [n for n in range(1, 14) if not any(q.startswith(f"op{n}_") for q in queries())] == []
     assert len(corpus_pipeline.STAGES) == 5
 
 
