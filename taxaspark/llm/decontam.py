@@ -219,3 +219,37 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERR
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return find_matches(docs, table(spark, sf_dir, "benchmark")).select("doc_id", "item_id", "distance", F.col("end").alias("end_at"))
+
+
+#: Where a piece stands, the whole item is aligned by a table of distances, one anti-diagonal a step. (Items of the benchmark that
+#: are shorter than MIN_CHARS, of which there are none, would need whole words.)
+ORACLE = r"""
+WITH RECURSIVE t AS MATERIALIZED (
+  SELECT doc_id, trim(regexp_replace(lower(text), '[\s\x0b\x1c-\x1f\x{85}\x{a0}]+', ' ', 'g')) AS x FROM documents WHERE text IS NOT NULL
+), q AS (
+  SELECT item_id, trim(regexp_replace(lower(text), '[\s\x0b\x1c-\x1f\x{85}\x{a0}]+', ' ', 'g')) AS p FROM benchmark WHERE text IS NOT NULL
+), i AS MATERIALIZED (
+  SELECT item_id, p, length(p) AS m, CAST(floor(CAST(0.05 AS DOUBLE) * length(p)) AS BIGINT) AS k FROM q WHERE p <> ''
+), c AS MATERIALIZED (
+  SELECT item_id, g * m // (k + 1) AS off, substr(p, g * m // (k + 1) + 1, (g + 1) * m // (k + 1) - g * m // (k + 1)) AS piece FROM (SELECT *, unnest(range(k + 1)) AS g FROM i)
+), e AS MATERIALIZED (
+  SELECT piece, doc_id, x FROM (SELECT DISTINCT piece FROM c) JOIN t ON contains(x, piece)
+), o AS (
+  SELECT piece, doc_id, CAST(strpos(x, piece) AS BIGINT) AS pos, substr(x, strpos(x, piece) + 1) AS rest FROM e
+  UNION ALL
+  SELECT piece, doc_id, pos + strpos(rest, piece), substr(rest, strpos(rest, piece) + 1) FROM o WHERE strpos(rest, piece) > 0
+), w AS MATERIALIZED (
+  SELECT row_number() OVER () AS pair, * FROM (SELECT DISTINCT item_id, doc_id, p, m, k, greatest(pos - 1 - off - k, 0) AS first, substr(x, greatest(pos - 1 - off - k, 0) + 1, pos - 1 - off + m + k - greatest(pos - 1 - off - k, 0)) AS win
+    FROM o JOIN c USING (piece) JOIN i USING (item_id) JOIN t USING (doc_id))
+), l AS MATERIALIZED (
+  SELECT pair, m, list_transform(range(1, m + 1), lambda j: substr(p, j, 1)) AS r, list_transform(range(1, length(win) + 1), lambda j: substr(win, j, 1)) AS s FROM w
+), d AS (
+  SELECT pair, m, len(s) AS n, r, s, CAST(0 AS BIGINT) AS z, list_transform(range(m + 1), lambda j: CASE WHEN j = 0 THEN CAST(0 AS BIGINT) END) AS a, list_transform(range(m + 1), lambda j: CAST(NULL AS BIGINT)) AS b FROM l
+  UNION ALL
+  SELECT pair, m, n, r, s, z + 1, list_transform(range(m + 1), lambda j: CASE WHEN j > z + 1 OR z + 1 - j > n THEN NULL WHEN j = 0 THEN 0 WHEN j = z + 1 THEN j
+    ELSE least(b[j] + CASE WHEN r[j] = s[z + 1 - j] THEN 0 ELSE 1 END, a[j + 1] + 1, a[j] + 1) END), a FROM d WHERE z < m + n
+)
+SELECT doc_id, item_id, CAST(v AS INTEGER) AS distance, CAST(first + z - w.m AS BIGINT) AS end_at
+FROM (SELECT pair, z, a[m + 1] AS v FROM d WHERE z >= m) JOIN w USING (pair) WHERE v <= k
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY v, first + z - w.m) = 1
+"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from taxaspark.llm.chat import op2_chat_format
 from taxaspark.llm.decontam import op8_decontamination
 from taxaspark.llm.langid import op10_language_id
-from taxaspark.llm import chat, codes, lines, mixing, negatives, suffix, topk
+from taxaspark.llm import chat, codes, decontam, lines, mixing, negatives, suffix, topk
 from taxaspark.llm.codes import op11_vector_codes
 from taxaspark.llm.lines import op12_line_dedup
 from taxaspark.llm.mixing import op3_source_mix
@@ -23,4 +23,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat_format": chat.ORACLE, "op3_source_mix": mixing.ORACLE, "op4_suffix_dedup": suffix.ORACLE, "op7_topk_search": topk.ORACLE, "op11_vector_codes": codes.ORACLE, "op12_line_dedup": lines.ORACLE, "op13_hard_negatives": negatives.ORACLE}
+    return {"op2_chat_format": chat.ORACLE, "op3_source_mix": mixing.ORACLE, "op4_suffix_dedup": suffix.ORACLE, "op7_topk_search": topk.ORACLE, "op8_decontamination": decontam.ORACLE, "op11_vector_codes": codes.ORACLE, "op12_line_dedup": lines.ORACLE, "op13_hard_negatives": negatives.ORACLE}

@@ -354,7 +354,7 @@ def test_too_many_patterns(spark, monkeypatch):
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_queries_equal_sql(spark, name):
     c = duckdb.connect()
-    for t in ("documents", "embeddings", "conversations"):
+    for t in ("documents", "embeddings", "conversations", "benchmark"):
         c.execute(f"create view {t} as select * from '{SMALL}/{t}.parquet'")
     df = queries()[name](spark, SMALL)
     rel = c.execute(oracle_sql()[name])
