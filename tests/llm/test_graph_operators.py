@@ -417,8 +417,27 @@ def test_pipeline_against_loops(spark):
 
 
 def test_stages_with_odd_rows(spark):
-    rows = [(1, None, None, None, None), (None, "some english words and more of them here", None, None, 1), (2, "", "en", "s", 0), (3, "the cat sat on the mat", "en", None, 9), (3, "the cat sat on the mat", "en", None, 9), (4, "der hund und die katze " * 3000, "de", "s", 1)]
+    """Null ids, texts, languages and sources, an empty and a long text, a repeated row, and columns with clashing names: what stays."""
+    cat, hund, more = "the cat sat on the mat", "der hund und die katze " * 3000, "some english words and more of them here"
+    rows = [(1, None, None, None, None), (None, more, None, None, 1), (2, "", "en", "s", 0), (3, cat, "en", None, 9), (3, cat, "en", None, 9), (4, hund, "de", "s", 1)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").withColumns({"score": F.lit(1), "kept": F.lit(2), "size": F.lit(3), "__hash": F.lit(4)})
-    for df in (docs, docs.limit(0)):
-        for _, stage in corpus_pipeline.STAGES:
-            assert stage(spark, df, SMALL).count() <= len(rows)
+    stages = [f for _, f in corpus_pipeline.STAGES]
+    want = [
+        # a text without a letter has no language
+        [rows[1], *rows[3:]],
+        # texts without words are alike, and so are the two rows of an id
+        [rows[0], rows[1], rows[3], rows[5]],
+        # a row is no document with a smaller id than its like; nothing is left of a text without letters
+        [(None, more, None, None, len(more)), *[(3, cat, "en", None, len(cat))] * 2, (4, hund, "de", "s", len(hund))],
+        rows,
+    ]
+    key = lambda r: repr(tuple(r))
+    for stage, expected in zip(stages, want, strict=False):
+        got = stage(spark, docs, SMALL)
+        assert got.columns == corpus_pipeline.COLUMNS
+        assert sorted(map(key, got.collect())) == sorted(map(key, expected)), stage
+    # the null source has 20 words and can't take more than twice that; s takes the rest of 1.5 times all
+    mixed = [(r.doc_id, r["size"], r.source_size, r.target, r.repeats, r.taken) for r in stages[4](spark, docs, SMALL).collect()]
+    assert sorted(map(key, mixed)) == sorted(map(key, [(None, 8, 20, 40.0, 2, 16), (3, 6, 20, 40.0, 2, 12), (3, 6, 20, 40.0, 2, 12), (4, 15_000, 15_000, 22_490.0, 1, 15_000)]))
+    for stage in stages:
+        assert stage(spark, docs.limit(0), SMALL).count() == 0
