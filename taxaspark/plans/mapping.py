@@ -15,7 +15,7 @@ from taxaspark.sinks import touch, write_lines, write_table
 from taxaspark.sinks.files import children, delete, join_files, parts_of, read_text
 from taxaspark.sources import read_assignments, read_fasta, read_reads
 from taxaspark.sources.index import buckets_for, describe, read_blocks, read_seeds, write_seeds
-from taxaspark.sources.lines import delimiter, exists, is_directory
+from taxaspark.sources.lines import delimiter, exists, is_directory, require
 from taxaspark.storage import materialize, scratch
 
 
@@ -59,8 +59,8 @@ def assign_reads(spark: SparkSession, index: str, results: str, fasta: str | Non
     if bool(fasta) == bool(fastq):
         raise ValueError("give exactly one of fasta and fastq")
     source = fasta or fastq
-    if "*" not in source and not exists(spark, source):
-        raise FileNotFoundError(f"no such file: {source}")
+    require(spark, source)
+    require(spark, f"{index}/seeds")
     seeds, blocks = read_seeds(spark, index), read_blocks(spark, index)
     size = (describe(spark, index) or {}).get("seed_size", seed_size)
     if size != seed_size:

@@ -14,6 +14,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def require(spark: SparkSession, path: str) -> None:
+    """An error if there is nothing at ``path``, which may be a pattern."""
+    if "*" not in path and not exists(spark, path):
+        raise FileNotFoundError(f"no such file: {path}")
+
+
 def is_directory(spark: SparkSession, path: str) -> bool:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()
@@ -27,8 +33,7 @@ def read_lines(spark: SparkSession, paths: str | list[str], line_sep: str | None
     """
     paths = [paths] if isinstance(paths, str) else paths
     for p in paths:
-        if "*" not in p and not exists(spark, p):
-            raise FileNotFoundError(f"no such file: {p}")
+        require(spark, p)
     parts = []
     for k, p in enumerate(paths):
         reader = spark.read if line_sep is None else spark.read.option("lineSep", line_sep)
@@ -76,6 +81,7 @@ def sums_before(lines: DataFrame, counts: dict[str, Column]) -> DataFrame:
 
 def first_line(spark: SparkSession, path: str) -> str:
     """The first line of a file; empty if there is none."""
+    require(spark, path)
     rows = spark.read.text(path).head(1)
     return rows[0][0] if rows else ""
 

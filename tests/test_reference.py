@@ -280,3 +280,44 @@ def test_names_come_bit_by_bit(spark, tmp_path, monkeypatch):
     got = {r.assembly: r.genome.rpartition("/")[2] for r in layout.assembly_files(spark, str(tmp_path)).collect()}
     assert got == {f"A{k}": "a_genomic.fna" + ".gz" * (k % 2) for k in range(7)}
     assert layout.assembly_files(spark, str(tmp_path / "A0")).count() == 0
+
+
+def _errors(d):
+    """Case, command line and a word of the message: what ends a command before it writes anything."""
+    build = lambda **a: ["reference-build", "--data-dir", a.get("data", f"{d}/data"), "--report", a.get("report", f"{d}/report.tsv"), "--out-dir", f"{d}/out", "--max-size-mb", a.get("size", "1")]
+    annotate = lambda table, *more: ["annotate", f"{d}/a.clp", "--map-table", table, "--out", f"{d}/o.tsv", "--proteins-out", f"{d}/o.faa", *more]
+    keep = ["filter", "--out", f"{d}/kept.clp", "--input"]
+    return [
+        ("no input of filter", [*keep, f"{d}/none.clp"], "none.clp"),
+        ("delta below 0", [*keep, f"{d}/a.clp", "--edit-delta", "-1"], "edit-delta"),
+        ("no taxa file", [*keep, f"{d}/a.clp", "--include-taxa", f"{d}/none.txt"], "none.txt"),
+        ("columns of the map table", annotate(f"{d}/bad.tsv"), "protein_fasta"),
+        ("no map table", annotate(f"{d}/none.tsv"), "none.tsv"),
+        ("no assignments", ["annotate", f"{d}/none.clp", *annotate(f"{d}/map.tsv")[2:]], "none.clp"),
+        ("no annotations", annotate(f"{d}/map.tsv", "--strict"), "gff of assembly 'A'"),
+        ("no data", build(data=f"{d}/none"), "none"),
+        ("no report", build(report=f"{d}/none.tsv"), "none.tsv"),
+        ("size of 0", build(size="0"), "max-size-mb"),
+        ("empty report", build(report=f"{d}/empty.jsonl"), "no assembly"),
+        ("columns of the report", build(report=f"{d}/bad.tsv"), "needs one of"),
+        ("both kinds of reads", ["assign", "--fasta", "x", "--fastq", "y", "--index", "i", "-m", "r"], "exactly one"),
+        ("neither kind", ["extract-reads", "--assignments", "a", "--matched", "m", "--unmatched", "u"], "exactly one"),
+        ("no reads", ["assign", "--fasta", f"{d}/none.fa", "--index", f"{d}/index", "-m", f"{d}/r"], "none.fa"),
+        ("no index", ["assign", "--fasta", f"{d}/r.fa", "--index", f"{d}/index", "-m", f"{d}/r"], "index"),
+        ("no inputs of merge", ["merge", "-o", f"{d}/m"], "at least one"),
+        ("header without a key", ["index-build", "-f", f"{d}/r.fa", "-i", f"{d}/made"], "no sequence key"),
+    ]
+
+
+@pytest.mark.parametrize("k", range(18))
+def test_errors_of_commands(spark, tmp_path, capsys, monkeypatch, k):
+    monkeypatch.setattr("taxaspark.session.session", lambda *a, **b: spark)
+    (tmp_path / "data/A").mkdir(parents=True)
+    for name, text in {"a.clp": "r:1-1-5=0\n", "bad.tsv": "seqid\tassembly\n1\tA\n", "empty.jsonl": "\n{}\n", "report.tsv": "accession\ttaxid\nA\t1\n", "r.fa": ">r\nACGT\n"}.items():
+        (tmp_path / name).write_text(text)
+    (tmp_path / "map.tsv").write_text("seqid\tassembly\ttaxid\theader\tdescription\tgff\tprotein_fasta\r\n1\tA\t1\tc\td\t/none.gff\tNA\r\n")
+    case, args, word = _errors(tmp_path)[k]
+    before = sorted(p.name for p in tmp_path.iterdir())
+    assert cli.main(args) == 1, case
+    assert word in capsys.readouterr().err
+    assert sorted(p.name for p in tmp_path.iterdir()) == before
