@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from taxaspark import queries as Q
@@ -24,6 +24,7 @@ from taxaspark.queries import query
 from taxaspark.sinks import single_file, touch, write_table
 from taxaspark.sinks.files import fasta_text, read_text
 from taxaspark.sources import assembly_files, read_assignments, read_fasta, read_fastq, read_gff, read_mapping, read_report, read_taxa, read_taxonomy
+from taxaspark.sources.gff import STAGED
 from taxaspark.sources.lines import exists, read_lines
 from taxaspark.sources.mapping import last_by
 from taxaspark.storage import materialize, work_folder
@@ -213,14 +214,17 @@ def annotate_command(spark: SparkSession, sf_dir: str) -> DataFrame:
 _MIXED = "CASE WHEN edit % 5 = 0 THEN concat(taxid, '=', edit) ELSE " + Q.RAW + " END"
 
 
+def _gff_line() -> Column:
+    return F.concat_ws("\t", "contig", F.lit("src"), F.lit("CDS"), F.col("start").cast("string"), F.col("end").cast("string"), F.lit("."), F.lit("+"), F.lit("0"), F.concat(F.lit("ID=cds-"), "cds_id", F.lit(";product="), "product"))
+
+
 def _annotation_files(spark: SparkSession, sf_dir: str, folder: str) -> str:
     """GFF and protein files of each brand; the map table that names them."""
     cds = Q._cds(spark, sf_dir)
-    fields = [F.col("contig"), F.lit("src"), F.lit("CDS"), F.col("start").cast("string"), F.col("end").cast("string"), F.lit("."), F.lit("+"), F.lit("0"), F.concat(F.lit("ID=cds-"), "cds_id", F.lit(";product="), "product")]
     proteins = Q._proteins(spark, sf_dir)
     text = fasta_text(F.concat("id", F.lit(" "), "description"), F.col("seq"))
     name = lambda end: F.concat(F.lit(f"{folder}/"), F.replace("assembly", F.lit("#"), F.lit("_")), F.lit(end))
-    for end, rows in (("gff", cds.select("assembly", F.concat_ws("\t", *fields).alias("value"))), ("faa", proteins.select("assembly", text.alias("value")))):
+    for end, rows in (("gff", cds.select("assembly", _gff_line().alias("value"))), ("faa", proteins.select("assembly", text.alias("value")))):
         rows.withColumn("b", F.replace("assembly", F.lit("#"), F.lit("_"))).repartition("b").select("b", "value").write.partitionBy("b").text(f"{folder}/{end}.parts")
         for r in Q._mapping(spark, sf_dir).select(F.replace("assembly", F.lit("#"), F.lit("_"))).distinct().collect():  # 25 brands at any scale
             if exists(spark, f"{folder}/{end}.parts/b={r[0]}"):
@@ -282,20 +286,35 @@ def annotate_command_no_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
         return materialize(reduce(DataFrame.unionByName, files), "lines")
 
 
+@query("SELECT 'table' AS file, count(*) + 1 AS lines, CAST(8 AS INTEGER) AS columns FROM lineitem UNION ALL SELECT 'assignments', count(DISTINCT l_orderkey), 1 FROM lineitem")
+def annotate_command_taxa_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Taxa alone: a table of eight columns, and a file of proteins that is there and has no line, although the map table names annotations."""
+    with work_folder(spark) as folder:
+        annotate(spark, _assignments(spark, sf_dir, f"{folder}/a.clp"), _annotation_files(spark, sf_dir, folder), f"{folder}/out.tsv", f"{folder}/out.faa", taxa_only=True)
+        files = [read_lines(spark, f"{folder}/{name}").select(F.lit(kind).alias("file"), "value") for name, kind in (("out.tsv", "table"), ("out.faa", "proteins"), ("a.clp", "assignments"))]
+        lines = reduce(DataFrame.unionByName, files)
+        return materialize(lines.groupBy("file").agg(F.count("*").alias("lines"), F.max(F.size(F.split("value", "\t"))).alias("columns")), "files")
+
+
 _BUILT = """
 g AS (SELECT replace(p_brand, '#', '') AS assembly, min(p_partkey) AS ordinal, arg_max(CAST(p_size AS BIGINT), p_partkey) AS taxid FROM part GROUP BY ALL),
 k AS (SELECT row_number() OVER (ORDER BY ordinal, p_partkey) AS seqid, assembly, taxid, p_partkey, p_name, length(p_name) * p_size AS n FROM part JOIN g ON assembly = replace(p_brand, '#', ''))"""
 
 
-def _built(spark: SparkSession, sf_dir: str, folder: str) -> str:
-    """A reference of parts as contigs and brands as assemblies; its directory."""
+def _built(spark: SparkSession, sf_dir: str, folder: str, times: int = 1, index_gff: bool = False) -> str:
+    """A reference of parts as contigs (``times`` as long) and brands as assemblies, with annotations if they are indexed; its directory."""
     rows = Q._sql(spark, sf_dir, "SELECT replace(p_brand, '#', '') AS assembly, p_partkey, p_name, p_size FROM part", "part")
-    record = fasta_text(F.concat(F.col("p_partkey").cast("string"), F.lit(" "), "p_name"), F.expr("repeat(translate(p_name, ' ', '_'), int(p_size))"))
+    record = fasta_text(F.concat(F.col("p_partkey").cast("string"), F.lit(" "), "p_name"), F.expr(f"repeat(translate(p_name, ' ', '_'), int(p_size) * {times})"))
     rows.select("assembly", "p_partkey", record.alias("value")).repartition("assembly").sortWithinPartitions("assembly", "p_partkey").select("assembly", "value").write.partitionBy("assembly").text(f"{folder}/parts")
+    if index_gff:
+        cds = Q._cds(spark, sf_dir).select(F.replace("assembly", F.lit("#"), F.lit("")).alias("assembly"), _gff_line().alias("value"))
+        cds.repartition("assembly").write.partitionBy("assembly").text(f"{folder}/gff")
     for r in rows.select("assembly").distinct().collect():  # 25 brands at any scale
         single_file(spark, f"{folder}/parts/assembly={r[0]}", f"{folder}/data/{r[0]}/x_genomic.fna")
+        if index_gff and exists(spark, f"{folder}/gff/assembly={r[0]}"):
+            single_file(spark, f"{folder}/gff/assembly={r[0]}", f"{folder}/data/{r[0]}/x.gff")
     report = _file(rows.select("p_partkey", F.concat_ws("\t", "assembly", F.col("p_size").cast("string")).alias("value")), f"{folder}/report.tsv", "p_partkey", "accession\ttaxid\n")
-    reference_build(spark, f"{folder}/data", report, f"{folder}/out", 1)
+    reference_build(spark, f"{folder}/data", report, f"{folder}/out", 1, index_gff=index_gff)
     return f"{folder}/out"
 
 
@@ -311,6 +330,41 @@ def reference_build_map(spark: SparkSession, sf_dir: str) -> DataFrame:
         return materialize(read_mapping(spark, f"{_built(spark, sf_dir, folder)}/reference.map.tsv").drop("at"), "map")
 
 
+@query(f"""
+WITH RECURSIVE {_BUILT}, d AS MATERIALIZED (
+  SELECT seqid, concat(seqid, '-', taxid) AS id, 8 * n AS n, CAST(length(concat('>', seqid, '-', taxid)) + 1 + 8 * n + ceil(8 * n / 60.0) AS BIGINT) AS b FROM k
+), f AS (
+  SELECT seqid, 0 AS chunk, b AS filled FROM d WHERE seqid = 1
+  UNION ALL
+  SELECT d.seqid, CASE WHEN filled > 0 AND filled + b > 1048576 THEN chunk + 1 ELSE chunk END, CASE WHEN filled > 0 AND filled + b > 1048576 THEN b ELSE filled + b END
+  FROM f JOIN d ON d.seqid = f.seqid + 1
+), c AS (
+  SELECT chunk, CAST(sum(1 + ceil(n / 60.0)) AS BIGINT) AS lines, CAST(max(least(n, 60)) AS BIGINT) AS widest, CAST(sum(b) AS BIGINT) AS n_bytes FROM d JOIN f USING (seqid) GROUP BY chunk
+)
+SELECT id, chunk, CAST(n AS INTEGER) AS n, lines, widest, n_bytes FROM d JOIN f USING (seqid) JOIN c USING (chunk)
+""")
+def reference_build_chunk_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chunk file of each record; the lines of that file, its widest one of a sequence, and its size."""
+    with work_folder(spark) as folder:
+        pattern = f"{_built(spark, sf_dir, folder, times=8)}/reference.chunk.*.fasta"
+        chunk = F.regexp_extract("at.file", r"chunk\.(\d+)\.fasta$", 1).cast("int").alias("chunk")
+        line = F.length("value").cast("bigint")
+        files = read_lines(spark, pattern).groupBy(chunk).agg(F.count("*").alias("lines"), F.max(F.when(~F.col("value").startswith(">"), line)).alias("widest"), F.sum(line + 1).alias("n_bytes"))
+        return materialize(read_fasta(spark, pattern).select("id", chunk, F.length("seq").alias("n")).join(files, "chunk"), "chunks")
+
+
+@query(f"""
+WITH c AS ({Q.CDS}) SELECT replace(assembly, '#', '') AS assembly, contig, st AS "start", en AS "end", cds_id, product, true AS staged FROM c WHERE assembly IN (SELECT p_brand FROM part)
+""")
+def reference_build_index_gff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coding sequences as annotate reads them, from what the map table of a build with indexed annotations names."""
+    with work_folder(spark) as folder:
+        mapping = read_mapping(spark, f"{_built(spark, sf_dir, folder, index_gff=True)}/reference.map.tsv")
+        named = {r[0]: r[1] for r in mapping.where("gff <> 'NA'").select("assembly", "gff").distinct().collect()}  # 25 brands at any scale
+        staged = F.col("assembly").isin([a for a, p in named.items() if p.endswith(STAGED)])
+        return materialize(read_gff(spark, named).select("assembly", "contig", "start", "end", "cds_id", "product", staged.alias("staged")), "gff")
+
+
 @query(f"""
 WITH {_BUILT} SELECT 'Assemblies processed' AS metric, count(DISTINCT assembly) AS value FROM k UNION ALL SELECT 'Total sequences', count(*) FROM k
 UNION ALL SELECT 'Unique taxa', count(DISTINCT taxid) FROM g
@@ -374,6 +428,69 @@ def filter_command_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
         return spark.createDataFrame(list(counts.items()), "metric string, value bigint")
 
 
+# -- errors ------------------------------------------------------------------------------------------------------------------------
+
+
+@query(f"""
+WITH h AS ({Q.HITS}), m AS ({Q.MAP}), p AS (SELECT max(p_partkey) AS last FROM part), b AS (SELECT min(assembly) AS brand FROM h JOIN m USING (seqid))
+SELECT 'key twice' AS "case", concat('more than one sequence has the key ''', last, '''') AS error FROM p UNION ALL
+SELECT 'key of the index', concat('more than one sequence has the key ''', last, '''') FROM p UNION ALL
+SELECT 'no key', concat('no sequence key and taxon for ''lost', last, '''') FROM p UNION ALL
+SELECT 'seeds of another size', 'the index has seeds of 18 letters, not 20' UNION ALL
+SELECT 'no annotations', concat('gff of assembly ''', brand, ''' does not exist: /', brand) FROM b UNION ALL
+SELECT 'columns of the map table', 'map table /bad.tsv lacks the columns description, gff, header, protein_fasta' UNION ALL
+SELECT 'no input', 'no such file: /none' UNION ALL
+SELECT 'no taxa', 'no such file: /none' UNION ALL
+SELECT 'delta below 0', '--edit-delta must be 0 or more' UNION ALL
+SELECT 'no taxon', 'no assembly has a taxon in the report /report.tsv' UNION ALL
+SELECT 'size of 0', '--max-size-mb must be over 0' UNION ALL
+SELECT 'both kinds of reads', 'give exactly one of fasta and fastq' UNION ALL
+SELECT 'no reads', 'no such file: /none' UNION ALL
+SELECT 'nothing to merge', 'give at least one input'
+""")
+def command_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What ends a command on files of whole tables of which a line, an option or a name is wrong; and that nothing is written then."""
+    with work_folder(spark) as folder:
+        parts = Q._sql(spark, sf_dir, "SELECT p_partkey, p_name, p_brand, p_size FROM part", "part")
+        last = parts.orderBy(F.col("p_partkey").desc()).limit(1)
+        record = lambda head: F.concat(F.lit(">"), head, F.lit("\n"), F.translate("p_name", " ", "A")).alias("value")
+        good = parts.select("p_partkey", record(F.concat(F.col("p_partkey").cast("string"), F.lit("-1"))))
+        again = last.select("p_partkey", record(F.concat(F.col("p_partkey").cast("string"), F.lit("-2"))))
+        lost = last.select("p_partkey", record(F.concat(F.lit("lost"), F.col("p_partkey").cast("string"))))
+        fasta, more, twice, unkeyed = (_file(rows, f"{folder}/{name}.fasta", "p_partkey") for name, rows in (("good", good), ("again", again), ("twice", good.unionByName(again)), ("lost", good.unionByName(lost))))
+        assignments, mapping = _assignments(spark, sf_dir, f"{folder}/a.clp"), _map_file(spark, sf_dir, f"{folder}/map.tsv")
+        bad = _file(parts.select("p_partkey", F.concat_ws("\t", F.col("p_partkey").cast("string"), "p_brand", F.lit("1")).alias("value")), f"{folder}/bad.tsv", "p_partkey", "seqid\tassembly\ttaxid\n")
+        report = _file(parts.select("p_partkey", F.concat("p_brand", F.lit("\tx")).alias("value")), f"{folder}/report.tsv", "p_partkey", "accession\ttaxid\n")
+        index, none, out = f"{folder}/index", f"{folder}/none", f"{folder}/out"
+        index_build(spark, fasta, index)
+        table = lambda t, **more: annotate(spark, assignments, t, f"{out}/t.tsv", f"{out}/p.faa", **more)
+        cases = {
+            "key twice": lambda: index_build(spark, twice, f"{out}/index"),
+            "key of the index": lambda: index_build(spark, more, index, append=True),
+            "no key": lambda: index_build(spark, unkeyed, f"{out}/index"),
+            "seeds of another size": lambda: index_build(spark, more, index, append=True, seed_size=20),
+            "no annotations": lambda: table(mapping, strict=True),
+            "columns of the map table": lambda: table(bad),
+            "no input": lambda: filter_file(spark, none, f"{out}/f.clp"),
+            "no taxa": lambda: filter_file(spark, assignments, f"{out}/f.clp", none),
+            "delta below 0": lambda: filter_file(spark, assignments, f"{out}/f.clp", edit_delta=-1),
+            "no taxon": lambda: reference_build(spark, folder, report, f"{out}/build", 1),
+            "size of 0": lambda: reference_build(spark, folder, report, f"{out}/build", 0),
+            "both kinds of reads": lambda: assign_files(spark, index, f"{out}/r.clp", fasta=fasta, fastq=fasta),
+            "no reads": lambda: assign_files(spark, index, f"{out}/r.clp", fasta=none),
+            "nothing to merge": lambda: merge_files(spark, [], f"{out}/m.clp"),
+        }
+        rows = []
+        for case, command in cases.items():
+            try:
+                command()
+                error = "none"
+            except (ValueError, FileNotFoundError) as e:
+                error = str(e).replace(folder, "")
+            rows.append((case, f"{error}; something is written" if exists(spark, out) else error))
+        return spark.createDataFrame(rows, "case string, error string")
+
+
 # -- lists too long for a literal, order, streams --------------------------------------------------------------------------------
 
 
