@@ -92,6 +92,8 @@ def softmax(x: np.ndarray) -> np.ndarray:
 
 #: Rows of a language that the fit sample has at least, if there are as many.
 LEAST_ROWS = 20
+#: Languages of a model at most; its weights (buckets x languages) and LEAST_ROWS rows of each are held by the driver.
+MAX_LANGUAGES = 500
 
 
 @dataclass
@@ -188,13 +190,15 @@ def fit(rows: DataFrame, trainer: Trainer | None = None, text: str = "text", lan
 
     Half of the sample is dealt evenly to the languages and the rest by their share of the rows, so that each language of
     ``rows`` is learned however rare it is (by ``LEAST_ROWS`` rows or all it has, even if that takes more than the bound). Rows
-    alike in key, text and language count once, and the bounds are hard.
+    alike in key, text and language count once, and the bounds are hard. More than ``MAX_LANGUAGES`` languages raise an error.
     """
     trainer = trainer or Trainer()
     by = [key, text, lang]
     usable = rows.where(F.col(text).isNotNull() & F.col(lang).isNotNull() & (F.length(text) <= trainer.max_fit_chars)).select(*by).withColumn("__sample", sample_hash(trainer.seed, by))
     # a row a language, as the model has; the margin covers the estimate's error
-    counts = {r[0]: int(1.1 * r[1]) for r in usable.groupBy(F.col(lang)).agg(F.approx_count_distinct("__sample", 0.02)).collect()}
+    counts = {r[0]: int(1.1 * r[1]) for r in usable.groupBy(F.col(lang)).agg(F.approx_count_distinct("__sample", 0.02)).limit(MAX_LANGUAGES + 1).collect()}
+    if len(counts) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
     if not counts:
         return trainer.fit([], [])
     quotas = fit_quotas(counts, trainer.max_fit_rows)

@@ -122,6 +122,14 @@ def test_rare_languages_are_learned(spark):
     assert langid.fit_quotas({"en": 5, "de": 6}, 3000) == {"en": 5, "de": 6}
 
 
+def test_too_many_languages(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MAX_LANGUAGES", 2)
+    rows = spark.createDataFrame([(i, f"some words {i}", x) for i, x in enumerate(["en", "de", "fr", None, "en"])], "doc_id bigint, text string, lang string")
+    with pytest.raises(ValueError, match="more than 2 languages"):
+        langid.fit(rows)
+    assert langid.fit(rows.where("lang <> 'fr'")).langs == ["de", "en"]
+
+
 def test_language_without_rows(spark):
     none = spark.createDataFrame([], "doc_id bigint, text string, lang string")
     model = langid.fit(none)
