@@ -113,6 +113,14 @@ def test_next_fit(spark, limit):
         refbuild.next_fit(rows, 0)
 
 
+def test_next_starts_look_back(spark):
+    """A frame that ends with its partition is summed up anew for each row: the time of a range would grow with its square."""
+    placed = spark.createDataFrame([(0, 1, 1, 5, 0), (0, 2, 2, 5, 5), (1, 3, 3, 5, 10)], "p bigint, k bigint, i bigint, n bigint, start bigint")
+    found = refbuild._next_starts(placed, 8)
+    assert "unboundedfollowing" not in found._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert [r.next for r in found.orderBy("k").collect()] == [2, 3, 1 << 62]
+
+
 def test_next_fit_of_nothing(spark):
     assert refbuild.next_fit(spark.createDataFrame([], "seqid bigint, n_bytes bigint"), 5).count() == 0
 
