@@ -8,10 +8,14 @@ from pyspark.sql import functions as F
 from taxaspark.operators.intervals import cds_at
 from taxaspark.operators.numbering import dense_ids
 from taxaspark.sources.mapping import last_by
+from taxaspark.storage import materialize
 
 #: The columns of an annotated table.
 TAXA_COLUMNS = ["ReadID", "Taxid", "Organism Name", "Assembly", "Accession", "Description", "Position", "Edit Distance"]
 CDS_COLUMNS = ["CDS ID", "Protein ID", "Annotation"]
+PLACE = ["assembly", "accession", "pos"]
+#: Coding sequences at places that are sent to every task, behind the sort of hits; more of them travel with the hits.
+SENT = 1 << 19
 
 
 def resolve(hits: DataFrame, mapping: DataFrame) -> DataFrame:
@@ -34,28 +38,54 @@ def add_cds(hits: DataFrame, cds: DataFrame, fuzzy: int = 0) -> DataFrame:
     return out.withColumns({"cds_id": F.coalesce("cds_id", F.lit("NA")), "product": F.coalesce("product", F.lit("NA")), "has_cds": F.col("cds_ord").isNotNull(), "cds_ord": F.coalesce("cds_ord", F.lit(0))})
 
 
-def number_proteins(rows: DataFrame, proteins: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``rows`` with protein_id, and the proteins: protein_id, header, seq.
+def first_hits(hits: DataFrame) -> DataFrame:
+    """assembly, accession, pos, first: each place that can have coding sequences, once, and its first hit (at, hit_idx)."""
+    return hits.where("assembly <> '' and accession <> '' and pos > 0").groupBy(*PLACE).agg(F.min(F.struct("at", "hit_idx")).alias("first"))
+
+
+def number_proteins(found: DataFrame, places: DataFrame, proteins: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``found`` (of :func:`cds_at`) with protein_id, and the proteins: protein_id, header, seq. ``places``: of :func:`first_hits`.
 
     The sequence of a coding sequence is that of its id in its assembly's proteins. Equal sequences are one protein; ids count
     from 1 in the order in which sequences come first in the annotated table, and the header is that of the first. Coding
-    sequences without a protein have ``NA``. Sequences travel once a coding sequence, not once a hit.
+    sequences without a protein have ``NA``. All of this is done by place, not by hit: a place's first hit tells its order.
     """
-    order = F.struct("assembly", "accession", "pos", "at", "hit_idx", "cds_ord")
-    first = rows.where("has_cds and cds_id <> ''").groupBy("assembly", "cds_id").agg(F.min(order).alias("place"))
+    order = F.struct(*PLACE, "first.at", "first.hit_idx", "cds_ord")
+    first = found.where("cds_id <> ''").join(places, PLACE).groupBy("assembly", "cds_id").agg(F.min(order).alias("place"))
     source = proteins.where("seq <> ''").groupBy("assembly", F.col("id").alias("cds_id")).agg(F.min_by(F.struct("description", "seq"), "at").alias("p"))
     known = first.join(source, ["assembly", "cds_id"]).select("assembly", "cds_id", "place", "p.description", "p.seq", F.sha2("p.seq", 256).alias("digest"))
     distinct = known.groupBy("digest").agg(F.min("place").alias("place"), F.min_by(F.struct("description", "seq"), "place").alias("p"))
     numbered = dense_ids(distinct, ["place"], "protein_id")
     ids = known.join(numbered.select("digest", "protein_id"), "digest").select("assembly", "cds_id", "protein_id")
-    out = rows.join(ids, ["assembly", "cds_id"], "left").withColumn("protein_id", F.coalesce(F.col("protein_id").cast("string"), F.lit("NA")))
+    out = found.join(ids, ["assembly", "cds_id"], "left").withColumn("protein_id", F.coalesce(F.col("protein_id").cast("string"), F.lit("NA")))
     return out, numbered.select("protein_id", F.col("p.description").alias("header"), "p.seq")
 
 
-def annotated_table(rows: DataFrame, taxa_only: bool = False) -> DataFrame:
-    """The table as it is written, in its order: assembly, accession, position, then input order."""
-    order = ["assembly", "accession", "pos", "at", "hit_idx", *([] if taxa_only else ["cds_ord"])]
+def with_cds(hits: DataFrame, found: DataFrame, order: list[str] | None = None) -> DataFrame:
+    """A row for each hit and coding sequence at its place, with cds_id, product and protein_id; ``NA`` where there is none.
+
+    With ``order``, hits stand in it, and those of a hit by cds_ord. Hits alone are sorted, with the number of rows that they become,
+    and multiply afterwards: what is shuffled grows with the hits, however many coding sequences share a place. (``found`` is
+    written and counted.)
+    """
+    found = materialize(found.select(*PLACE, "cds_ord", "cds_id", "product", "protein_id"), "annotations")
+    sort = lambda rows: rows.orderBy(*order) if order else rows
+    if found.count() <= SENT:
+        rows = sort(hits.join(F.broadcast(found.groupBy(*PLACE).agg(F.max("cds_ord").alias("n"))), PLACE, "left"))
+        # the generator stands between sort and join, of which the optimizer would else take the sort away
+        rows = rows.withColumn("cds_ord", F.explode_outer(F.sequence(F.lit(1), F.col("n"))))
+        rows = rows.join(F.broadcast(found), [*PLACE, "cds_ord"], "left")
+    else:
+        lists = found.groupBy(*PLACE).agg(F.array_sort(F.collect_list(F.struct("cds_ord", "cds_id", "product", "protein_id"))).alias("found"))
+        rows = sort(hits.join(lists, PLACE, "left")).withColumn("f", F.explode_outer("found")).select(*hits.columns, "f.cds_id", "f.product", "f.protein_id")
+    return rows.select(*hits.columns, *[F.coalesce(c, F.lit("NA")).alias(c) for c in ("cds_id", "product", "protein_id")])
+
+
+def annotated_table(hits: DataFrame, found: DataFrame | None = None) -> DataFrame:
+    """The table as it is written, in its order: assembly, accession, position, then input order. Without ``found``: taxa alone."""
+    order = [*PLACE, "at", "hit_idx"]
     named = {"ReadID": "read_id", "Taxid": "taxid", "Organism Name": "organism", "Assembly": "assembly", "Accession": "accession", "Description": "description", "Position": "pos", "Edit Distance": "edit"}
-    if not taxa_only:
+    rows = hits.orderBy(*order) if found is None else with_cds(hits, found, order)
+    if found is not None:
         named |= {"CDS ID": "cds_id", "Protein ID": "protein_id", "Annotation": "product"}
-    return rows.orderBy(*order).select(*[F.col(c).alias(n) for n, c in named.items()])
+    return rows.select(*[F.col(c).alias(n) for n, c in named.items()])

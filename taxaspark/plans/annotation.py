@@ -8,7 +8,8 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from taxaspark.operators.annotate import CDS_COLUMNS, TAXA_COLUMNS, add_cds, annotated_table, name_organisms, number_proteins, resolve
+from taxaspark.operators.annotate import CDS_COLUMNS, TAXA_COLUMNS, annotated_table, first_hits, name_organisms, number_proteins, resolve
+from taxaspark.operators.intervals import cds_at
 from taxaspark.operators.merge import parsed_hits
 from taxaspark.sinks import touch, write_lines, write_table
 from taxaspark.sinks.files import protein_text
@@ -36,11 +37,12 @@ def _resources(spark: SparkSession, hits: DataFrame, mapping: DataFrame, column:
     return {a: p for a, p in paths.items() if p in there}
 
 
-def annotate(spark: SparkSession, assignments: str | list[str], map_tables: str | list[str], out: str, proteins_out: str, taxonomy: str | None = None, merged: str | None = None, taxa_only: bool = False, fuzzy: int = 0, strict: bool = False) -> int:
+def annotate(spark: SparkSession, assignments: str | list[str], map_tables: str | list[str], out: str, proteins_out: str, taxonomy: str | None = None, merged: str | None = None, taxa_only: bool = False, fuzzy: int = 0, strict: bool = False, compression: str = "none") -> int:
     """Write the annotated table and the proteins; the number of hits.
 
     ``taxonomy``: a dump of names; without it organisms are empty. ``strict``: a missing annotation or protein file is an error;
-    else its hits have ``NA``. A sequence key in several map tables is warned of; the last one counts.
+    else its hits have ``NA``. A sequence key in several map tables is warned of; the last one counts. ``compression``: of the
+    parts of a table whose path ends in ``/``, such as gzip.
     """
     mapping = read_mapping(spark, map_tables)
     if not isinstance(map_tables, str) and len(map_tables) > 1:
@@ -49,7 +51,7 @@ def annotate(spark: SparkSession, assignments: str | list[str], map_tables: str
     hits = parsed_hits(read_assignments(spark, assignments)).select("at", "hit_idx", "read_id", "raw", F.col("h").isNotNull().alias("readable"), "h.*")
     names = read_taxonomy(spark, taxonomy, merged) if taxonomy else spark.createDataFrame([], "taxid bigint, name string")
     with scratch(spark):
-        # named hits and their coding sequences are each written once; what follows reads them several times
+        # named hits, their places and the coding sequences there are each written once; what follows reads them several times
         rows = materialize(name_organisms(resolve(hits, mapping), names), "hits")
         for r in rows.where("not readable").select("raw").limit(20).collect():
             log.warning("hit can't be read: %s", r[0])
@@ -60,13 +62,13 @@ def annotate(spark: SparkSession, assignments: str | list[str], map_tables: str
             touch(spark, proteins_out)
             return 0
         if taxa_only:
-            write_table(annotated_table(rows, taxa_only=True), out)
+            write_table(annotated_table(rows), out, compression)
             touch(spark, proteins_out)
             return n
-        places = rows.where("assembly <> '' and accession <> '' and pos > 0").select("assembly", "accession", "pos")
+        places = materialize(first_hits(rows), "places")
         cds = read_gff(spark, _resources(spark, rows, mapping, "gff", strict), places, max(0, fuzzy))
-        rows = materialize(add_cds(rows, cds, fuzzy), "cds")
-        rows, proteins = number_proteins(rows, read_fasta_of(spark, _resources(spark, rows.where("has_cds"), mapping, "protein_fasta", strict)))
-        write_table(annotated_table(rows), out)
+        found = materialize(cds_at(places, cds, fuzzy), "cds")
+        found, proteins = number_proteins(found, places, read_fasta_of(spark, _resources(spark, found, mapping, "protein_fasta", strict)))
+        write_table(annotated_table(rows, found), out, compression)
         write_lines(proteins.select("protein_id", protein_text(F.col("protein_id"), F.col("header"), F.col("seq")).alias("value")), proteins_out, order=["protein_id"])
         return n

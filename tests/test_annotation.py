@@ -5,9 +5,10 @@ import random
 import pytest
 
 from taxaspark import plans
-from taxaspark.operators import intervals
+from taxaspark.operators import annotate, intervals
 from taxaspark.operators.numbering import dense_ids, prefix_numbers
 from taxaspark.sources import read_gff, read_mapping, read_taxonomy
+from taxaspark.sources.lines import line_numbers, read_lines
 from taxaspark.sources.mapping import last_by
 
 CDS = "assembly string, contig string, start bigint, end bigint, cds_id string, product string"
@@ -143,3 +144,39 @@ def test_annotate_taxa_only_and_empty(spark, world):
     assert plans.annotate(spark, str(world / "none"), str(world / "map.tsv"), str(world / "e.tsv"), str(world / "e.faa")) == 0
     assert (world / "e.tsv").read_bytes().count(b"\n") == 1
     assert (world / "e.faa").read_text() == ""
+
+
+def test_hits_are_sorted_before_they_multiply(spark, monkeypatch):
+    """Both ways of :func:`with_cds` give the same rows in order, and what the sort shuffles has a row a hit."""
+    hits = spark.createDataFrame([("A", "c", p % 3 + 1, p, 0) for p in range(9)], "assembly string, accession string, pos bigint, at int, hit_idx int")
+    found = spark.createDataFrame([("A", "c", p, k, f"g{k}", "x", str(k)) for p in (1, 2) for k in range(1, p + 3)], "assembly string, accession string, pos bigint, cds_ord int, cds_id string, product string, protein_id string")
+    order = ["assembly", "accession", "pos", "at", "hit_idx"]
+    want = [(p, at, c) for p, n in ((1, 3), (2, 4), (3, 0)) for at in range(p - 1, 9, 3) for c in ([f"g{k}" for k in range(1, n + 1)] or ["NA"])]
+    for sent in (annotate.SENT, 0):
+        monkeypatch.setattr(annotate, "SENT", sent)
+        rows = annotate.with_cds(hits, found, order)
+        assert [(r.pos, r["at"], r.cds_id) for r in rows.collect()] == want
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("Generate") < plan.index("Sort [")
+
+
+def test_lines_are_numbered_where_they_are(spark, tmp_path):
+    for k in range(3):
+        (tmp_path / "t").mkdir(exist_ok=True)
+        (tmp_path / "t" / f"part-{k}").write_text("head\n" + "".join(f"{k}-{i}\n" for i in range(k * 40 + 1)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    try:
+        for heads in (False, True):
+            rows = line_numbers(read_lines(spark, str(tmp_path / "t")), heads=heads)
+            got = [(r.n, r.value) for r in rows.orderBy("n").collect()]
+            want = [x for k in range(3) for x in ["head"] * (not heads or k == 0) + [f"{k}-{i}" for i in range(k * 40 + 1)]]
+            assert got == list(enumerate(want))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(128 << 20))
+
+
+def test_annotations_of_a_file_are_many_tasks(spark, tmp_path):
+    """Lines meet the name of their file's assembly without a shuffle by file."""
+    (tmp_path / "a.gff").write_text("c\t.\tCDS\t1\t9\t.\t+\t0\tID=g1\n")
+    plan = read_gff(spark, {"A": str(tmp_path / "a.gff")})._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
