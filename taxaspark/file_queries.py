@@ -561,8 +561,7 @@ _EXACT = _exact_sql(
 def _exact(spark: SparkSession, sf_dir: str, **limits) -> DataFrame:
     reads = Q._table(spark, sf_dir, "benchmark").select(F.col("item_id").cast("string").alias("read_id"), F.col("text").alias("seq"))
     refs = Q._references(spark, sf_dir)
-    index = materialize(seeds.build_index(refs, unknown=None), "seeds")
-    return seeds.assign(reads, index, refs, edit_rate=0.0, max_hits=1 << 40, **limits)
+    return seeds.assign(reads, seeds.seeds_of(reads, refs, unknown=None), refs, edit_rate=0.0, max_hits=1 << 40, **limits)
 
 
 @query(f"WITH {_EXACT} SELECT * FROM a")

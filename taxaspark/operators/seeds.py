@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from taxaspark.operators.alignment import semi_global_many
+from taxaspark.storage import materialize
 
 SEED_SIZE, SEED_INTERVAL = 18, 15
 MAX_HITS, TUNE_MAX_HITS = 2000, 200
@@ -23,6 +24,8 @@ MIN_SEED, EDIT_RATE = 0.015, 0.13
 #: Letters of a block of a reference, and of the pieces that its seeds are cut from (a letter's place is found by counting).
 BLOCK = 4096
 PIECE = 256
+#: Distinct seeds of reads that are sent to the tasks that cut references; with more of them, references' seeds are shuffled.
+SENT = 1 << 20
 
 
 def reverse_complement(seq: Column) -> Column:
@@ -74,6 +77,17 @@ def read_seeds(reads: DataFrame, size: int = SEED_SIZE, interval: int = SEED_INT
     return rows.select("read_id", "strand", "read_length", "n_seeds", "offset", F.substring(F.col("seq"), (F.col("offset") + 1).cast("int"), F.lit(size)).alias("seed"))
 
 
+def seeds_of(reads: DataFrame, contigs: DataFrame, size: int = SEED_SIZE, interval: int = SEED_INTERVAL, unknown: str | None = "N") -> DataFrame:
+    """Of an index of ``contigs`` that is read once, the rows of seeds that some read has, written; the rest is never stored.
+
+    An index is worth its space (a row a letter) where other reads follow. Seeds of reads go to the references: as far as one task
+    can hold them (SENT) nothing of an index is shuffled, and beyond that its rows are, once.
+    """
+    wanted = materialize(read_seeds(reads, size, interval).select("seed").distinct(), "wanted")
+    few = F.broadcast(wanted) if wanted.count() <= SENT else wanted
+    return materialize(build_index(contigs, size, unknown).join(few, "seed", "left_semi"), "seeds")
+
+
 def candidates(reads: DataFrame, index: DataFrame, size: int = SEED_SIZE, interval: int = SEED_INTERVAL, max_hits: int = MAX_HITS, tune_max_hits: int = TUNE_MAX_HITS, min_seed: float = MIN_SEED, edit_rate: float = EDIT_RATE, max_candidates: int | None = None) -> DataFrame:
     """read_id, strand, seqid, taxid, diagonal (bucket), low, high (range of starts), seeds: places where a read may align.
 

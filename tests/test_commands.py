@@ -390,3 +390,23 @@ def test_tables_of_threads_are_their_own(spark):
     assert made[0].count() == 3
     with pytest.raises(Exception, match="(?i)not exist|FILE_NOT_EXIST|FAILED_READ"):
         mine.collect()
+
+
+def test_seeds_of_reads_alone_are_stored(spark, monkeypatch):
+    """The rows of an index that some read asks for, and the same assignments as with the whole index, both ways."""
+    rng = random.Random(9)
+    text = "".join(rng.choice("ACGT") for _ in range(900))
+    refs = spark.createDataFrame([("1", 5, text), ("2", 6, text[300:700].lower())], "seqid string, taxid bigint, seq string")
+    reads = spark.createDataFrame([("a", text[320:380]), ("b", seeds_reverse(text[40:100])), ("c", "ACGT")], "read_id string, seq string")
+    whole = seeds.build_index(refs)
+    wanted = {r.seed for r in seeds.read_seeds(reads).collect()}
+    rows = sorted(r for r in map(tuple, whole.collect()) if r[0] in wanted)
+    for sent in (seeds.SENT, 0):
+        monkeypatch.setattr(seeds, "SENT", sent)
+        some = seeds.seeds_of(reads, refs)
+        assert sorted(map(tuple, some.collect())) == rows != []
+        assert sorted(seeds.assign(reads, some, refs).collect()) == sorted(seeds.assign(reads, whole, refs).collect()) != []
+
+
+def seeds_reverse(seq):
+    return seq[::-1].translate(str.maketrans("ACGT", "TGCA"))
