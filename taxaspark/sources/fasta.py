@@ -35,7 +35,7 @@ def read_fasta(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 def read_fasta_of(spark: SparkSession, files: dict[str, str]) -> DataFrame:
     """assembly, at, id, description, seq from each assembly's file, all files in one scan."""
     known = spark.createDataFrame([(p.removeprefix("file://"), a) for a, p in files.items()], "file string, assembly string")
-    rows = read_files(spark, sorted(set(files.values())), line_sep="\n>").join(known, "file").drop("file")
+    rows = read_files(spark, sorted(set(files.values())), line_sep="\n>").join(F.broadcast(known), "file").drop("file")  # a row a file: no task gets all records of one
     return parse_fasta(rows)
 
 
@@ -43,21 +43,25 @@ def read_fastq(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """at, id, description, seq, qual from records of four lines.
 
     Which of four a line is depends on all lines before it in its file: lines are counted by file split, and each split starts from
-    the sum of those before, so that only one number a split is gathered.
+    the sum of those before, so that only one number a split is gathered. Lines go to their records with the numbers of file and
+    split in place of the names, and nothing sorts them before: a gzipped file is one split, and what reads it holds little.
     """
     lines = read_lines(spark, path)
     split = F.struct(F.col("at.input").alias("input"), F.col("at.file").alias("file"), F.col("at.block").alias("block"))
     lines = lines.select("at", split.alias("split"), F.regexp_replace("value", "\r$", "").alias("value"))
     low = lines.groupBy("split").agg(F.min("at.row").alias("low"), F.count("*").alias("n")).collect()
-    start, last, before = [], None, 0
-    for r in sorted(low, key=lambda r: tuple(r["split"])):
+    start, last, before, files = [], None, 0, 0
+    for k, r in enumerate(sorted(low, key=lambda r: tuple(r["split"]))):
         if r["split"][:2] != last:
-            last, before = r["split"][:2], 0
-        start.append((tuple(r["split"]), r["low"], before))
+            last, before, files = r["split"][:2], 0, files + 1
+        start.append((tuple(r["split"]), r["low"], before, files, k))
         before += r["n"]
-    known = spark.createDataFrame(start, "split struct<input int, file string, block bigint>, low bigint, before bigint")
-    numbered = lines.join(known, "split").select("at", (F.col("before") + F.col("at.row") - F.col("low")).alias("n"), "value")
-    records = numbered.groupBy("at.input", "at.file", F.floor(F.col("n") / 4).cast("bigint").alias("record")).agg(F.min("at").alias("at"), *[F.max(F.when(F.col("n") % 4 == k, F.col("value"))).alias(name) for k, name in ((0, "head"), (1, "seq"), (3, "qual"))])
+    known = F.broadcast(spark.createDataFrame(start, "split struct<input int, file string, block bigint>, low bigint, before bigint, f int, s int"))  # a row a split
+    n = F.col("before") + F.col("at.row") - F.col("low")
+    numbered = lines.join(known, "split").select("f", F.floor(n / 4).cast("bigint").alias("record"), "s", F.col("at.row").alias("row"), (n % 4).cast("int").alias("k"), "value")
+    records = numbered.repartition("f", "record").groupBy("f", "record").agg(F.min(F.struct("s", "row")).alias("p"), *[F.max(F.when(F.col("k") == k, F.col("value"))).alias(name) for k, name in ((0, "head"), (1, "seq"), (3, "qual"))])
+    at = F.struct("split.input", "split.file", "split.block", "p.row").alias("at")
+    records = records.withColumn("s", F.col("p.s")).join(known.select("s", "split"), "s").withColumn("at", at)
     header = F.regexp_replace("head", "^@", "")
     return records.where("head <> ''").select("at", _first_word(header).alias("id"), header.alias("description"), F.coalesce("seq", F.lit("")).alias("seq"), F.coalesce("qual", F.lit("")).alias("qual"))
 

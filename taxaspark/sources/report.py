@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from taxaspark.functions import first_filled, int_like_python, strip
 from taxaspark.sources.delimited import read_delimited
 from taxaspark.sources.lines import read_lines, sums_before
+from taxaspark.storage import materialize
 
 #: Names that columns or fields may have, in the order in which they are tried.
 ASSEMBLY_NAMES = ["assembly_accession", "assemblyAccession", "assembly_accession_version", "accession"]
@@ -86,9 +87,15 @@ def document_items(lines: DataFrame) -> DataFrame:
     return whole.select(first.alias("at"), F.array_join(F.transform("r", lambda x: x["text"]), "").alias("value")).where(strip(F.col("value")) != "")
 
 
-def parse_json(lines: DataFrame) -> DataFrame:
-    """at, assembly, taxid from JSON lines; if any line isn't JSON, from all of them as one document."""
+def parse_json(lines: DataFrame, dealt: bool = False) -> DataFrame:
+    """at, assembly, taxid from JSON lines; if any line isn't JSON, from all of them as one document.
+
+    ``dealt``: lines come from one task (of a gzipped file), and are dealt out before they are parsed. What is parsed is written
+    once, as the search for a line that isn't JSON reads all of it.
+    """
     filled = lines.select("at", strip(F.col("value")).alias("value")).where("value <> ''")
+    if dealt:
+        filled = materialize(filled.repartition(F.xxhash64("at.row")), "lines")
     parsed = filled.select("at", F.try_parse_json("value").alias("o"))
     if parsed.where("o is null").limit(1).count():
         parsed = document_items(lines).select("at", F.parse_json("value").alias("o"))
@@ -100,7 +107,7 @@ def read_report(spark: SparkSession, path: str) -> DataFrame:
     """ordinal, assembly, taxid."""
     low = path.lower()
     if low.endswith((".jsonl", ".jsonl.gz", ".json", ".json.gz")):
-        return first_place_last_value(parse_json(read_lines(spark, path)))
+        return first_place_last_value(parse_json(read_lines(spark, path), low.endswith(".gz")))
     rows = read_delimited(spark, path)
     if len(rows.columns) < 2:
         raise ValueError(f"report has no header: {path}")

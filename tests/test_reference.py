@@ -329,3 +329,18 @@ def test_errors_of_commands(spark, tmp_path, capsys, monkeypatch, k):
     assert cli.main(args) == 1, case
     assert word in capsys.readouterr().err
     assert sorted(p.name for p in tmp_path.iterdir()) == before
+
+
+def test_readers_of_one_split_sort_nothing(spark, tmp_path):
+    """What reads a gzipped file deals its lines out: FASTQ lines by record, without a sort by split; JSON lines before they are parsed."""
+    with gzip.open(tmp_path / "a.fq.gz", "wt") as f:
+        f.write("".join(f"@r{k} x\n{'ACGT' * k}\n+\n{'IIII' * k}\n" for k in range(50)))
+    reads = read_fastq(spark, str(tmp_path / "a.fq.gz"))
+    plan = reads._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 2
+    assert [(r.id, r.seq, r.qual) for r in reads.orderBy("at").collect()] == [(f"r{k}", "ACGT" * k, "IIII" * k) for k in range(50)]
+    with gzip.open(tmp_path / "r.jsonl.gz", "wt") as f:
+        f.write("".join(f'{{"accession":"A{k % 7}","taxid":{k}}}\n' for k in range(60)))
+    found = read_report(spark, str(tmp_path / "r.jsonl.gz"))
+    assert [(r.assembly, r.taxid) for r in found.orderBy("ordinal").collect()] == [(f"A{k}", max(j for j in range(60) if j % 7 == k)) for k in range(7)]
+    assert all(f.endswith(".parquet") for f in found.inputFiles())
