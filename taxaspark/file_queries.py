@@ -43,7 +43,7 @@ def _assignments(spark: SparkSession, sf_dir: str, path: str, where: str = "true
     """An assignment file: a line for each order, its hits sorted as text."""
     hits = Q._hits(spark, sf_dir).where(where)
     raw = F.concat_ws("", F.col("taxid").cast("string"), F.lit("-"), "seqid", F.lit("-"), F.col("pos").cast("string"), F.lit("="), F.col("edit").cast("string"))
-    lines = hits.groupBy("read_id").agg(F.array_join(F.array_sort(F.collect_list(raw)), ",").alias("hits"))
+    lines = hits.groupBy("read_id").agg(F.array_join(F.sort_array(F.collect_list(raw)), ",").alias("hits"))
     return _file(lines.select("read_id", F.concat("read_id", F.lit(":"), "hits").alias("value")), path, "read_id")
 
 
@@ -495,7 +495,7 @@ def command_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _long(spark: SparkSession, taxa: DataFrame) -> DataFrame:
-    """``taxa`` and so many that no hit has that the filter joins them."""
+    """``taxa`` and so many that no hit has that the filter has no literals for them."""
     return taxa.unionByName(spark.range(filters.INLINE + 1).select((-F.col("id") - 1).alias("taxid")))
 
 

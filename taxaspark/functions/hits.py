@@ -11,17 +11,18 @@ from taxaspark.functions.text import int_like_python, strip
 HIT = "^[0-9]+(-[^-]+-[0-9]+)?=[0-9]+$"
 #: Where a hit of either form is cut; a sequence's name may hold ``=``.
 _CUT = "-|=(?=[0-9]+$)"
-_SPLIT = "(?s)^(.*):([^:]*)$"
+#: Hits of plain digits, which are cut without more ado: the number before the first sign, and the one after the last.
+_PLAIN = "^[0-9]{1,18}(-[^=]*)?=[0-9]{1,18}\\z"
 
 
 def read_id(line: Column) -> Column:
     """What stands before the last colon; the whole line if there is none."""
-    return F.when(F.instr(line, ":") > 0, F.regexp_extract(line, _SPLIT, 1)).otherwise(line)
+    return F.when(F.instr(line, ":") > 0, F.substring(line, F.lit(1), F.length(line) - F.length(F.substring_index(line, ":", -1)) - 1)).otherwise(line)
 
 
 def hit_tokens(line: Column) -> Column:
     """Hits after the last colon, without empty ones; none without a colon."""
-    return F.filter(F.split(F.when(F.instr(line, ":") > 0, F.regexp_extract(line, _SPLIT, 2)).otherwise(F.lit("")), ","), lambda h: h != "")
+    return F.array_remove(F.split(F.when(F.instr(line, ":") > 0, F.substring_index(line, ":", -1)).otherwise(F.lit("")), ","), "")
 
 
 def lenient_hit(token: Column) -> Column:
@@ -29,10 +30,13 @@ def lenient_hit(token: Column) -> Column:
 
     Null where there is no ``=`` or either number isn't one.
     """
-    edit = int_like_python(F.substring_index(token, "=", -1))
-    left = F.substring(token, F.lit(1), F.length(token) - F.length(F.substring_index(token, "=", -1)) - 1)
-    taxid = int_like_python(F.substring_index(left, "-", 1))
-    return F.when((F.instr(token, "=") > 0) & edit.isNotNull() & taxid.isNotNull(), F.struct(token.alias("raw"), taxid.alias("taxid"), edit.alias("edit")))
+    after = F.substring_index(token, "=", -1)
+    hit = lambda taxid, edit: F.struct(token.alias("raw"), taxid.alias("taxid"), edit.alias("edit"))
+    plain = hit(F.substring_index(F.substring_index(token, "=", 1), "-", 1).try_cast("bigint"), after.try_cast("bigint"))
+    left = F.substring(token, F.lit(1), F.length(token) - F.length(after) - 1)
+    taxid, edit = int_like_python(F.substring_index(left, "-", 1)), int_like_python(after)
+    other = F.when((F.instr(token, "=") > 0) & edit.isNotNull() & taxid.isNotNull(), hit(taxid, edit))
+    return F.when(token.rlike(_PLAIN), plain).otherwise(other)
 
 
 def strict_hit(token: Column) -> Column:

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from taxaspark.functions import lenient_hit, render_line
 
-#: Lists up to this size become a set of literals in the plan, a hash lookup a hit; longer ones are joined.
+#: Lists up to this size become a set of literals in the plan, a hash lookup a hit.
 INLINE = 10_000
+#: Longer ones up to this size become one literal, arrays by hash (20 MB or so at most), which is a hash lookup, too; still longer ones are joined.
+LOOKUP = 1 << 19
 
 
 def parse_lenient(reads: DataFrame) -> DataFrame:
@@ -16,12 +20,41 @@ def parse_lenient(reads: DataFrame) -> DataFrame:
     return reads.withColumn("hits", F.filter(F.transform("tokens", lenient_hit), lambda h: h.isNotNull()))
 
 
-def keep_taxa(hits: Column, include: list[int] | None = None, exclude: list[int] | None = None) -> Column:
+def _bucket(taxid: Column, n: Column) -> Column:
+    return F.pmod(F.xxhash64(taxid), n).cast("int")
+
+
+def buckets(taxa: DataFrame, n: int) -> Column:
+    """A constant: ``taxa`` as an array of ``n`` arrays, by hash. (A job.) It comes as one text, as a column a taxon takes the planner long."""
+    size = F.lit(n)
+    dealt = taxa.select(_bucket(F.col("taxid"), size).alias("b"), "taxid").unionByName(taxa.sparkSession.range(n).select(F.col("id").cast("int").alias("b"), F.lit(None).cast("bigint").alias("taxid")))
+    some = dealt.groupBy("b").agg(F.collect_list("taxid").alias("some"))  # without the nulls, which make empty buckets
+    text = some.agg(F.to_json(F.transform(F.sort_array(F.collect_list(F.struct("b", "some"))), lambda x: x["some"]))).first()[0]
+    return F.from_json(F.lit(text), "array<array<bigint>>")
+
+
+def _one(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with ``value`` evaluated once for a row: an array of one names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _by_taxon(hits: Column, taxa: list[int] | Column, among: bool) -> Column:
+    """Hits whose taxon is, or isn't, among ``taxa``: a list, or :func:`buckets`."""
+    if isinstance(taxa, Column):
+        found = lambda h: F.array_contains(F.get(taxa, _bucket(h["taxid"], F.size(taxa))), h["taxid"])
+    elif taxa:
+        found = lambda h: h["taxid"].isin(taxa)
+    else:
+        found = lambda h: F.lit(False)
+    return F.filter(hits, lambda h: found(h) if among else ~found(h))
+
+
+def keep_taxa(hits: Column, include: list[int] | Column | None = None, exclude: list[int] | Column | None = None) -> Column:
     """Hits whose taxon is in ``include`` (None: all are) and not in ``exclude``. An empty ``include`` keeps nothing."""
     if include is not None:
-        hits = F.filter(hits, lambda h: h["taxid"].isin(include) if include else F.lit(False))
-    if exclude:
-        hits = F.filter(hits, lambda h: ~h["taxid"].isin(exclude))
+        hits = _by_taxon(hits, include, True)
+    if isinstance(exclude, Column) or exclude:
+        hits = _by_taxon(hits, exclude, False)
     return hits
 
 
@@ -29,12 +62,11 @@ def keep_near_best(hits: Column, delta: int = 0) -> Column:
     """Hits whose edit distance is within ``delta`` of the least in the row."""
     if delta < 0:
         raise ValueError("the edit delta is 0 or more")
-    best = F.array_min(F.transform(hits, lambda h: h["edit"]))
-    return F.filter(hits, lambda h: h["edit"] <= best + F.lit(delta))
+    return _one(F.array_min(hits["edit"]), lambda best: F.filter(hits, lambda h: h["edit"] <= best + F.lit(delta)))
 
 
 def _join_taxa(reads: DataFrame, include: DataFrame | None, exclude: DataFrame | None) -> DataFrame:
-    """Taxa filters for long lists: hits are exploded, joined and put together again in their order, by line."""
+    """Taxa filters for lists over LOOKUP: hits are exploded, joined and put together again in their order, by line."""
     hits = reads.select("at", F.posexplode("hits").alias("k", "h")).withColumn("taxid", F.col("h.taxid"))
     if include is not None:
         hits = hits.join(include.select("taxid"), "taxid", "left_semi")
@@ -45,17 +77,23 @@ def _join_taxa(reads: DataFrame, include: DataFrame | None, exclude: DataFrame |
     return out.drop("kept")
 
 
-def taxa_lists(include: DataFrame | None = None, exclude: DataFrame | None = None) -> dict[str, list[int] | None]:
-    """include and exclude as lists; those over INLINE taxa are absent and have to be joined. (Counts the lists: a job each.)"""
+def taxa_lists(include: DataFrame | None = None, exclude: DataFrame | None = None) -> dict[str, list[int] | Column | None]:
+    """include and exclude as lists, those over INLINE taxa as :func:`buckets`; those over LOOKUP are absent and have to be joined.
+
+    (Counts the lists: a job each, two if they are long.)
+    """
     lists = {}
     for name, taxa in (("include", include), ("exclude", exclude)):
-        rows = None if taxa is None else taxa.select("taxid").distinct().limit(INLINE + 1).collect()
+        some = None if taxa is None else taxa.select(F.col("taxid").cast("bigint").alias("taxid")).where("taxid is not null").distinct()
+        rows = None if some is None else some.limit(INLINE + 1).collect()
         if rows is None or len(rows) <= INLINE:
             lists[name] = None if rows is None else [r[0] for r in rows]
+        elif (n := some.count()) <= LOOKUP:
+            lists[name] = buckets(some, n // 4 + 1)
     return lists
 
 
-def filter_hits(reads: DataFrame, include: DataFrame | None = None, exclude: DataFrame | None = None, delta: int = 0, lists: dict[str, list[int] | None] | None = None) -> DataFrame:
+def filter_hits(reads: DataFrame, include: DataFrame | None = None, exclude: DataFrame | None = None, delta: int = 0, lists: dict[str, list[int] | Column | None] | None = None) -> DataFrame:
     """at, read_id, tokens -> those, parsed (readable hits) and hits (what the filters leave).
 
     Taxa first, then the distance to the best hit that is left, each line by itself even if a read has several. ``lists``: what

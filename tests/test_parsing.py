@@ -121,6 +121,27 @@ def test_filter_against_python(spark, monkeypatch, include, exclude, delta, inli
     assert filters.filter_counters(filtered).first().asDict() == count
 
 
+@pytest.mark.parametrize("lookup", [1 << 20, 0])
+def test_long_lists_are_looked_up_and_longer_ones_joined(spark, monkeypatch, lookup):
+    monkeypatch.setattr(filters, "INLINE", 2)
+    monkeypatch.setattr(filters, "LOOKUP", lookup)
+    include = spark.range(-50, 3000, 2).select(F.col("id").alias("taxid")).unionByName(spark.createDataFrame([(None,), (2,)], "taxid bigint"))
+    exclude = spark.range(0, 3000, 6).select(F.col("id").alias("taxid"))
+    rng = random.Random(7)
+    lines = [f"r{k}:" + ",".join(f"{rng.randint(-60, 3100)}-s-1={rng.randint(0, 3)}" for _ in range(rng.randint(0, 30))) for k in range(200)]
+    filtered = filters.filter_hits(reads_of(spark, lines), include, exclude, 1)
+    want, count = python_filter(lines, set(range(-50, 3000, 2)), set(range(0, 3000, 6)), 1)
+    assert [r[0] for r in filters.kept_lines(filtered).orderBy("at").select("value").collect()] == want
+    assert filters.filter_counters(filtered).first().asDict() == count
+    assert ("Join" in filtered._jdf.queryExecution().executedPlan().toString()) == (not lookup)
+
+
+@pytest.mark.parametrize(("token", "taxid", "edit"), [("0012-a:b-3=04", 12, 4), ("5=3\u2028", 5, 3), ("5-x=3\r", 5, 3), ("7-=1", 7, 1), ("123456789012345678901=2", None, None), ("12x-a-1=2", None, None)])
+def test_plain_hits_are_cut_like_others(spark, token, taxid, edit):
+    got = one(spark, X.lenient_hit, token)
+    assert (got and (got["raw"], got["taxid"], got["edit"])) == (taxid and (token, taxid, edit))
+
+
 def test_filtering_has_no_shuffle(spark):
     filtered = filters.filter_hits(reads_of(spark, ["r:1=0,2=3"]), delta=1)
     assert "Exchange" not in filters.kept_lines(filtered)._jdf.queryExecution().executedPlan().toString()
