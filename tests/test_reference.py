@@ -11,6 +11,7 @@ from taxaspark import cli, plans
 from taxaspark.operators import alignment, refbuild, seeds
 from taxaspark.sources import assembly_files, read_fasta, read_fastq, read_reads, read_report, read_taxa
 from taxaspark.sources import layout
+from taxaspark.sources import report as reports
 from taxaspark.sources.delimited import read_delimited
 from taxaspark.sources.lines import delimiter
 from taxaspark.streaming import start_filter
@@ -257,6 +258,18 @@ def test_quoted_records_over_many_splits(spark, tmp_path):
     assert got == want
 
 
+@pytest.mark.parametrize("bound", [4096, 12, 0])
+def test_only_long_lines_of_a_document_become_a_row_a_token(spark, tmp_path, monkeypatch, bound):
+    monkeypatch.setattr(reports, "TOKENS", bound)
+    cut, exploded = reports._tokens, []
+    monkeypatch.setattr(reports, "_tokens", lambda rows: exploded.append(rows.count()) or cut(rows))
+    record = lambda k: json.dumps({"name": "a[]{,\\\"", "more": [1, {"x": [k, 2]}], "accession": f"A{k}", "taxid": k})
+    text = "[\n" + record(1) + ",\n" + ", ".join(record(k) for k in range(2, 9)) + " , {} ,\n" + record(9)[:-1] + "\n}\n, " + record(10) + ",\n" + record(11) + "]"
+    (tmp_path / "r.json").write_text(text)
+    assert [(r.assembly, r.taxid) for r in reports.read_report(spark, str(tmp_path / "r.json")).orderBy("ordinal").collect()] == [(f"A{k}", k) for k in range(1, 12)]
+    assert (exploded == [0]) == (bound == 4096)
+
+
 def test_json_documents_over_many_splits(spark, tmp_path):
     """Items of any layout, cut at the array's commas; strings that hold brackets and quotes; items that are no objects."""
     rng = random.Random(12)
