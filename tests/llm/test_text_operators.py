@@ -301,6 +301,21 @@ def test_removal_from_nothing(spark):
         suffix.remove_repeats(spark.createDataFrame([], "doc_id bigint, text string"), length=5)
 
 
+def test_parcels_take_one_shuffle_at_larger_sizes():
+    """10 and 100 GB of text; more pages go together the more buckets there are, and none of their things is lost."""
+    assert all(len(suffix.steps_to(-(-size // suffix.BUCKET_BYTES))) == 1 for size in (10 << 30, 100 << 30))
+    rng = np.random.default_rng(5)
+    pages = [(rng.integers(0, 1 << 63, 4000).astype(np.uint64) * np.uint64(2), [np.full(4000, k)], []) for k in range(60)]
+    sent = {}
+    for buckets in (16, 256):
+        parcels = suffix.Parcels(buckets, [np.int64], False, suffix.low_bits)
+        got = [(b, parcels.opened(d, np.uint32)) for batch in parcels.sent(iter(pages)) for b, d in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
+        sent[buckets] = len(got)
+        low = sorted((int(x), int(page)) for _, g in got for x, page in zip(g[0], g[1][0], strict=True))
+        assert low == sorted((int(x) & 0xFFFFFFFF, k) for k, (key, _, _) in enumerate(pages) for x in key)
+    assert sent[256] < 4 * sent[16]
+
+
 @pytest.mark.parametrize("fan", [64, 2])
 def test_passages_of_short_words(spark, monkeypatch, fan):
     """Over 50 words or 200 bytes that a smaller document has go; 50 short words stay. Against every window of each kind."""

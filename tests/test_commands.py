@@ -3,6 +3,7 @@
 import random
 import re
 import threading
+import time
 from pathlib import Path
 
 import pytest
@@ -378,6 +379,29 @@ def test_staged_annotations_are_pruned_by_place(spark, tmp_path, fuzzy):
     assert pruned.select("cds_id").distinct().count() < 302
 
 
+def test_shuffle_files_go_when_a_table_is_written(spark):
+    """What the shuffles of a written table leave, tables around a scratch, and the session's setting."""
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        blocks = disk.getAllBlocks()
+        return {name for k in range(blocks.size()) if (name := blocks.apply(k).name()).startswith("shuffle_")}
+
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    had, was = shuffles(), spark.conf.get(setting)
+    with scratch(spark):
+        with scratch(spark) as write:
+            rows = write(spark.range(1000).repartition(3, "id").groupBy((F.col("id") % 10).alias("k")).count(), "rows")
+        assert rows.count() == 10
+        path = rows.inputFiles()[0].removeprefix("file://")
+    for _ in range(50):  # they go in the background
+        left = {x for x in shuffles() - had if x.endswith(".data")}
+        if len(left) <= 1:  # of the count
+            break
+        time.sleep(0.1)
+    assert len(left) <= 1 and spark.conf.get(setting) == was and not Path(path).exists()
+
+
 def test_tables_of_threads_are_their_own(spark):
     """A table that another thread makes isn't deleted with this thread's scratch."""
     made = []
