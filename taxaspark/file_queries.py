@@ -49,7 +49,7 @@ def _assignments(spark: SparkSession, sf_dir: str, path: str, where: str = "true
 
 def _numbered(lines: DataFrame, heads: bool = False) -> DataFrame:
     """line (from 1) and value, in the order of the file, or with ``heads`` of the parts of a table, whose header is one line."""
-    return line_numbers(lines, heads=heads).select((F.col("n") + 1).alias("line"), F.regexp_replace("value", "\r$", "").alias("value"))
+    return line_numbers(lines, heads=heads).select((F.col("n") + 1).alias("line"), F.when(F.endswith("value", F.lit("\r")), F.left("value", F.length("value") - 1)).otherwise(F.col("value")).alias("value"))
 
 
 # -- map tables, reports, taxa ----------------------------------------------------------------------------------------------

@@ -81,11 +81,34 @@ def with_cds(hits: DataFrame, found: DataFrame, order: list[str] | None = None)
     return rows.select(*hits.columns, *[F.coalesce(c, F.lit("NA")).alias(c) for c in ("cds_id", "product", "protein_id")])
 
 
+#: The order of the table: assembly, accession, position, then input order.
+ORDER = [*PLACE, "at", "hit_idx"]
+_TAXA = dict(zip(TAXA_COLUMNS, ["read_id", "taxid", "organism", "assembly", "accession", "description", "pos", "edit"], strict=True))
+_CDS = dict(zip(CDS_COLUMNS, ["cds_id", "protein_id", "product"], strict=True))
+
+
 def annotated_table(hits: DataFrame, found: DataFrame | None = None) -> DataFrame:
-    """The table as it is written, in its order: assembly, accession, position, then input order. Without ``found``: taxa alone."""
-    order = [*PLACE, "at", "hit_idx"]
-    named = {"ReadID": "read_id", "Taxid": "taxid", "Organism Name": "organism", "Assembly": "assembly", "Accession": "accession", "Description": "description", "Position": "pos", "Edit Distance": "edit"}
-    rows = hits.orderBy(*order) if found is None else with_cds(hits, found, order)
-    if found is not None:
-        named |= {"CDS ID": "cds_id", "Protein ID": "protein_id", "Annotation": "product"}
-    return rows.select(*[F.col(c).alias(n) for n, c in named.items()])
+    """The table as it is written, in its order. Without ``found``: taxa alone."""
+    rows = hits.orderBy(*ORDER) if found is None else with_cds(hits, found, ORDER)
+    return rows.select(*[F.col(c).alias(n) for n, c in (_TAXA if found is None else _TAXA | _CDS).items()])
+
+
+def annotated_lines(hits: DataFrame, found: DataFrame, options: dict[str, str]) -> DataFrame:
+    """value: the rows of :func:`annotated_table` with ``found`` as lines, in its order; ``options``: of the fields' format.
+
+    A hit's fields and those of a coding sequence at a place are each made into text once, however many rows they stand in.
+    """
+    # behind another field, as a mark of comments counts at the start of a line alone
+    tail = lambda *fields: F.substr(F.to_csv(F.struct(F.lit("x").alias("x"), *fields), options), F.lit(2))
+    given = found.select(*PLACE, "cds_ord", tail("cds_id", "protein_id", "product").alias("tail"))
+    given = materialize(given, "annotations")
+    lists = given.groupBy(*PLACE).agg(F.array_sort(F.collect_list(F.struct("cds_ord", "tail"))).alias("t")).select(*PLACE, F.col("t.tail").alias("tails"))
+    head = F.to_csv(F.struct(*_TAXA.values()), options).alias("head")
+    if given.count() <= SENT:
+        # the generator stands between sort and join, of which the optimizer would else take the sort away
+        rows = hits.orderBy(*ORDER).withColumn("one", F.explode(F.array(F.lit(1)))).select(*PLACE, head)
+        rows = rows.join(F.broadcast(lists), PLACE, "left")
+    else:
+        rows = hits.join(lists, PLACE, "left").orderBy(*ORDER).select(head, "tails")
+    rows = rows.select("head", F.explode_outer("tails").alias("tail"))
+    return rows.select(F.concat("head", F.coalesce("tail", tail(*[F.lit("NA").alias(c) for c in _CDS.values()]))).alias("value"))

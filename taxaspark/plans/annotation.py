@@ -8,11 +8,11 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from taxaspark.operators.annotate import CDS_COLUMNS, TAXA_COLUMNS, annotated_table, first_hits, name_organisms, number_proteins, resolve
+from taxaspark.operators.annotate import CDS_COLUMNS, TAXA_COLUMNS, annotated_lines, annotated_table, first_hits, name_organisms, number_proteins, resolve
 from taxaspark.operators.intervals import cds_at
 from taxaspark.operators.merge import parsed_hits
 from taxaspark.sinks import touch, write_lines, write_table
-from taxaspark.sinks.files import protein_text
+from taxaspark.sinks.files import FIELDS, protein_text, write_table_lines
 from taxaspark.sources import read_assignments, read_fasta_of, read_gff, read_mapping, read_taxonomy
 from taxaspark.sources.lines import exists
 from taxaspark.sources.mapping import last_by, repeated_keys
@@ -69,6 +69,6 @@ def annotate(spark: SparkSession, assignments: str | list[str], map_tables: str
         cds = read_gff(spark, _resources(spark, rows, mapping, "gff", strict), places, max(0, fuzzy))
         found = materialize(cds_at(places, cds, fuzzy), "cds")
         found, proteins = number_proteins(found, places, read_fasta_of(spark, _resources(spark, found, mapping, "protein_fasta", strict)))
-        write_table(annotated_table(rows, found), out, compression)
+        write_table_lines(annotated_lines(rows, found, FIELDS), TAXA_COLUMNS + CDS_COLUMNS, out, compression)
         write_lines(proteins.select("protein_id", protein_text(F.col("protein_id"), F.col("header"), F.col("seq")).alias("value")), proteins_out, order=["protein_id"])
         return n

@@ -155,6 +155,10 @@ def write_lines(df: DataFrame, path: str, value: str = "value", order: list[str]
     single_file(df.sparkSession, parts, path)
 
 
+#: Of the fields of a table.
+FIELDS = {"sep": "\t", "quote": '"', "escape": '"', "lineSep": "\r\n", "emptyValue": "", "nullValue": ""}
+
+
 def write_table(df: DataFrame, path: str, compression: str = "none") -> None:
     """One tab-separated file with a header; lines end in CR LF, quotes are doubled, and fields quoted only where needed.
 
@@ -162,13 +166,26 @@ def write_table(df: DataFrame, path: str, compression: str = "none") -> None:
     each with a header and in ``compression``: no byte passes through the driver.
     """
     if path.endswith("/"):
-        df.write.mode("overwrite").csv(path, sep="\t", quote='"', escape='"', lineSep="\r\n", emptyValue="", nullValue="", header=True, compression=compression)
+        df.write.mode("overwrite").csv(path, **FIELDS, header=True, compression=compression)
         return
     parts = f"{path}.parts-{uuid.uuid4().hex}"
-    df.write.csv(parts, sep="\t", quote='"', escape='"', lineSep="\r\n", emptyValue="", nullValue="", header=False)
+    df.write.csv(parts, **FIELDS, header=False)
     single_file(df.sparkSession, parts, path, "\t".join(df.columns) + "\r\n")
 
 
+def write_table_lines(lines: DataFrame, columns: list[str], path: str, compression: str = "none") -> None:
+    """What :func:`write_table` makes of a table, from its rows as lines (value, of FIELDS) in their order; there is one at least."""
+    head = "\t".join(columns) + "\r\n"
+    if path.endswith("/"):
+        first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0  # of a task, which writes one part
+        rows = lines.select(F.when(first, F.concat(F.lit(head), "value")).otherwise(F.col("value")).alias("value"))
+        rows.write.mode("overwrite").option("maxRecordsPerFile", 0).text(path, lineSep="\r\n", compression=compression)
+        return
+    parts = f"{path}.parts-{uuid.uuid4().hex}"
+    lines.select("value").write.text(parts, lineSep="\r\n")
+    single_file(lines.sparkSession, parts, path, head)
+
+
 def fasta_text(header: Column, seq: Column) -> Column:
     """A record without the line end after its last line."""
     return F.when(seq == "", F.concat(F.lit(">"), header)).otherwise(F.concat(F.lit(">"), header, F.lit("\n"), wrap(seq)))

@@ -86,14 +86,16 @@ def line_numbers(lines: DataFrame, name: str = "n", heads: bool = False) -> Data
     the driver. ``heads``: the first line of a file, but for the first file's, is left out.
     """
     split = F.struct(F.col("at.input").alias("input"), F.col("at.file").alias("file"), F.col("at.block").alias("block"))
-    rows = lines.withColumn("__split", split)
     start, before = [], 0
-    for r in sorted(rows.groupBy("__split").agg(F.min("at.row").alias("low"), F.count("*").alias("n")).collect(), key=lambda r: tuple(r["__split"])):
-        drops = heads and bool(start) and r["__split"]["block"] == 0
-        start.append((tuple(r["__split"]), r["low"], before - drops, drops))
+    for r in sorted(lines.groupBy(split.alias("split")).agg(F.min("at.row").alias("low"), F.count("*").alias("n")).collect(), key=lambda r: tuple(r["split"])):
+        drops = heads and bool(start) and r["split"]["block"] == 0
+        start.append((r["low"] >> 33, r["low"], r["low"] + r["n"], before - drops, drops))
         before += r["n"] - drops
-    known = lines.sparkSession.createDataFrame(start, "__split struct<input int, file string, block bigint>, __low bigint, __before bigint, __drops boolean")
-    rows = rows.join(F.broadcast(known), "__split").where(~(F.col("__drops") & (F.col("at.row") == F.col("__low"))))
+    known = lines.sparkSession.createDataFrame(start, "__task bigint, __low bigint, __end bigint, __before bigint, __drops boolean")
+    # by the task that reads a line, which counts its few splits' lines one after the other: a number is looked up, and no path
+    row = F.col("at.row")
+    rows = lines.join(F.broadcast(known), (F.shiftright(row, 33) == F.col("__task")) & (row >= F.col("__low")) & (row < F.col("__end")))
+    rows = rows.where(~(F.col("__drops") & (row == F.col("__low"))))
     return rows.select(*lines.columns, (F.col("__before") + F.col("at.row") - F.col("__low")).alias(name))
 
 

@@ -7,6 +7,8 @@ import pytest
 from taxaspark import plans
 from taxaspark.operators import annotate, intervals
 from taxaspark.operators.numbering import dense_ids, prefix_numbers
+from taxaspark.sinks import write_table
+from taxaspark.sinks.files import FIELDS, write_table_lines
 from taxaspark.sources import read_gff, read_mapping, read_taxonomy
 from taxaspark.sources.lines import line_numbers, read_lines
 from taxaspark.sources.mapping import last_by
@@ -180,3 +182,30 @@ def test_annotations_of_a_file_are_many_tasks(spark, tmp_path):
     (tmp_path / "a.gff").write_text("c\t.\tCDS\t1\t9\t.\t+\t0\tID=g1\n")
     plan = read_gff(spark, {"A": str(tmp_path / "a.gff")})._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+@pytest.mark.parametrize("sent", [1 << 19, 0])
+def test_lines_are_those_of_the_table(spark, tmp_path, monkeypatch, sent):
+    """Byte for byte, with fields that need quotes or lose white space, as parts and as one file; fields are made into text before rows multiply."""
+    monkeypatch.setattr(annotate, "SENT", sent)
+    odd = ["#r", "a\tb", 'q"q', " x ", "", "l\nf", "c\r", "'", "é"]
+    hits = [((k,), 0, o, k, odd[-k % 9], "A", odd[k % 3], odd[(k + 4) % 9], 1 + k % 3, k) for k, o in enumerate(odd * 3)]
+    hits = spark.createDataFrame(hits, "at struct<n int>, hit_idx int, read_id string, taxid bigint, organism string, assembly string, accession string, description string, pos bigint, edit bigint")
+    found = [("A", odd[k], p, n, odd[(k + n) % 9], odd[(n + p) % 9], str(n)) for k in range(3) for p in (1, 2) for n in range(1, 4 + k)]
+    found = spark.createDataFrame(found, "assembly string, accession string, pos bigint, cds_ord int, cds_id string, product string, protein_id string")
+    columns = annotate.TAXA_COLUMNS + annotate.CDS_COLUMNS
+    for end in ("", "/"):
+        write_table(annotate.annotated_table(hits, found), f"{tmp_path}/table{end}")
+        lines = annotate.annotated_lines(hits, found, FIELDS)
+        write_table_lines(lines, columns, f"{tmp_path}/lines{end}")
+        texts = []
+        for name in ("table", "lines"):
+            path = tmp_path / name
+            parts = [p.read_bytes() for p in sorted(path.glob("part-*"))] if end else [path.read_bytes()]
+            head = ("\t".join(columns) + "\r\n").encode()
+            assert all(p.startswith(head) for p in parts if p) and any(parts)
+            texts.append(b"".join(p.removeprefix(head) for p in parts))
+            (path.rename(tmp_path / f"{name}.old{len(end)}"))
+        assert texts[0] == texts[1] and texts[0].count(b"\r\n") > 60
+    text = lines._jdf.queryExecution().optimizedPlan().toString()
+    assert text.index("explode(") < text.index("to_csv")
